@@ -39,10 +39,10 @@ def parse_rating_fields(c) -> list[Column]:
     """``user|product|score|ts`` -> typed columns (NULL where malformed)."""
     parts = F.split(_c(c), r"\|")
     return [
-        F.try_cast(F.get(parts, 0), "int").alias("userId"),
-        F.try_cast(F.get(parts, 1), "int").alias("productId"),
-        F.try_cast(F.get(parts, 2), "double").alias("score"),
-        normalize_ts(F.try_cast(F.get(parts, 3), "bigint")).alias("ts"),
+        F.get(parts, 0).try_cast("int").alias("userId"),
+        F.get(parts, 1).try_cast("int").alias("productId"),
+        F.get(parts, 2).try_cast("double").alias("score"),
+        normalize_ts(F.get(parts, 3).try_cast("bigint")).alias("ts"),
     ]
 
 
