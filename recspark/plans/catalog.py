@@ -685,3 +685,9 @@ def q_content_based(spark, d):
 @query("content_based_view", _hydrated_sql(_pairs_top_sql(_content_sql(0.0), VIEW_TOP), key="itemId"))
 def q_content_based_view(spark, d):
     return _pairs_view(SIM.content_based(DT.products(spark, d)), spark, d, VIEW_TOP)
+
+
+def q_als_product_recs_top20(spark, d):
+    """Capped product lists (20 per product): the production form when the
+    item-factor cosine keeps most pairs (output otherwise grows with n^2)."""
+    return A.als_product_recs(_model(spark, d), top_k=20)
