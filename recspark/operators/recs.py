@@ -48,9 +48,11 @@ def pack_recs(df: DataFrame, key: str, item: str = "productId",
         x["productId"].alias("productId"), x["score"].alias("score"))).alias("recs"))
 
 
-def unpack_recs(df: DataFrame, key: str, recs: str = "recs") -> DataFrame:
-    """Nested -> long: (key, rank 1.., productId, score)."""
+def unpack_recs(df: DataFrame, key: str, recs: str = "recs", item: str = "productId",
+                score: str = "score") -> DataFrame:
+    """Nested -> long: (key, rank 1.., item, score); name the item column
+    differently when the key is itself a product id."""
     return (df.select(key, F.posexplode(recs).alias("pos", "rec"))
               .select(key, (F.col("pos") + 1).cast("int").alias("rank"),
-                      F.col("rec.productId").alias("productId"),
-                      F.col("rec.score").alias("score")))
+                      F.col("rec.productId").alias(item),
+                      F.col("rec.score").alias(score)))

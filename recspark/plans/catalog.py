@@ -670,7 +670,7 @@ def q_item_cf(spark, d):
 
 @query("item_cf_view", _hydrated_sql(_pairs_top_sql(_ITEM_CF, VIEW_TOP), key="itemId"))
 def q_item_cf_view(spark, d):
-    return _pairs_view(SIM.item_cf(DT.ratings(spark, d)), spark, d, VIEW_TOP)
+    return _pairs_view(SIM.item_cf(DT.ratings(spark, d), top_k=VIEW_TOP), spark, d, VIEW_TOP)
 
 
 CONTENT_MIN_SIM = 0.6
@@ -684,7 +684,7 @@ def q_content_based(spark, d):
 
 @query("content_based_view", _hydrated_sql(_pairs_top_sql(_content_sql(0.0), VIEW_TOP), key="itemId"))
 def q_content_based_view(spark, d):
-    return _pairs_view(SIM.content_based(DT.products(spark, d)), spark, d, VIEW_TOP)
+    return _pairs_view(SIM.content_based(DT.products(spark, d), top_k=VIEW_TOP), spark, d, VIEW_TOP)
 
 
 def q_als_product_recs_top20(spark, d):
