@@ -138,35 +138,60 @@ class StreamRecsWriter:
     """``foreachBatch`` body maintaining the rating log and StreamRecs.
 
     Layout under ``root`` (a folder in the shared checkpoint area):
-    ``log/batch_id=N`` the batch's parsed ratings, ``recs/batch_id=N`` the
-    new lists of the batch's users (a NULL-rank tombstone for a user whose
-    list became empty).  Readers merge on read: per user the newest batch
-    wins (``read_stream_recs``).  Both writes overwrite their batch folder,
-    so a batch replayed after a failure leaves the same result.
+    ``log/user_bucket=B/batch_id=N`` the parsed ratings, partitioned by a hash
+    bucket of the user, then by batch; ``recs/batch_id=N`` the new lists of
+    the batch's users (a NULL-rank tombstone for a user whose list became
+    empty).  A batch lists and reads only the log buckets of its own users,
+    so its cost follows the users it touches, not the whole log.  Readers
+    merge on read: per user the newest batch wins (``read_stream_recs``).
+    Writes overwrite exactly the batch's own partitions (dynamic partition
+    overwrite), so a batch replayed after a failure leaves the same result.
     """
 
     def __init__(self, root: str, sims: DataFrame | str, recent_n: int = RECENT_READ_N,
-                 k: int = MAX_SIM_PRODUCTS, min_sim: float = STREAM_SIM_THRESHOLD):
-        self.root, self.sims = root, sims
+                 k: int = MAX_SIM_PRODUCTS, min_sim: float = STREAM_SIM_THRESHOLD,
+                 n_buckets: int = 16):
+        self.root, self.sims_src = root, sims
         self.recent_n, self.k, self.min_sim = recent_n, k, min_sim
+        self.n_buckets = n_buckets
+        self._sims = None
+
+    def sims(self, spark: SparkSession) -> DataFrame:
+        # static for the life of the query: read once, kept in executor
+        # memory/disk (a lost block is re-read from its files)
+        if self._sims is None:
+            s = spark.read.parquet(self.sims_src) if isinstance(self.sims_src, str) else self.sims_src
+            self._sims = s.persist()
+        return self._sims
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         log_dir = os.path.join(self.root, "log")
-        ev = batch.select("userId", "productId", "score", "ts")
-        ev.write.mode("overwrite").parquet(f"{log_dir}/batch_id={batch_id}")
-        log = (spark.read.parquet(log_dir).where(F.col("batch_id") <= batch_id)
-               .drop("batch_id"))
-        users = spark.read.parquet(f"{log_dir}/batch_id={batch_id}").select("userId").distinct()
-        sims = spark.read.parquet(self.sims) if isinstance(self.sims, str) else self.sims
-        recs = online_recs(log, sims, order="ts", recent_n=self.recent_n, k=self.k,
-                           min_sim=self.min_sim, users=users)
-        tomb = (users.join(recs.select("userId"), "userId", "left_anti")
-                .select("userId", F.lit(None).cast("int").alias("rank"),
-                        F.lit(None).cast("int").alias("productId"),
-                        F.lit(None).cast("double").alias("score")))
-        (recs.unionByName(tomb).write.mode("overwrite")
-         .parquet(os.path.join(self.root, "recs", f"batch_id={batch_id}")))
+        bucket = F.pmod(F.xxhash64("userId"), F.lit(self.n_buckets)).cast("int")
+        ev = (batch.select("userId", "productId", "score", "ts")
+              .withColumn("user_bucket", bucket).withColumn("batch_id", F.lit(batch_id))
+              .persist())
+        try:
+            (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("user_bucket", "batch_id").parquet(log_dir))
+            buckets = [r[0] for r in ev.select("user_bucket").distinct().collect()]
+            if not buckets:
+                return
+            log = (spark.read.option("basePath", log_dir)
+                   .parquet(*[f"{log_dir}/user_bucket={b}" for b in buckets])
+                   .where(F.col("batch_id") <= batch_id)
+                   .select("userId", "productId", "score", "ts"))
+            users = ev.select("userId").distinct()
+            recs = online_recs(log, self.sims(spark), order="ts", recent_n=self.recent_n,
+                               k=self.k, min_sim=self.min_sim, users=users)
+            tomb = (users.join(recs.select("userId"), "userId", "left_anti")
+                    .select("userId", F.lit(None).cast("int").alias("rank"),
+                            F.lit(None).cast("int").alias("productId"),
+                            F.lit(None).cast("double").alias("score")))
+            (recs.unionByName(tomb).write.mode("overwrite")
+             .parquet(os.path.join(self.root, "recs", f"batch_id={batch_id}")))
+        finally:
+            ev.unpersist()
 
 
 def read_stream_recs(spark: SparkSession, root: str) -> DataFrame:
