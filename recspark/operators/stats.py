@@ -37,6 +37,31 @@ def average_products(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("productId").agg(F.avg("score").alias("avg"))
 
 
+def statistics_tables(ratings: DataFrame, persist: bool = True):
+    """All three statistics from one scan of the ratings.
+
+    One partial aggregation by (yearmonth, productId) keeps count and score
+    sum; it is as large as products x months, far below the ratings, and the
+    three tables are cheap re-aggregations of it.  Returns
+    ``(rate_more, rate_more_recently, average)``.
+    """
+    monthly = (ratings.where(F.col("productId").isNotNull())
+               .select("productId", "score", rating_month("ts").alias("yearmonth"))
+               .groupBy("yearmonth", "productId")
+               .agg(F.count(F.lit(1)).alias("count"), F.sum("score").alias("score_sum"),
+                    F.count("score").alias("n_scores")))
+    if persist:
+        monthly = monthly.persist()
+    recent = monthly.select("productId", "count", "yearmonth")
+    per_product = monthly.groupBy("productId").agg(
+        F.sum("count").alias("count"), F.sum("score_sum").alias("score_sum"),
+        F.sum("n_scores").alias("n_scores"))
+    rate_more = per_product.select("productId", "count")
+    average = per_product.select(
+        "productId", F.try_divide(F.col("score_sum"), F.col("n_scores")).alias("avg"))
+    return rate_more, recent, average
+
+
 def distinct_users(ratings: DataFrame) -> DataFrame:
     return ratings.select("userId").distinct()
 

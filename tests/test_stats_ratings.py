@@ -37,3 +37,14 @@ def test_window_limit_planned(spark):
     df = spark.createDataFrame([(1, i, 1.0, i) for i in range(10)], RS)
     plan = R.recent_ratings(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_one_pass_statistics_equal_separate(spark):
+    df = spark.createDataFrame([(u, p, float(1 + (u * p) % 5), 1554076800 + 86400 * 20 * ((u + p) % 4))
+                                for u in range(7) for p in range(5)], RS)
+    rm, rr, av = ST.statistics_tables(df, persist=False)
+    assert rows(rm) == rows(ST.rate_more_products(df))
+    assert rows(rr) == rows(ST.rate_more_recently_products(df))
+    a = {k: v for k, v in rows(av)}
+    b = {k: v for k, v in rows(ST.average_products(df))}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
