@@ -24,7 +24,7 @@ EVENT_RATINGS = """
 
 VECTORS = """
   SELECT CAST(vec_id AS INTEGER) AS productId, CAST(embedding AS DOUBLE[]) AS vector
-  FROM embeddings WHERE vec_id < 500"""
+  FROM embeddings"""
 
 PRODUCTS = """
   SELECT CAST(p_partkey AS INTEGER) AS productId, p_name AS name,

@@ -65,9 +65,8 @@ def event_ratings(spark: SparkSession, sf_dir: str, with_order: bool = False,
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """embeddings -> (productId, vector ARRAY<DOUBLE>), ids below 500."""
+    """embeddings -> (productId, vector ARRAY<DOUBLE>), every row."""
     return (table(spark, sf_dir, "embeddings")
-            .where(F.col("vec_id") < 500)
             .select(F.col("vec_id").cast("int").alias("productId"),
                     F.col("embedding").cast("array<double>").alias("vector")))
 
