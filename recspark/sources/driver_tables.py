@@ -14,7 +14,15 @@ from recspark.functions.expr import format_rating_event
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table.  A file that the scan cannot split (one row group)
+    gives fewer read tasks than cores; it is then spread round-robin so the
+    work before the first shuffle runs in parallel.  A large table on a
+    cluster splits into many tasks and is read as is."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _epoch_seconds(c) -> F.Column:
