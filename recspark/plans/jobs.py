@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from recspark import schemas
 from recspark.constants import MAX_SIM_PRODUCTS, PRODUCT_SIM_THRESHOLD
+
+HOT_VIEW_ROWS = 1000  # the recent-hot ranking kept for requests (num <= this)
 from recspark.operators import als as A
 from recspark.operators import recs as RC
 from recspark.operators import similarity as SIM
@@ -56,9 +58,9 @@ def offline_job(spark: SparkSession, warehouse: str, rank: int = 5, max_iter: in
     """Rating -> ALS -> UserRecs (top 20 positive) and ProductRecs (factor cosine)."""
     ratings = read(spark, warehouse, "Rating")
     model = A.als_fit(ratings, rank, max_iter, reg, seed)
-    IO.write_table(RC.pack_recs(A.als_user_recs(model), "userId"), _t(warehouse, "UserRecs"))
+    IO.table_layout(RC.pack_recs(A.als_user_recs(model), "userId"), _t(warehouse, "UserRecs"), "userId")
     pairs = A.als_product_recs(model, min_sim=min_sim, top_k=product_top_k)
-    IO.write_table(_ranked(pairs), _t(warehouse, "ProductRecs"))
+    IO.table_layout(_ranked(pairs), _t(warehouse, "ProductRecs"), "productId")
 
 
 def _ranked(pairs: DataFrame) -> DataFrame:
@@ -77,7 +79,7 @@ def similarity_jobs(spark: SparkSession, warehouse: str, top_k: int | None = Non
     for name, pairs in (("ItemCFProductRecs", SIM.item_cf(read(spark, warehouse, "Rating"), top_k=top_k)),
                         ("ContentBasedProductRecs",
                          SIM.content_based(read(spark, warehouse, "Product"), top_k=top_k))):
-        IO.write_table(_ranked(pairs), _t(warehouse, name))
+        IO.table_layout(_ranked(pairs), _t(warehouse, name), "productId")
 
 
 def product_sims(spark: SparkSession, warehouse: str, table: str = "ProductRecs") -> DataFrame:
@@ -96,18 +98,65 @@ def log_processor_job(spark: SparkSession, checkpoint: str, source: dict, sink:
 
 def online_job(spark: SparkSession, warehouse: str, checkpoint: str, source: dict,
                trigger: dict | None = None, min_sim: float = 0.4,
-               k: int = MAX_SIM_PRODUCTS):
+               k: int = MAX_SIM_PRODUCTS, hydrate: bool = False):
     """Rating events -> StreamRecs (merge-on-read folder under the warehouse).
 
+    ``hydrate`` stores the deltas joined with ServeInfo (``serving_views_job``)
+    so a /stream request is one filtered scan.
+
     The similarity lists are written once in long form for the stream, so
     each micro-batch joins a table instead of a driver-held map.
     """
     sims_path = _t(warehouse, "ProductSimsLong")
     IO.write_table(product_sims(spark, warehouse), sims_path)
     events = STR.stream_rating_parse(STR.rating_stream_source(spark, **source))
-    writer = STR.StreamRecsWriter(_t(warehouse, "StreamRecs"), sims_path, k=k, min_sim=min_sim)
+    writer = STR.StreamRecsWriter(_t(warehouse, "StreamRecs"), sims_path, k=k, min_sim=min_sim,
+                                  hydrate_with=_t(warehouse, "ServeInfo") if hydrate else None)
     return STR.start(events, None, None, checkpoint, trigger, foreach_batch=writer)
 
 
-def stream_recs(spark: SparkSession, warehouse: str) -> DataFrame:
-    return STR.read_stream_recs(spark, _t(warehouse, "StreamRecs"))
+def serving_views_job(spark: SparkSession, warehouse: str) -> None:
+    """Ready-to-serve tables: every list already joined with product details
+    and average scores, clustered by its request key, so a request is one
+    filtered scan that skips files and row groups outside the key.
+
+    ServeInfo (productId), ServeRate / ServeHot (rank), ServeItemCF and
+    ServeContentBased (itemId), ServeOffline (userId).  Rebuilt after the
+    statistics / offline / similarity jobs.
+    """
+    from recspark.operators import serving as SV
+    products, averages = read(spark, warehouse, "Product"), read(spark, warehouse, "AverageProducts")
+    info = SV.hydrate_products(products.select("productId").withColumn("rank", F.lit(1)),
+                               products, averages, rec_score=None)
+    IO.table_layout(info, _t(warehouse, "ServeInfo"), "productId")
+    rate = read(spark, warehouse, "RateMoreProducts").withColumn("_k", F.lit(0))
+    ranked = RC.top_k_per_key(rate, "_k", "productId", "count", None).drop("_k")
+    IO.table_layout(SV.hydrate_products(ranked, products, averages, rec_score=None),
+                    _t(warehouse, "ServeRate"), "rank")
+    hot = read(spark, warehouse, "RateMoreRecentlyProducts")
+    IO.table_layout(SV.hot_recent(hot, products, averages, n=HOT_VIEW_ROWS),
+                    _t(warehouse, "ServeHot"), "rank")
+    for src, dst in (("ItemCFProductRecs", "ServeItemCF"),
+                     ("ContentBasedProductRecs", "ServeContentBased")):
+        recs = read(spark, warehouse, src).select(
+            F.col("productId").alias("itemId"), "rank",
+            F.col("simProductId").alias("productId"), F.col("sim").alias("score"))
+        IO.table_layout(SV.hydrate_products(recs, products, averages), _t(warehouse, dst), "itemId")
+    user_recs = RC.unpack_recs(read(spark, warehouse, "UserRecs"), "userId")
+    IO.table_layout(SV.hydrate_products(user_recs, products, averages),
+                    _t(warehouse, "ServeOffline"), "userId")
+
+
+def online_replay_job(spark: SparkSession, warehouse: str, ratings: DataFrame,
+                      min_sim: float = 0.4, k: int = MAX_SIM_PRODUCTS) -> None:
+    """Batch replay of the online job over a whole rating log, written in the
+    StreamRecs layout (as batch 0, hydrated like the stream's deltas), e.g. to
+    seed it before a stream starts.  Needs ServeInfo (``serving_views_job``)."""
+    from recspark.operators.online import online_recs
+    recs = online_recs(ratings, product_sims(spark, warehouse), min_sim=min_sim, k=k)
+    recs = STR.hydrate_delta(recs, read(spark, warehouse, "ServeInfo"))
+    IO.table_layout(recs, os.path.join(_t(warehouse, "StreamRecs"), "recs", "batch_id=0"), "userId")
+
+
+def stream_recs(spark: SparkSession, warehouse: str, user_id: int | None = None) -> DataFrame:
+    return STR.read_stream_recs(spark, _t(warehouse, "StreamRecs"), user_id)

@@ -150,10 +150,11 @@ class StreamRecsWriter:
 
     def __init__(self, root: str, sims: DataFrame | str, recent_n: int = RECENT_READ_N,
                  k: int = MAX_SIM_PRODUCTS, min_sim: float = STREAM_SIM_THRESHOLD,
-                 n_buckets: int = 16):
+                 n_buckets: int = 16, hydrate_with: str | None = None):
         self.root, self.sims_src = root, sims
         self.recent_n, self.k, self.min_sim = recent_n, k, min_sim
         self.n_buckets = n_buckets
+        self.hydrate_with = hydrate_with  # a ServeInfo table: deltas stored ready to serve
         self._sims = None
 
     def sims(self, spark: SparkSession) -> DataFrame:
@@ -184,19 +185,38 @@ class StreamRecsWriter:
             users = ev.select("userId").distinct()
             recs = online_recs(log, self.sims(spark), order="ts", recent_n=self.recent_n,
                                k=self.k, min_sim=self.min_sim, users=users)
-            tomb = (users.join(recs.select("userId"), "userId", "left_anti")
-                    .select("userId", F.lit(None).cast("int").alias("rank"),
-                            F.lit(None).cast("int").alias("productId"),
-                            F.lit(None).cast("double").alias("score")))
+            if self.hydrate_with:
+                recs = hydrate_delta(recs, spark.read.parquet(self.hydrate_with))
+            tomb = users.join(recs.select("userId"), "userId", "left_anti")
+            for f in recs.schema.fields:
+                if f.name != "userId":
+                    tomb = tomb.withColumn(f.name, F.lit(None).cast(f.dataType))
             (recs.unionByName(tomb).write.mode("overwrite")
              .parquet(os.path.join(self.root, "recs", f"batch_id={batch_id}")))
         finally:
             ev.unpersist()
 
 
-def read_stream_recs(spark: SparkSession, root: str) -> DataFrame:
-    """Current StreamRecs (userId, rank, productId, score): newest batch per user."""
+def hydrate_delta(recs: DataFrame, serve_info: DataFrame) -> DataFrame:
+    """Join new lists with product details and average score (ServeInfo)."""
+    from recspark.operators.serving import hydrate_products
+    info = serve_info.join(recs.select("productId").distinct(), "productId", "left_semi")
+    return hydrate_products(recs, info.drop("score", "rank"),
+                            info.select("productId", F.col("score").alias("avg")))
+
+
+def read_stream_recs(spark: SparkSession, root: str, user_id: int | None = None) -> DataFrame:
+    """Current StreamRecs: per user the newest batch's rows (tombstones drop).
+
+    The newest batch per user is a window over that user's deltas (a user's
+    deltas are at most one list per batch until compaction); a ``user_id``
+    filter is pushed to the scan, so a request reads one user's rows.
+    """
+    from pyspark.sql import Window
     d = spark.read.parquet(os.path.join(root, "recs"))
-    last = d.groupBy("userId").agg(F.max("batch_id").alias("batch_id"))
-    return (d.join(last, ["userId", "batch_id"]).where(F.col("rank").isNotNull())
-             .select("userId", "rank", "productId", "score"))
+    if user_id is not None:
+        d = d.where(F.col("userId") == user_id)
+    last = F.max("batch_id").over(Window.partitionBy("userId"))
+    cols = [c for c in d.columns if c != "batch_id"]
+    return (d.withColumn("_last", last).where(F.col("batch_id") == F.col("_last"))
+             .where(F.col("rank").isNotNull()).select(*cols))

@@ -9,6 +9,7 @@ from conftest import rows
 from recspark.operators import online as O
 from recspark.operators import stats as ST
 from recspark.plans import jobs as J
+from recspark.plans import serve as SRV
 from recspark.sources import driver_tables as DT
 from recspark.sources import files as IO
 
@@ -37,6 +38,16 @@ def test_jobs_end_to_end(spark):
     J.similarity_jobs(spark, wh, top_k=5)
     assert J.read(spark, wh, "ItemCFProductRecs").where("rank > 5").count() == 0
 
+    # ready-to-serve views answer the endpoints with one filtered scan each
+    J.serving_views_job(spark, wh)
+    pid = J.read(spark, wh, "ItemCFProductRecs").agg(F.min("productId")).first()[0]
+    uid = J.read(spark, wh, "UserRecs").agg(F.min("userId")).first()[0]
+    assert SRV.info(spark, wh, pid).count() == 1 and SRV.info(spark, wh, -1).count() == 0
+    assert [r.rank for r in SRV.rate(spark, wh, 6).orderBy("rank").collect()] == [1, 2, 3, 4, 5, 6]
+    assert 0 < SRV.hot(spark, wh, 6).count() <= 6
+    assert 0 < SRV.similar(spark, wh, "ServeItemCF", pid).count() <= 5
+    assert SRV.offline(spark, wh, uid).where("rank > 20").count() == 0
+
     # online job: payload lines of the event ratings, two files = two batches
     src = os.path.join(root, "events")
     ev = DT.event_ratings(spark, SF).where(F.col("productId") < 200)
