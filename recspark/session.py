@@ -27,6 +27,38 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(executors: int, cores_per_executor: int,
+                 input_bytes: int | None = None) -> dict:
+    """Settings for a large cluster (the 100 TB target).
+
+    Shuffles start with many partitions (one per GB of input, since pruning
+    and partial aggregation shrink what is shuffled; at least 3 per core, at
+    most 200k) and adaptive execution coalesces them towards 256 MB, splits
+    skewed partitions (a key with a third of the rows becomes many tasks) and
+    rebuilds joins from runtime sizes; a side is broadcast only when measured
+    under 64 MB.  Scans split files into 256 MB tasks.  Runtime bloom filters
+    from the selective side of a join prune the large side's rows early.
+    """
+    cores = executors * cores_per_executor
+    parts = 3 * cores
+    if input_bytes:
+        parts = max(parts, min(input_bytes // (1 << 30), 200_000))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def get_session(master: str | None = None, app: str = "recspark",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
