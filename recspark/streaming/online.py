@@ -90,15 +90,14 @@ def _queue_update(queue_size: int):
                                 "ts": list(ts), "seq": list(seq)})
         else:
             old, n = pd.DataFrame({"productId": [], "score": [], "ts": [], "seq": []}), 0
-        parts = [old]
-        for pdf in pdfs:
+        q = old
+        for pdf in pdfs:  # Arrow chunks: fold each into the bounded queue
             add = pdf[["productId", "score", "ts"]].copy()
             add["seq"] = range(n, n + len(add))
             n += len(add)
-            parts.append(add)
-        q = pd.concat(parts, ignore_index=True)
-        # newest first by event time, then by arrival; keep the queue length
-        q = q.sort_values(["ts", "seq"], ascending=False).head(queue_size)
+            # newest first by event time, then by arrival; keep the queue length
+            q = (pd.concat([q, add], ignore_index=True)
+                 .sort_values(["ts", "seq"], ascending=False).head(queue_size))
         state.update((q["productId"].astype("int64").tolist(), q["score"].astype(float).tolist(),
                       q["ts"].astype("int64").tolist(), q["seq"].astype("int64").tolist(), int(n)))
         yield pd.DataFrame({"userId": user, "version": int(n),
