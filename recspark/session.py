@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -80,6 +81,7 @@ def get_session(master: str | None = None, app: str = "recspark",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -104,3 +106,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``recspark`` importable in the Python workers of every executor.
+
+    The pandas functions of the blocked products and the streaming state are
+    pickled by reference to this package, so executors need it: it is zipped
+    once per application into the shared checkpoint folder and added with
+    ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    out = scratch_path(spark, "pyfiles")
+    os.makedirs(out, exist_ok=True)
+    zpath = os.path.join(out, "recspark.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
