@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from conftest import rows
 from recspark.constants import RATING_LOG_PREFIX as P
 from recspark.functions import expr as X

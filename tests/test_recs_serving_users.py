@@ -1,10 +1,7 @@
-from pyspark.sql import functions as F
-
 from conftest import rows
 from recspark.operators import recs as RC
 from recspark.operators import serving as SV
 from recspark.operators import users as U
-from recspark.functions.expr import user_id_from_name
 
 
 def test_pack_unpack_round_trip(spark):

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from conftest import rows
 from recspark.operators import ratings as R
 from recspark.operators import stats as ST
