@@ -186,12 +186,15 @@ class StreamRecsWriter:
                                k=self.k, min_sim=self.min_sim, users=users)
             if self.hydrate_with:
                 recs = hydrate_delta(recs, spark.read.parquet(self.hydrate_with))
+            # used twice (rows and tombstones): at most k rows per batch user
+            recs = recs.persist()
             tomb = users.join(recs.select("userId"), "userId", "left_anti")
             for f in recs.schema.fields:
                 if f.name != "userId":
                     tomb = tomb.withColumn(f.name, F.lit(None).cast(f.dataType))
             (recs.unionByName(tomb).write.mode("overwrite")
              .parquet(os.path.join(self.root, "recs", f"batch_id={batch_id}")))
+            recs.unpersist()
         finally:
             ev.unpersist()
 
