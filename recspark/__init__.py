@@ -1,0 +1,20 @@
+"""recspark: product-recommendation operators on Spark DataFrames.
+
+The operators live in ``recspark.operators`` / ``recspark.functions`` /
+``recspark.sources`` / ``recspark.streaming``; the end-to-end jobs and the
+endpoint reads in ``recspark.plans``.  The most used entry points:
+"""
+
+from recspark.functions.expr import (filter_rating_logs, format_rating_event,  # noqa: F401
+                                     normalize_score, normalize_ts, parse_rating_events,
+                                     rating_month, split_tags, user_id_from_name)
+from recspark.operators.als import als_fit, als_product_recs, als_user_recs  # noqa: F401
+from recspark.operators.online import (candidate_products, online_recs,  # noqa: F401
+                                       sim_lookup, stream_scores)
+from recspark.operators.ratings import apply_ratings, recent_ratings  # noqa: F401
+from recspark.operators.recs import pack_recs, top_k_per_key, unpack_recs  # noqa: F401
+from recspark.operators.serving import hydrate_products  # noqa: F401
+from recspark.operators.similarity import content_based, cosine_pairs, item_cf  # noqa: F401
+from recspark.operators.stats import (average_products, rate_more_products,  # noqa: F401
+                                      rate_more_recently_products, statistics_tables)
+from recspark.session import cluster_conf, get_session  # noqa: F401

@@ -54,3 +54,13 @@ def test_split_and_format(spark):
 def test_sql_function(spark):
     X.register_sql_functions(spark)
     assert spark.sql("SELECT changeDate(1556409600) AS m").first().m == 201904
+
+
+def test_session_helpers(spark):
+    from recspark.session import checkpoint_dir, cluster_conf
+    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    c = cluster_conf(1000, 8, 100 * 2**40)
+    assert int(c["spark.sql.shuffle.partitions"]) == 102400
+    assert cluster_conf(2, 4)["spark.sql.shuffle.partitions"] == "24"
+    import recspark
+    assert callable(recspark.item_cf) and callable(recspark.online_recs)
