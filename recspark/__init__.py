@@ -2,19 +2,33 @@
 
 The operators live in ``recspark.operators`` / ``recspark.functions`` /
 ``recspark.sources`` / ``recspark.streaming``; the end-to-end jobs and the
-endpoint reads in ``recspark.plans``.  The most used entry points:
+endpoint reads in ``recspark.plans``.  The most used entry points are
+importable from the package itself; they load on first use, so the Python
+workers that unpickle one operator do not import the rest.
 """
 
-from recspark.functions.expr import (filter_rating_logs, format_rating_event,  # noqa: F401
-                                     normalize_score, normalize_ts, parse_rating_events,
-                                     rating_month, split_tags, user_id_from_name)
-from recspark.operators.als import als_fit, als_product_recs, als_user_recs  # noqa: F401
-from recspark.operators.online import (candidate_products, online_recs,  # noqa: F401
-                                       sim_lookup, stream_scores)
-from recspark.operators.ratings import apply_ratings, recent_ratings  # noqa: F401
-from recspark.operators.recs import pack_recs, top_k_per_key, unpack_recs  # noqa: F401
-from recspark.operators.serving import hydrate_products  # noqa: F401
-from recspark.operators.similarity import content_based, cosine_pairs, item_cf  # noqa: F401
-from recspark.operators.stats import (average_products, rate_more_products,  # noqa: F401
-                                      rate_more_recently_products, statistics_tables)
-from recspark.session import cluster_conf, get_session  # noqa: F401
+from importlib import import_module
+
+_EXPORTS = {
+    "recspark.functions.expr": ["filter_rating_logs", "format_rating_event", "normalize_score",
+                                "normalize_ts", "parse_rating_events", "rating_month",
+                                "split_tags", "user_id_from_name"],
+    "recspark.operators.als": ["als_fit", "als_product_recs", "als_user_recs", "blocked_top_k"],
+    "recspark.operators.online": ["candidate_products", "online_recs", "sim_lookup",
+                                  "stream_scores"],
+    "recspark.operators.ratings": ["apply_ratings", "recent_ratings"],
+    "recspark.operators.recs": ["pack_recs", "top_k_per_key", "unpack_recs"],
+    "recspark.operators.serving": ["hydrate_products"],
+    "recspark.operators.similarity": ["content_based", "cosine_pairs", "item_cf", "sparse_gram"],
+    "recspark.operators.stats": ["average_products", "rate_more_products",
+                                 "rate_more_recently_products", "statistics_tables"],
+    "recspark.session": ["cluster_conf", "get_session"],
+}
+_WHERE = {name: mod for mod, names in _EXPORTS.items() for name in names}
+__all__ = sorted(_WHERE)
+
+
+def __getattr__(name):
+    if name in _WHERE:
+        return getattr(import_module(_WHERE[name]), name)
+    raise AttributeError(f"module 'recspark' has no attribute {name!r}")
