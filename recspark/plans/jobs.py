@@ -54,11 +54,14 @@ def statistics_job(spark: SparkSession, warehouse: str) -> None:
 
 def offline_job(spark: SparkSession, warehouse: str, rank: int = 5, max_iter: int = 10,
                 reg: float = 0.01, min_sim: float = PRODUCT_SIM_THRESHOLD,
-                product_top_k: int | None = None, seed: int = 42) -> None:
-    """Rating -> ALS -> UserRecs (top 20 positive) and ProductRecs (factor cosine)."""
+                product_top_k: int | None = None, seed: int = 42,
+                exclude_rated: bool = False) -> None:
+    """Rating -> ALS -> UserRecs (top 20 positive; rated products kept unless
+    ``exclude_rated``) and ProductRecs (factor cosine)."""
     ratings = read(spark, warehouse, "Rating")
     model = A.als_fit(ratings, rank, max_iter, reg, seed)
-    IO.table_layout(RC.pack_recs(A.als_user_recs(model), "userId"), _t(warehouse, "UserRecs"), "userId")
+    user_recs = A.als_user_recs(model, exclude_rated=ratings if exclude_rated else None)
+    IO.table_layout(RC.pack_recs(user_recs, "userId"), _t(warehouse, "UserRecs"), "userId")
     pairs = A.als_product_recs(model, min_sim=min_sim, top_k=product_top_k)
     IO.table_layout(_ranked(pairs), _t(warehouse, "ProductRecs"), "productId")
 
