@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recspark.constants import RECENT_QUEUE_SIZE, RECENT_READ_N
 
@@ -16,8 +17,8 @@ def apply_ratings(current: DataFrame, new: DataFrame, mode: str = "upsert",
     the earliest ts (an update only sets the score).  ``append``: both rows
     stay (the original's effective behaviour).  ``order`` names a column that
     totally orders ratings; default ``ts``, with new rows after current ones.
-    A single aggregation with map-side partial max_by/min: a hot pair is
-    pre-combined per task.
+    A single aggregation with map-side partial max_by/min (a hot pair is
+    pre-combined per task); with a numeric order, one hash aggregate per side.
     """
     cols = ["userId", "productId", "score", "ts"]
     if mode == "append":
@@ -25,6 +26,17 @@ def apply_ratings(current: DataFrame, new: DataFrame, mode: str = "upsert",
     if mode != "upsert":
         raise ValueError(f"unknown mode {mode!r}")
     o = order or "ts"
+    if isinstance(current.schema[o].dataType, T.NumericType) and \
+            isinstance(new.schema[o].dataType, T.NumericType):
+        # numeric order: one hash aggregate per side (fixed-width max_by
+        # buffers), then a full outer join on the keys both sides are
+        # already partitioned by; new rows win, the earliest ts is kept
+        def side(df, tag):
+            return df.groupBy("userId", "productId").agg(
+                F.max_by("score", F.col(o)).alias(f"s{tag}"), F.min("ts").alias(f"t{tag}"))
+        both = side(current, 0).join(side(new, 1), ["userId", "productId"], "full")
+        return both.select("userId", "productId",
+                           F.coalesce("s1", "s0").alias("score"), F.least("t0", "t1").alias("ts"))
     cur = current.select(*cols, F.col(o).alias("_o"), F.lit(0).alias("_src"))
     nxt = new.select(*cols, F.col(o).alias("_o"), F.lit(1).alias("_src"))
     u = cur.unionByName(nxt)

@@ -46,3 +46,12 @@ def test_one_pass_statistics_equal_separate(spark):
     a = {k: v for k, v in rows(av)}
     b = {k: v for k, v in rows(ST.average_products(df))}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_upsert_numeric_order_path_equals_struct_path(spark):
+    from pyspark.sql import functions as F
+    cur = spark.createDataFrame([(1, 7, 2.0, 100), (1, 7, 3.0, 150), (2, 8, 1.0, 50), (3, 9, 4.0, 70)], RS)
+    new = spark.createDataFrame([(1, 7, 4.5, 200), (1, 7, 5.0, 300), (4, 1, 2.5, 10)], RS)
+    fast = R.apply_ratings(cur, new, order="ts")
+    slow = R.apply_ratings(cur.withColumn("o", F.struct("ts")), new.withColumn("o", F.struct("ts")), order="o")
+    assert rows(fast) == rows(slow) == [(1, 7, 5.0, 100), (2, 8, 1.0, 50), (3, 9, 4.0, 70), (4, 1, 2.5, 10)]
