@@ -85,48 +85,62 @@ def get_session(master: str | None = None, app: str = "recspark",
     return spark
 
 
+# checkpoint folders made here, by application (only where none was named)
+_OWN_DIRS: dict[str, str] = {}
+_SCRATCH: dict[str, list[str]] = {}
+_SHIPPED: set[str] = set()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only a local-mode session without one
-    gets a fresh temp folder (tests).  A cluster must name a shared folder.
+    ``spark.checkpoint.dir`` names it (a plain path or any Hadoop URI).  Only
+    a local-mode session without one gets a fresh temp folder of its own; a
+    cluster must name a shared folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or _OWN_DIRS.get(sc.applicationId)
     if not d:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        d = tempfile.mkdtemp(prefix="recspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        d = _OWN_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="recspark-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder below the shared checkpoint folder (URIs stay URIs)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-_SHIPPED: set[str] = set()
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder this application has made so far, through
+    the file system that holds it; DataFrames that still read one become
+    unreadable, so call it once their results are written."""
+    sc = spark.sparkContext
+    gone = 0
+    for p in _SCRATCH.pop(sc.applicationId, []):
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        gone += bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``recspark`` importable in the Python workers of every executor.
 
-    The pandas functions of the blocked products and the streaming state are
-    pickled by reference to this package, so executors need it: it is zipped
-    once per application into the shared checkpoint folder and added with
-    ``addPyFile``.
+    Functions sent to workers are pickled by reference to this package, so it
+    is zipped once per application into a folder of the driver and handed to
+    ``addPyFile``, which serves it to the executors.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     base = os.path.dirname(pkg)
-    out = scratch_path(spark, "pyfiles")
-    os.makedirs(out, exist_ok=True)
-    zpath = os.path.join(out, "recspark.zip")
+    zpath = os.path.join(tempfile.mkdtemp(prefix="recspark-pyfiles-"), "recspark.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
             for f in files:
