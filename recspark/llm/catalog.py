@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import mixing, sharding, toxicity
+from recspark.llm import mixing, packing, sharding, toxicity
 from recspark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,12 @@ def op8_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op9_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir)).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op10_sharding(spark, sf_dir):
     return sharding.sharded(documents(spark, sf_dir)).select(
