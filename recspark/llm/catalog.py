@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import jaccard_join, mixing, packing, sharding, toxicity
+from recspark.llm import jaccard_join, line_dedup, mixing, packing, sharding, toxicity
 from recspark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(fn=None, oracle: str | None = None):
     return fn
 
 
+@query
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.deduped(documents(spark, sf_dir)).select(
+        "doc_id", "kept_lines", "lost_lines", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+
+
 @query
 def op4_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
