@@ -1,5 +1,72 @@
-"""placeholder"""
-STAGES = []
+"""Corpus pipeline: from raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
+it as Parquet to the shared scratch folder and reads it again as the next
+stage's documents.  All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recspark.llm import jaccard_join, line_dedup, mixing, packing, toxicity
+from recspark.llm.common import documents, written
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the class-conditional models reject go; a null or empty
+    text is never rejected."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, out="_toxic").where("_toxic < 0.5").select(*docs.columns)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-equal lines one stays; documents without any line
+    left go; ``n_chars`` follows the text."""
+    out = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard_join.one_of_each(line_dedup.numbered(docs)).select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each source by its target: a document comes as often as the mix takes
+    it, the one on the cut if at least half of it is taken; a document without
+    words weighs nothing and comes once."""
+    rows = line_dedup.numbered(docs)
+    taken = mixing.mix(rows, keep=("_row",))
+    times = (F.when(F.col("size") == 0, 1)
+             .otherwise(F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).cast("int"))
+    copies = taken.select("_row", times.alias("_times")).where("_times > 0")
+    return (rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
+            .select(*docs.columns))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids with their sequence and offset."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_dedup_stage),
+    ("jaccard_join", jaccard_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
+
+# learned models and token ids have no SQL form; tests/llm holds a brute-force one
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

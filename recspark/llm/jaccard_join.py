@@ -87,12 +87,12 @@ def _class(s: np.ndarray) -> int | None:
 
 
 def _classes(batches):
-    """doc_id, text hash, class and set size of every document."""
+    """Class and set size of every document in place of its text (the last column)."""
     for b in small_batches(batches):
         sets = shingle_sets(b)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array([_class(s) for s in sets], pa.int64()),
-             pa.array([len(s) for s in sets], pa.int64())], names=["doc_id", "th", "cid", "n"])
+            [*b.columns[:-1], pa.array([_class(s) for s in sets], pa.int64()),
+             pa.array([len(s) for s in sets], pa.int64())], names=[*b.schema.names[:-1], "cid", "n"])
 
 
 def _prefixes(levels, counts_only: bool):
@@ -177,11 +177,13 @@ def linked() -> F.Column:
     return F.col("inter") * 100 >= F.col("uni") * PERCENT
 
 
-def jaccard_components(documents: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), n_shingles, cid (class), component_id
-    for every row."""
+def jaccard_components(documents: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, cid (class), group (of classes), component_id and
+    the column named by ``row`` for every row."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    classes = cut(docs.mapInArrow(_classes, "doc_id long, th long, cid long, n long"))
+    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"),
+                           (F.col(row) if row else F.lit(0)).cast("long").alias("row"), "text")
+    classes = cut(own.mapInArrow(_classes, "doc_id long, th long, row long, cid long, n long"))
     reps = cut(classes.where("cid is not null").groupBy("cid").agg(F.min(F.struct(_key().alias("k"), "th")).alias("r"))
                .select("cid", "r.k", "r.th"))
     by_shingle = W.partitionBy("s")
@@ -237,6 +239,17 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     first = classes.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("d"))
     grouped = first.join(roots.withColumnRenamed("id", "cid"), "cid", "left").withColumn("g", F.coalesce("root", "cid"))
     least = grouped.groupBy("g").agg(F.min("d").alias("component_id"))
-    named = grouped.join(least, "g").select("cid", "component_id")
+    named = grouped.join(least, "g").select("cid", "g", "component_id")
     return classes.join(named, "cid", "left").select(
-        "doc_id", "th", F.col("n").alias("n_shingles"), "cid", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), "cid", F.col("g").alias("group"),
+        F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        *([F.col("row").alias(row)] if row else []))
+
+
+def one_of_each(rows: DataFrame, row: str = "_row") -> DataFrame:
+    """Of each group of linked rows the first in (doc_id, ``row``) order, a
+    null doc_id last; ``row`` numbers the rows."""
+    found = jaccard_components(rows, row)
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", row)
+    kept = found.where("group is not null").groupBy("group").agg(F.min(first).alias("f")).select(f"f.{row}")
+    return rows.join(kept.union(found.where("group is null").select(row)), row, "left_semi")
