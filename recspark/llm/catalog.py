@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import jaccard_join, line_dedup, mixing, packing, sharding, toxicity
+from recspark.llm import (jaccard_join, licenses, line_dedup, mixing, packing, quality, sharding,
+                           toxicity)
 from recspark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,12 @@ def query(fn=None, oracle: str | None = None):
     return fn
 
 
+@query
+def op1_quality(spark, sf_dir):
+    return quality.quality(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
 @query
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.deduped(documents(spark, sf_dir)).select(
@@ -40,6 +47,11 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity(documents(spark, sf_dir), labels).drop("text")
 
 
+@query(oracle=licenses.sql())
+def op6_licenses(spark, sf_dir):
+    return licenses.license_scan(documents(spark, sf_dir))
+
+
 @query(oracle=mixing.SQL)
 def op8_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
