@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.llm import (jaccard_join, licenses, line_dedup, mixing, packing, quality, sharding,
-                           toxicity)
+                           topk, toxicity)
 from recspark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,12 @@ def op6_licenses(spark, sf_dir):
     return licenses.license_scan(documents(spark, sf_dir))
 
 
+@query(oracle=topk.SQL)
+def op7_topk(spark, sf_dir):
+    rows = topk.vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return topk.top_k(rows, F.col("vec_id") % 20 == 0)
+
+
 @query(oracle=mixing.SQL)
 def op8_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")

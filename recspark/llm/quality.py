@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from recspark.llm.common import cut, small_batches, texts
 
 SYMBOLS = "#*$%&|<>"
-KEEP = 0.5
+KEEP = 0.8
 ROUNDS = 100
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_caps", "n_bars", "n_lines")
 _BLANKS = " \t\n\x0b\x0c\r"
