@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.llm import (jaccard_join, licenses, line_dedup, mixing, packing, quality, sharding,
-                           topk, toxicity)
+                           token_files, topk, toxicity)
 from recspark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1_quality(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+@query
+def op2_token_files(spark, sf_dir):
+    return token_files.token_files(documents(spark, sf_dir)).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.deduped(documents(spark, sf_dir)).select(
