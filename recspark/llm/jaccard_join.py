@@ -23,13 +23,14 @@ with d <= 0.2 are linked.
    pairs with |d(x, p) - d(y, p)| > 0.2 for one of its pivots p, which the
    triangle inequality rules out.  Every link between different components is
    therefore found.
-5. Candidate pairs are verified exactly on the shingle sets, which are read
-   again for the classes concerned only, and links go to a distributed
-   union-find.
+5. A candidate pair is dropped if its parity sketches differ in more bits
+   than the symmetric difference of linked sets can have (a lower bound of it,
+   so no link is lost); the others are verified exactly on their texts, and
+   links go to a distributed union-find.
 
-The order of rarity uses the number of classes that meet in a region under
-plain hash order, over all documents, kept as levels in ``LEVELS`` buckets;
-any order gives the same result.
+The order of rarity uses the number of classes that meet in the first regions
+under plain hash order, over all documents, kept as levels in ``LEVELS``
+buckets; any order gives the same result.
 
 Edge cases: null or word-less texts have no set, link with nothing and are
 their own component; texts shorter than a shingle have their whole sequence
@@ -53,9 +54,11 @@ from recspark.llm.components import components
 WORDS = 5
 PERCENT = 80
 SMALL = 8
-ROUNDS = 4
+ROUNDS = 2
 LEVELS = 1 << 20
-HOT = 32            # classes in a region from which on its shingle counts as frequent
+HOT = 8             # classes in a region from which on its shingle counts as frequent
+SAMPLED = 4         # of a class's first regions, the share (1 in ..) that the rarity count looks at
+BITS = 2048         # of a parity sketch
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -86,13 +89,21 @@ def _class(s: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """For each of BITS buckets, whether an odd number of shingles fall into
+    it.  The bits in which two sketches differ number at most |x ^ y|."""
+    odd = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _classes(batches):
     """Class and set size of every document in place of its text (the last column)."""
     for b in small_batches(batches):
         sets = shingle_sets(b)
         yield pa.RecordBatch.from_arrays(
             [*b.columns[:-1], pa.array([_class(s) for s in sets], pa.int64()),
-             pa.array([len(s) for s in sets], pa.int64())], names=[*b.schema.names[:-1], "cid", "n"])
+             pa.array([len(s) for s in sets], pa.int64()), pa.array([_sketch(s) for s in sets], pa.list_(pa.int64()))],
+            names=[*b.schema.names[:-1], "cid", "n", "sketch"])
 
 
 def _prefixes(levels, counts_only: bool):
@@ -110,6 +121,8 @@ def _prefixes(levels, counts_only: bool):
                     rank = level[(s >> np.uint64(44)).astype(np.int64)]
                     if rank.any():
                         s = s[np.argsort(rank, kind="stable")]
+                if counts_only:
+                    p = -(-p // SAMPLED)
                 s_all.append(s[:p].view(np.int64))
                 if not counts_only:
                     c_all.append(np.full(p, _class(np.sort(s)), np.int64))
@@ -122,12 +135,14 @@ def _prefixes(levels, counts_only: bool):
     return run
 
 
-def _whole_sets(batches):
-    for b in small_batches(batches):
-        sets = [s for s in shingle_sets(b) if len(s)]
+def _verify(batches):
+    """Sizes of intersection and union of the shingle sets of two texts."""
+    for b in small_batches(small_batches(batches, "ta", 4 << 20), "tb", 4 << 20):
+        x, y = (shingle_sets(b.select([c]).rename_columns(["text"])) for c in ("ta", "tb"))
+        inter = [len(np.intersect1d(i, j, assume_unique=True)) for i, j in zip(x, y)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([_class(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-            names=["cid", "shingles"])
+            [b.column(0), b.column(1), pa.array(inter, pa.int64()),
+             pa.array([len(i) + len(j) - n for i, j, n in zip(x, y, inter)], pa.int64())], names=["a", "b", "inter", "uni"])
 
 
 def _levels(docs: DataFrame):
@@ -156,17 +171,17 @@ def _pair(a: str, b: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _measure(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Exact Jaccard similarity parts (inter, uni) of candidate pairs."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(reps, "cid")
-    keyed = docs.withColumn("k", _key())
-    rows = keyed.join(wanted.select("k", "th").distinct(), ["k", "th"], "left_semi").select("doc_id", "th", "text")
-    sets = written(rows.mapInArrow(_whole_sets, "cid long, shingles array<long>")
-                   .groupBy("cid").agg(F.first("shingles").alias("shingles")), "sets")
-    one = pairs.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
-    two = one.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a")
-    inter = F.size(F.array_intersect("sa", "sb"))
-    return (two.select("a", "b", inter.alias("inter"), (F.size("sa") + F.size("sb") - inter).alias("uni")))
+def _measure(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, inter, uni) of the candidate pairs whose sketches differ in no
+    more bits than linked sets can; exact, on whole texts."""
+    side = lambda c: members.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    near = (pairs.join(side("a"), "a").join(side("b"), "b")
+            .where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b"))
+    near = cut(near)
+    text = lambda c: members.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}"))
+    return (near.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
+            .mapInArrow(_verify, "a long, b long, inter long, uni long"))
 
 
 def _key():
@@ -183,15 +198,19 @@ def jaccard_components(documents: DataFrame, row: str | None = None) -> DataFram
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"),
                            (F.col(row) if row else F.lit(0)).cast("long").alias("row"), "text")
-    classes = cut(own.mapInArrow(_classes, "doc_id long, th long, row long, cid long, n long"))
-    reps = cut(classes.where("cid is not null").groupBy("cid").agg(F.min(F.struct(_key().alias("k"), "th")).alias("r"))
-               .select("cid", "r.k", "r.th"))
+    classes = cut(own.mapInArrow(_classes, "doc_id long, th long, row long, cid long, n long, sketch array<long>"))
+    reps = classes.where("cid is not null").groupBy("cid").agg(
+        F.min(F.struct(_key().alias("k"), "th")).alias("r"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     by_shingle = W.partitionBy("s")
     regions = written(
         docs.mapInArrow(_prefixes(_levels(docs), False), "s long, cid long, n int, pos int")
         .repartition("s").groupBy("s", "cid").agg(F.first("n").alias("n"), F.min("pos").alias("pos"))
         .withColumn("size", F.count("*").over(by_shingle)).where("size > 1"), "regions")
 
+    # text and sketch of one document of each class that meets another
+    met = reps.join(regions.select("cid").distinct(), "cid", "left_semi").select("cid", "r.k", "r.th", "n", "sketch")
+    members = written(docs.withColumn("k", _key()).join(met, ["k", "th"]).dropDuplicates(["k", "th"])
+                      .select("cid", "n", "sketch", "text"), "members")
     small, large = regions.where(F.col("size") <= SMALL), regions.where(F.col("size") > SMALL)
     pairs = (small.alias("x").join(small.alias("y"), "s").where("x.cid < y.cid").where(_fits("x", "y"))
              .select(*_pair("x", "y")))
@@ -231,7 +250,7 @@ def jaccard_components(documents: DataFrame, row: str | None = None) -> DataFram
         pairs = pairs.distinct()
         if seen is not None:
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
-        measured = cut(_measure(docs, reps, cut(pairs)))
+        measured = cut(_measure(members, cut(pairs)))
         seen = measured if seen is None else seen.union(measured)
         found = measured.where(linked()).select("a", "b")
         links = found if links is None else links.union(found)
