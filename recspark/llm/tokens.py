@@ -11,14 +11,24 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 
 import numpy as np
 import public_tokenizers
-import regex
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHE = 300_000
+CACHE = 500_000
 _PLAIN = re.compile("[^\t\n\x0b\x0c\r -~\xa1-ɏ]")
+
+
+def _class(kind: str) -> str:
+    """Characters of a Unicode category among the plain ones."""
+    return "".join(re.escape(chr(c)) for c in range(33, 0x250) if unicodedata.category(chr(c))[0] == kind)
+
+
+_LETTER, _DIGIT = _class("L"), _class("N")
+# public_tokenizers.PATTERN on plain characters, without Unicode properties
+_PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\s{_LETTER}{_DIGIT}]+|\s+(?!\S)|\s+")
 _LOADED: dict[str, "Encoder"] = {}
 
 
@@ -28,20 +38,28 @@ class Encoder:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.pieces = regex.compile(public_tokenizers.PATTERN)
         self.kept: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, new: list[str]) -> list[bytes]:
+        """Ids of each piece, by one call for all of them."""
+        if not new:
+            return []
+        e = self.library.encode(new, is_pretokenized=True, add_special_tokens=False)
+        ends = 4 * np.searchsorted(np.array(e.word_ids), np.arange(len(new) + 1))
+        ids = np.array(e.ids, dtype="<u4").tobytes()
+        return [ids[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        found = [None if _PLAIN.search(t) else self.pieces.findall(t) for t in texts]
-        new = list({p for ps in found if ps for p in ps}.difference(self.kept))
+        found = [None if _PLAIN.search(t) else _PIECES.findall(t) for t in texts]
+        new = list(set().union(*filter(None, found)).difference(self.kept))
         if len(new) > CACHE // 8 and len(self.kept) == CACHE:
-            self.kept, new = {}, list({p for ps in found if ps for p in ps})  # other texts than before
-        fresh = dict(zip(new, self._library(new)))
+            self.kept, new = {}, list(set().union(*filter(None, found)))  # other texts than before
+        fresh = dict(zip(new, self._pieces(new)))
         room = CACHE - len(self.kept)
         if len(fresh) <= room:
             self.kept.update(fresh)
