@@ -107,9 +107,9 @@ def split_tags(df: DataFrame, col: str = "tags", out: str = "tag") -> DataFrame:
 def format_rating_event(userId="userId", productId="productId", score="score",
                         ts="ts", prefix: str = RATING_LOG_PREFIX) -> Column:
     """Rating -> ``PREFIX:user|product|score|ts`` log payload."""
-    return F.concat(F.lit(prefix), F.concat_ws(
-        "|", _c(userId).cast("string"), _c(productId).cast("string"),
-        _c(score).cast("string"), _c(ts).cast("string")))
+    # a NULL field stays an empty field, so the others keep their places
+    return F.concat(F.lit(prefix), F.concat_ws("|", *[
+        F.coalesce(_c(c).cast("string"), F.lit("")) for c in (userId, productId, score, ts)]))
 
 
 def register_sql_functions(spark: SparkSession) -> None:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from recspark.constants import RECENT_QUEUE_SIZE, RECENT_READ_N
 
@@ -15,10 +14,10 @@ def apply_ratings(current: DataFrame, new: DataFrame, mode: str = "upsert",
 
     ``upsert``: one row per (userId, productId) holding the latest score and
     the earliest ts (an update only sets the score).  ``append``: both rows
-    stay (the original's effective behaviour).  ``order`` names a column that
-    totally orders ratings; default ``ts``, with new rows after current ones.
-    A single aggregation with map-side partial max_by/min (a hot pair is
-    pre-combined per task); with a numeric order, one hash aggregate per side.
+    stay (the original's effective behaviour).  New rows come after current
+    ones; within each side ``order`` (default ``ts``) decides, then ts, then
+    the score, so the result is one whatever the order's type.  A NULL new
+    score is a score: it replaces the old one.
     """
     cols = ["userId", "productId", "score", "ts"]
     if mode == "append":
@@ -26,23 +25,16 @@ def apply_ratings(current: DataFrame, new: DataFrame, mode: str = "upsert",
     if mode != "upsert":
         raise ValueError(f"unknown mode {mode!r}")
     o = order or "ts"
-    if isinstance(current.schema[o].dataType, T.NumericType) and \
-            isinstance(new.schema[o].dataType, T.NumericType):
-        # numeric order: one hash aggregate per side (fixed-width max_by
-        # buffers), then a full outer join on the keys both sides are
-        # already partitioned by; new rows win, the earliest ts is kept
-        def side(df, tag):
-            return df.groupBy("userId", "productId").agg(
-                F.max_by("score", F.col(o)).alias(f"s{tag}"), F.min("ts").alias(f"t{tag}"))
-        both = side(current, 0).join(side(new, 1), ["userId", "productId"], "full")
-        return both.select("userId", "productId",
-                           F.coalesce("s1", "s0").alias("score"), F.least("t0", "t1").alias("ts"))
-    cur = current.select(*cols, F.col(o).alias("_o"), F.lit(0).alias("_src"))
-    nxt = new.select(*cols, F.col(o).alias("_o"), F.lit(1).alias("_src"))
-    u = cur.unionByName(nxt)
-    return (u.groupBy("userId", "productId")
-             .agg(F.max_by("score", F.struct("_src", "_o")).alias("score"),
-                  F.min("ts").alias("ts")))
+
+    def side(df, tag):
+        # the score travels in a struct, so a NULL score is still a value
+        return df.groupBy("userId", "productId").agg(
+            F.max_by(F.struct("score"), F.struct(F.col(o).alias("o"), "ts", "score")).alias(f"s{tag}"),
+            F.min("ts").alias(f"t{tag}"))
+
+    both = side(current, 0).join(side(new, 1), ["userId", "productId"], "full")
+    return both.select("userId", "productId", F.coalesce("s1", "s0")["score"].alias("score"),
+                       F.least("t0", "t1").alias("ts"))
 
 
 def recent_ratings(ratings: DataFrame, n: int = RECENT_READ_N,
@@ -56,16 +48,10 @@ def recent_ratings(ratings: DataFrame, n: int = RECENT_READ_N,
     before the shuffle.
     """
     keep = min(n, queue_size)
-    w = Window.partitionBy("userId").orderBy(F.col(order).desc())
+    # ties of the order go to the larger product, then the larger score
+    w = Window.partitionBy("userId").orderBy(F.col(order).desc(), F.col("productId").desc(), F.col("score").desc())
     return (ratings.select("userId", "productId", "score", order)
             .withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= keep)
             .select("userId", F.col("rank").cast("int").alias("rank"),
                     "productId", "score"))
-
-
-def last_event_per_user(ratings: DataFrame, order: str = "ts") -> DataFrame:
-    """Each user's newest rating: (userId, productId, score, ts)."""
-    return (ratings.groupBy("userId")
-            .agg(F.max_by(F.struct("productId", "score", "ts"), F.col(order)).alias("e"))
-            .select("userId", "e.productId", "e.score", "e.ts"))

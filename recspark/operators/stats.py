@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recspark.functions.expr import rating_month
+from recspark.session import checkpoint_dir
 
 
 def rate_more_products(ratings: DataFrame) -> DataFrame:
@@ -33,25 +34,25 @@ def rate_more_recently_products(ratings: DataFrame) -> DataFrame:
 
 
 def average_products(ratings: DataFrame) -> DataFrame:
-    """productId, avg(score)."""
-    return ratings.groupBy("productId").agg(F.avg("score").alias("avg"))
+    """productId, avg(score); ratings without a product have no row."""
+    return ratings.where(F.col("productId").isNotNull()).groupBy("productId").agg(F.avg("score").alias("avg"))
 
 
-def statistics_tables(ratings: DataFrame, persist: bool = True):
+def statistics_tables(ratings: DataFrame):
     """All three statistics from one scan of the ratings.
 
     One partial aggregation by (yearmonth, productId) keeps count and score
     sum; it is as large as products x months, far below the ratings, and the
-    three tables are cheap re-aggregations of it.  Returns
-    ``(rate_more, rate_more_recently, average)``.
+    three tables are cheap re-aggregations of it, each agreeing with its own
+    operator above.  Returns ``(rate_more, rate_more_recently, average)``.
     """
     monthly = (ratings.where(F.col("productId").isNotNull())
                .select("productId", "score", rating_month("ts").alias("yearmonth"))
                .groupBy("yearmonth", "productId")
                .agg(F.count(F.lit(1)).alias("count"), F.sum("score").alias("score_sum"),
                     F.count("score").alias("n_scores")))
-    if persist:
-        monthly = monthly.persist()
+    checkpoint_dir(ratings.sparkSession)
+    monthly = monthly.checkpoint()
     recent = monthly.select("productId", "count", "yearmonth")
     per_product = monthly.groupBy("productId").agg(
         F.sum("count").alias("count"), F.sum("score_sum").alias("score_sum"),

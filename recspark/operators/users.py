@@ -29,10 +29,14 @@ def register_users(existing: DataFrame, requests: DataFrame, order: str = "times
     return existing.select(*cols).unionByName(new)
 
 
-def update_user_prefs(users: DataFrame, updates: DataFrame) -> DataFrame:
-    """Set ``first`` and ``prefGenres`` by userId; other users unchanged."""
-    u = updates.select("userId", F.col("first").alias("_first"),
-                       F.col("prefGenres").alias("_genres"))
+def update_user_prefs(users: DataFrame, updates: DataFrame, order: str | None = None) -> DataFrame:
+    """Set ``first`` and ``prefGenres`` by userId; other users unchanged.  Of
+    several updates of one user the last by ``order`` counts (without it the
+    largest (first, prefGenres), so the result never depends on row order)."""
+    last = [F.col(order)] if order else []
+    u = (updates.groupBy("userId")
+         .agg(F.max_by(F.struct("first", "prefGenres"), F.struct(*last, "first", "prefGenres")).alias("u"))
+         .select("userId", F.col("u.first").alias("_first"), F.col("u.prefGenres").alias("_genres")))
     return (users.join(u, "userId", "left")
             .withColumn("first", F.coalesce(F.col("_first"), F.col("first")))
             .withColumn("prefGenres", F.coalesce(F.col("_genres"), F.col("prefGenres")))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark import schemas
+from recspark.constants import MAX_SIM_PRODUCTS
 from recspark.functions import expr as X
 from recspark.operators import als as A
 from recspark.operators import online as O
@@ -37,7 +38,7 @@ ORACLES: dict[str, str] = {}
 # so the 0.6 / 0.4 production thresholds would leave nothing to check
 VEC_SIM_FLOOR = 0.2
 VEC_SCORE_FLOOR = 0.1
-VIEW_TOP = 10
+VIEW_TOP = MAX_SIM_PRODUCTS  # list length of the stored similarity tables
 
 
 def query(name: str, oracle: str | None = None):
@@ -119,21 +120,16 @@ def q_table_layout(spark, d):
     return IO.read_table(spark, path)
 
 
-_OLD_LISTS = f"""SELECT userId, rank, productId, score FROM (
-    SELECT userId, productId, score, row_number() OVER (PARTITION BY userId
-      ORDER BY o1 DESC, o2 DESC, o3 DESC, o4 DESC, o5 DESC) AS rank FROM ({S.RATINGS})) WHERE rank <= 5"""
-_NEW_LISTS = f"""SELECT userId, rank, productId, score FROM (
-    SELECT userId, productId, score, row_number() OVER (PARTITION BY userId
-      ORDER BY ts_full DESC, event_id DESC) AS rank FROM ({S.EVENT_RATINGS})) WHERE rank <= 5"""
+_OLD_LISTS = f"SELECT userId, productId, score FROM ({S.RATINGS})"
+_NEW_LISTS = f"SELECT userId, productId, score FROM ({S.EVENT_RATINGS})"
 
 
 @query("replace_by_key", f"""
     SELECT * FROM ({_OLD_LISTS}) o WHERE userId NOT IN (SELECT userId FROM ({_NEW_LISTS}))
     UNION ALL SELECT * FROM ({_NEW_LISTS})""")
 def q_replace_by_key(spark, d):
-    old = R.recent_ratings(DT.ratings(spark, d, with_order=True), n=5, order="ord")
-    new = R.recent_ratings(DT.event_ratings(spark, d, with_order=True), n=5, order="ord")
-    return IO.replace_by_key(old, new, "userId")
+    cols = ["userId", "productId", "score"]
+    return IO.replace_by_key(DT.ratings(spark, d).select(*cols), DT.event_ratings(spark, d).select(*cols), "userId")
 
 
 def _log_files(spark, d, n_files: int = 4) -> str:
@@ -288,14 +284,15 @@ def q_split_tags(spark, d):
 
 # ================================================================== 2.C joins
 
-_EVENT_TOP5 = f"""SELECT userId, rank, productId, score FROM (
+_EVENT_LISTS = f"""SELECT userId, rank, productId, score FROM (
     SELECT userId, productId, score, row_number() OVER (PARTITION BY userId
-      ORDER BY ts_full DESC, event_id DESC) AS rank FROM ({S.EVENT_RATINGS})) WHERE rank <= 5"""
+      ORDER BY ts_full DESC, event_id DESC) AS rank FROM ({S.EVENT_RATINGS}))"""
 
 
-@query("hydrate_products", _hydrated_sql(_EVENT_TOP5, key="userId"))
+@query("hydrate_products", _hydrated_sql(_EVENT_LISTS, key="userId"))
 def q_hydrate_products(spark, d):
-    recs = R.recent_ratings(DT.event_ratings(spark, d, with_order=True), n=5, order="ord")
+    whole = 2 ** 31 - 1  # every rating of every user
+    recs = R.recent_ratings(DT.event_ratings(spark, d, with_order=True), n=whole, queue_size=whole, order="ord")
     h = SV.hydrate_products(recs, DT.products(spark, d), ST.average_products(DT.ratings(spark, d)))
     return h.select(*_hydrated_cols("userId"))
 
@@ -518,7 +515,8 @@ def _model(spark, d):
     return A.als_fit(DT.ratings(spark, d))
 
 
-@query("als_fit")
+# factors are seeded floats; that every rated product has rank 5 of them is not
+@query("als_fit", f"SELECT productId, CAST(5 AS INTEGER) AS rank FROM (SELECT DISTINCT productId FROM ({S.RATINGS}))")
 def q_als_fit(spark, d):
     m = _model(spark, d)
     return m.itemFactors.select(F.col("id").alias("productId"), F.size("features").alias("rank"))
@@ -534,7 +532,10 @@ def q_als_product_recs(spark, d):
     return A.als_product_recs(_model(spark, d))
 
 
-@query("random_split")
+@query("random_split", f"""SELECT userId, productId, score, ts,
+        CASE WHEN ('0x' || substr(md5('42|' || userId || '|' || productId || '|' || CAST(round(score * 100) AS BIGINT)
+             || '|' || ts), 1, 8))::BIGINT % 1000 < 800 THEN 'train' ELSE 'test' END AS part
+        FROM ({S.RATINGS})""")
 def q_random_split(spark, d):
     train, test = A.random_split(DT.ratings(spark, d))
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
@@ -543,8 +544,7 @@ def q_random_split(spark, d):
 @query("als_grid_search")
 def q_als_grid_search(spark, d):
     train, test = A.random_split(DT.ratings(spark, d))
-    # small grid for the check run; the production grid is the default
-    return A.als_grid_search(spark, train, test, ranks=(5, 10), lambdas=(0.1, 0.01), max_iter=5)
+    return A.als_grid_search(spark, train, test)  # all 12 fits of the original's grid
 
 
 # ======================================================== 2.H streaming
@@ -573,7 +573,7 @@ def q_stream_recent_state(spark, d):
         "userId", F.col("rank").cast("int"), "productId", "score")
 
 
-_STREAM_ONLINE = S.online(S.LOGGED_RATINGS, "ts DESC", recent_n=21, k=20)
+_STREAM_ONLINE = S.online(S.LOGGED_RATINGS, "ts DESC, productId DESC, score DESC", recent_n=21, k=20, history_sql=S.RATINGS)
 
 
 def _stream_recs_root(spark, d) -> str:
@@ -582,7 +582,7 @@ def _stream_recs_root(spark, d) -> str:
     root = scratch_path(spark, "stream-recs")
     src = STR.rating_stream_source(spark, fmt="text", path=_log_files(spark, d), maxFilesPerTrigger=1)
     parsed = STR.stream_rating_parse(STR.stream_log_filter(src))
-    writer = STR.StreamRecsWriter(root, sims_path, min_sim=VEC_SCORE_FLOOR)
+    writer = STR.StreamRecsWriter(root, sims_path, min_sim=VEC_SCORE_FLOOR, history=DT.ratings(spark, d))
     q = STR.start(parsed, None, None, scratch_path(spark, "stream-recs-ckpt"),
                   trigger={"availableNow": True}, foreach_batch=writer)
     q.awaitTermination()
@@ -595,20 +595,29 @@ def q_stream_recs(spark, d):
     return out.select("userId", F.col("rank").cast("int"), "productId", r6("score").alias("score"))
 
 
-@query("trigger_and_offsets")
+@query("trigger_and_offsets", f"SELECT count(*) AS input_rows, count(*) AS input_rows_after_restart FROM ({S.LOG_LINES})")
 def q_trigger_and_offsets(spark, d):
-    src = STR.rating_stream_source(spark, fmt="text", path=_log_files(spark, d), maxFilesPerTrigger=1)
-    out, ck = scratch_path(spark, "progress"), scratch_path(spark, "progress-ckpt")
-    q = STR.start(STR.stream_log_filter(src), "parquet", out, ck, trigger={"availableNow": True})
-    q.awaitTermination()
-    def field(p, k):
-        return p[k] if isinstance(p, dict) else getattr(p, k)
-    rows = [(int(field(p, "batchId")), int(field(p, "numInputRows"))) for p in q.recentProgress]
-    return spark.createDataFrame(rows, "batchId bigint, numInputRows bigint")
+    """Rows that a stream has taken in by its committed offsets: all of them
+    once, and none twice after a restart from the checkpoint."""
+    files, out, ck = _log_files(spark, d), scratch_path(spark, "progress"), scratch_path(spark, "progress-ckpt")
+
+    def drain():
+        src = STR.rating_stream_source(spark, fmt="text", path=files, maxFilesPerTrigger=1)
+        q = STR.start(src.select("value"), "parquet", out, ck, trigger={"availableNow": True})
+        q.awaitTermination()
+        return spark.read.schema("value string").parquet(out).count()
+
+    return spark.createDataFrame([(drain(), drain())], "input_rows bigint, input_rows_after_restart bigint")
 
 
 # ============================================================ 2.J serving views
 
+def _pairs_top_sql(pairs_sql: str, k: int) -> str:
+    return f"""SELECT productId AS itemId, CAST(rank AS INTEGER) AS rank, simProductId AS productId, sim AS score
+               FROM (SELECT *, row_number() OVER (PARTITION BY productId ORDER BY round(sim, 9) DESC, simProductId)
+                     AS rank FROM ({pairs_sql})) WHERE rank <= {k}"""
+
+
 @query("offline_recs")
 def q_offline_recs(spark, d):
     r = DT.ratings(spark, d)
@@ -625,12 +634,6 @@ def q_stream_recs_view(spark, d):
     return out.select(*_hydrated_cols("userId"))
 
 
-def _pairs_top_sql(pairs_sql: str, k: int) -> str:
-    return f"""SELECT productId AS itemId, CAST(rank AS INTEGER) AS rank, simProductId AS productId, sim AS score
-               FROM (SELECT *, row_number() OVER (PARTITION BY productId ORDER BY round(sim, 9) DESC, simProductId)
-                     AS rank FROM ({pairs_sql})) WHERE rank <= {k}"""
-
-
 def _pairs_view(pairs: DataFrame, spark, d, k: int) -> DataFrame:
     top = RC.top_k_per_key(pairs, "productId", "simProductId", "sim", k)
     recs = top.select(F.col("productId").alias("itemId"), F.col("rank").cast("int"),
@@ -655,7 +658,7 @@ def _content_sql(min_sim: float) -> str:
     dq AS (SELECT tag, count(*) AS df FROM tf GROUP BY tag),
     nn AS (SELECT count(DISTINCT productId) AS n FROM ({S.PRODUCTS})),
     w0 AS (SELECT tf.productId, tf.tag, tf.tf * ln((n + 1.0) / (df + 1.0)) AS w
-           FROM tf JOIN dq USING (tag) CROSS JOIN nn WHERE df <= 0.05 * n),
+           FROM tf JOIN dq USING (tag) CROSS JOIN nn WHERE df < n),
     w AS (SELECT productId, tag, w / sqrt(sum(w * w) OVER (PARTITION BY productId)) AS w FROM w0)
     SELECT a.productId, b.productId AS simProductId, sum(a.w * b.w) AS sim
     FROM w a JOIN w b ON a.tag = b.tag AND a.productId <> b.productId
@@ -673,13 +676,12 @@ def q_item_cf_view(spark, d):
     return _pairs_view(SIM.item_cf(DT.ratings(spark, d), top_k=VIEW_TOP), spark, d, VIEW_TOP)
 
 
-CONTENT_MIN_SIM = 0.6
-
-
-@query("content_based", f"SELECT productId, simProductId, round(sim, 6) AS sim FROM ({_content_sql(CONTENT_MIN_SIM)})")
+@query("content_based", f"""SELECT itemId AS productId, rank, productId AS simProductId, round(score, 6) AS sim
+        FROM ({_pairs_top_sql(_content_sql(0.0), VIEW_TOP)})""")
 def q_content_based(spark, d):
-    p = SIM.content_based(DT.products(spark, d), min_sim=CONTENT_MIN_SIM)
-    return p.select("productId", "simProductId", r6("sim").alias("sim"))
+    p = SIM.content_based(DT.products(spark, d), top_k=VIEW_TOP)
+    top = RC.top_k_per_key(p, "productId", "simProductId", "sim", VIEW_TOP)
+    return top.select("productId", F.col("rank").cast("int"), "simProductId", r6("sim").alias("sim"))
 
 
 @query("content_based_view", _hydrated_sql(_pairs_top_sql(_content_sql(0.0), VIEW_TOP), key="itemId"))

@@ -13,17 +13,20 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark import schemas
 from recspark.constants import MAX_SIM_PRODUCTS, PRODUCT_SIM_THRESHOLD
 
-HOT_VIEW_ROWS = 1000  # the recent-hot ranking kept for requests (num <= this)
 from recspark.operators import als as A
+from recspark.operators import ratings as R
 from recspark.operators import recs as RC
 from recspark.operators import similarity as SIM
 from recspark.operators import stats as ST
+from recspark.operators import users as U
+from recspark.session import checkpoint_dir
 from recspark.sources import files as IO
 from recspark.streaming import online as STR
 
@@ -54,7 +57,7 @@ def statistics_job(spark: SparkSession, warehouse: str) -> None:
 
 def offline_job(spark: SparkSession, warehouse: str, rank: int = 5, max_iter: int = 10,
                 reg: float = 0.01, min_sim: float = PRODUCT_SIM_THRESHOLD,
-                product_top_k: int | None = None, seed: int = 42,
+                product_top_k: int | None = MAX_SIM_PRODUCTS, seed: int = 42,
                 exclude_rated: bool = False) -> None:
     """Rating -> ALS -> UserRecs (top 20 positive; rated products kept unless
     ``exclude_rated``) and ProductRecs (factor cosine)."""
@@ -77,8 +80,9 @@ def als_tuning_job(spark: SparkSession, warehouse: str, **grid) -> DataFrame:
     return A.als_grid_search(spark, train, test, **grid).orderBy("rmse")
 
 
-def similarity_jobs(spark: SparkSession, warehouse: str, top_k: int | None = None) -> None:
-    """Rating -> ItemCFProductRecs; Product -> ContentBasedProductRecs."""
+def similarity_jobs(spark: SparkSession, warehouse: str, top_k: int | None = MAX_SIM_PRODUCTS) -> None:
+    """Rating -> ItemCFProductRecs; Product -> ContentBasedProductRecs.  Lists
+    hold the ``top_k`` most similar products (None: all of them)."""
     for name, pairs in (("ItemCFProductRecs", SIM.item_cf(read(spark, warehouse, "Rating"), top_k=top_k)),
                         ("ContentBasedProductRecs",
                          SIM.content_based(read(spark, warehouse, "Product"), top_k=top_k))):
@@ -90,6 +94,34 @@ def product_sims(spark: SparkSession, warehouse: str, table: str = "ProductRecs"
     return read(spark, warehouse, table).select("productId", "simProductId", "sim")
 
 
+def _replace(df: DataFrame, path: str, key: str) -> None:
+    """Overwrite a table by a result that was computed from it."""
+    checkpoint_dir(df.sparkSession)
+    IO.table_layout(df.checkpoint(), path, key)
+
+
+def ratings_job(spark: SparkSession, warehouse: str, new: DataFrame, mode: str = "upsert") -> None:
+    """New ratings (userId, productId, score, ts) -> Rating, so that the
+    statistics, ALS, item-CF and online jobs see them."""
+    merged = R.apply_ratings(read(spark, warehouse, "Rating"), new, mode=mode)
+    _replace(merged, _t(warehouse, "Rating"), "userId")
+
+
+def users_job(spark: SparkSession, warehouse: str, requests: DataFrame | None = None,
+              preferences: DataFrame | None = None) -> None:
+    """Registrations (username, timestamp) and preference updates (userId,
+    first, prefGenres) -> User."""
+    try:
+        users = read(spark, warehouse, "User")
+    except AnalysisException:  # the first registration
+        users = spark.createDataFrame([], schemas.USER)
+    if requests is not None:
+        users = U.register_users(users, requests)
+    if preferences is not None:
+        users = U.update_user_prefs(users, preferences)
+    _replace(users.select(*schemas.USER.names), _t(warehouse, "User"), "userId")
+
+
 def log_processor_job(spark: SparkSession, checkpoint: str, source: dict, sink: dict,
                       trigger: dict | None = None):
     """Log topic -> rating payloads -> output topic (stateless, checkpointed)."""
@@ -114,7 +146,9 @@ def online_job(spark: SparkSession, warehouse: str, checkpoint: str, source: dic
     IO.write_table(product_sims(spark, warehouse), sims_path)
     events = STR.stream_rating_parse(STR.rating_stream_source(spark, **source))
     writer = STR.StreamRecsWriter(_t(warehouse, "StreamRecs"), sims_path, k=k, min_sim=min_sim,
-                                  hydrate_with=_t(warehouse, "ServeInfo") if hydrate else None)
+                                  hydrate_with=_t(warehouse, "ServeInfo") if hydrate else None,
+                                  history=_t(warehouse, "Rating"),
+                                  run=STR.stream_run(spark, checkpoint, _t(warehouse, "StreamRecs")))
     return STR.start(events, None, None, checkpoint, trigger, foreach_batch=writer)
 
 
@@ -123,7 +157,7 @@ def serving_views_job(spark: SparkSession, warehouse: str) -> None:
     and average scores, clustered by its request key, so a request is one
     filtered scan that skips files and row groups outside the key.
 
-    ServeInfo (productId), ServeRate / ServeHot (rank), ServeItemCF and
+    ServeInfo (productId), ServeRate (count), ServeHot (yearmonth), ServeItemCF and
     ServeContentBased (itemId), ServeOffline (userId).  Rebuilt after the
     statistics / offline / similarity jobs.
     """
@@ -132,13 +166,11 @@ def serving_views_job(spark: SparkSession, warehouse: str) -> None:
     info = SV.hydrate_products(products.select("productId").withColumn("rank", F.lit(1)),
                                products, averages, rec_score=None)
     IO.table_layout(info, _t(warehouse, "ServeInfo"), "productId")
-    rate = read(spark, warehouse, "RateMoreProducts").withColumn("_k", F.lit(0))
-    ranked = RC.top_k_per_key(rate, "_k", "productId", "count", None).drop("_k")
-    IO.table_layout(SV.hydrate_products(ranked, products, averages, rec_score=None),
-                    _t(warehouse, "ServeRate"), "rank")
-    hot = read(spark, warehouse, "RateMoreRecentlyProducts")
-    IO.table_layout(SV.hot_recent(hot, products, averages, n=HOT_VIEW_ROWS),
-                    _t(warehouse, "ServeHot"), "rank")
+    # popularity is stored whole and unranked: a request orders and limits it
+    IO.table_layout(SV.hydrate_products(read(spark, warehouse, "RateMoreProducts"), products, averages, rec_score=None),
+                    _t(warehouse, "ServeRate"), "count")
+    IO.table_layout(SV.hydrate_products(read(spark, warehouse, "RateMoreRecentlyProducts"), products, averages,
+                                        rec_score=None), _t(warehouse, "ServeHot"), "yearmonth")
     for src, dst in (("ItemCFProductRecs", "ServeItemCF"),
                      ("ContentBasedProductRecs", "ServeContentBased")):
         recs = read(spark, warehouse, src).select(
@@ -153,12 +185,13 @@ def serving_views_job(spark: SparkSession, warehouse: str) -> None:
 def online_replay_job(spark: SparkSession, warehouse: str, ratings: DataFrame,
                       min_sim: float = 0.4, k: int = MAX_SIM_PRODUCTS) -> None:
     """Batch replay of the online job over a whole rating log, written in the
-    StreamRecs layout (as batch 0, hydrated like the stream's deltas), e.g. to
+    StreamRecs layout (as run 0, which no stream overwrites, hydrated like the stream's deltas), e.g. to
     seed it before a stream starts.  Needs ServeInfo (``serving_views_job``)."""
     from recspark.operators.online import online_recs
-    recs = online_recs(ratings, product_sims(spark, warehouse), min_sim=min_sim, k=k)
+    recs = online_recs(ratings, product_sims(spark, warehouse), min_sim=min_sim, k=k,
+                       history=read(spark, warehouse, "Rating"))
     recs = STR.hydrate_delta(recs, read(spark, warehouse, "ServeInfo"))
-    IO.table_layout(recs, os.path.join(_t(warehouse, "StreamRecs"), "recs", "batch_id=0"), "userId")
+    IO.table_layout(recs, os.path.join(_t(warehouse, "StreamRecs"), "recs", "run=0", "batch_id=0"), "userId")
 
 
 def stream_recs(spark: SparkSession, warehouse: str, user_id: int | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ hydrated, newest batch per user.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recspark.plans.jobs import read, stream_recs
@@ -18,12 +18,19 @@ from recspark.plans.jobs import read, stream_recs
 
 def hot(spark: SparkSession, wh: str, num: int = 6) -> DataFrame:
     """/hot: recently popular products."""
-    return read(spark, wh, "ServeHot").where(F.col("rank") <= num)
+    order = [F.col("yearmonth").desc(), F.col("count").desc(), F.col("productId").asc()]
+    top = read(spark, wh, "ServeHot").orderBy(*order).limit(num)
+    top = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # num rows
+    # a product listed for several months keeps its best rank
+    best = F.min("rank").over(Window.partitionBy("productId"))
+    return top.withColumn("_best", best).where(F.col("rank") == F.col("_best")).drop("_best")
 
 
 def rate(spark: SparkSession, wh: str, num: int = 6) -> DataFrame:
     """/rate: most-rated products."""
-    return read(spark, wh, "ServeRate").where(F.col("rank") <= num)
+    order = [F.col("count").desc(), F.col("productId").asc()]
+    top = read(spark, wh, "ServeRate").orderBy(*order).limit(num)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # num rows
 
 
 def info(spark: SparkSession, wh: str, product_id: int) -> DataFrame:
@@ -38,12 +45,33 @@ def similar(spark: SparkSession, wh: str, view: str, product_id: int,
     return r if num is None else r.where(F.col("rank") <= num)
 
 
+def search(spark: SparkSession, wh: str, pattern: str) -> DataFrame:
+    """/search: products whose name matches an unanchored regular expression."""
+    return read(spark, wh, "ServeInfo").where(F.col("name").rlike(pattern))
+
+
+def user_id(spark: SparkSession, wh: str, username: str) -> DataFrame:
+    """The userId of a registered name (no row if there is none)."""
+    return read(spark, wh, "User").where(F.col("username") == username).select("userId")
+
+
 def offline(spark: SparkSession, wh: str, user_id: int, num: int | None = None) -> DataFrame:
     """/offline: a user's ALS list."""
     r = read(spark, wh, "ServeOffline").where(F.col("userId") == user_id)
     return r if num is None else r.where(F.col("rank") <= num)
 
 
+def offline_of(spark: SparkSession, wh: str, username: str, num: int | None = None) -> DataFrame:
+    """/offline by name: the list of a registered user."""
+    r = read(spark, wh, "ServeOffline").join(user_id(spark, wh, username), "userId")
+    return r if num is None else r.where(F.col("rank") <= num)
+
+
+def stream_of(spark: SparkSession, wh: str, username: str) -> DataFrame:
+    """/stream by name."""
+    return stream_recs(spark, wh).join(user_id(spark, wh, username), "userId")
+
+
 def stream(spark: SparkSession, wh: str, user_id: int) -> DataFrame:
     """/stream: a user's online list (deltas are stored hydrated)."""
     return stream_recs(spark, wh, user_id)

@@ -39,7 +39,7 @@ USERS = "SELECT CAST(c_custkey AS INTEGER) AS userId, c_name AS username FROM cu
 # purchase / click events carry the rating payload
 LOG_LINES = f"""
   SELECT '2024-01-01 INFO --- [http-nio-8088-exec-' || CAST(event_id % 10 AS VARCHAR)
-         || '] ProductRestApi(line: 123) : '
+         || '] ratings.api(line: 123) : '
          || CASE WHEN event_type IN ('purchase', 'click')
                  THEN '{RATING_LOG_PREFIX}' || CAST(userId AS VARCHAR) || '|' || CAST(productId AS VARCHAR)
                       || '|' || CAST(score AS VARCHAR) || '|' || CAST(ts AS VARCHAR)
@@ -65,15 +65,18 @@ def sims(min_sim: float) -> str:
 
 
 def online(events_sql: str, order: str, sim_floor: float = 0.2, score_floor: float = 0.1,
-           recent_n: int = 21, k: int = 20) -> dict[str, str]:
-    """CTE bodies of the online recommender as of each user's newest rating."""
+           recent_n: int = 21, k: int = 20,
+           history_sql: str | None = None) -> dict[str, str]:
+    """CTE bodies of the online recommender as of each user's newest rating;
+    ``history_sql``: ratings that count as rated besides the events."""
     ctes = {
         "er": events_sql,
         "sims": sims(sim_floor),
         "ordered": f"SELECT *, row_number() OVER (PARTITION BY userId ORDER BY {order}) AS rn FROM er",
         "recents": f"SELECT userId, rn AS rank, productId, score FROM ordered WHERE rn <= {recent_n}",
         "trig": "SELECT userId, productId FROM ordered WHERE rn = 1",
-        "rated": "SELECT DISTINCT userId, productId FROM er",
+        "rated": "SELECT DISTINCT userId, productId FROM er"
+                 + (f" UNION SELECT userId, productId FROM ({history_sql})" if history_sql else ""),
         "cand0": """SELECT t.userId, s.simProductId AS productId, s.sim FROM trig t
                     JOIN sims s ON s.productId = t.productId
                     WHERE NOT EXISTS (SELECT 1 FROM rated r WHERE r.userId = t.userId

@@ -102,7 +102,7 @@ def rating_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     er = event_ratings(spark, sf_dir, with_type=True)
     head = F.concat(F.lit("2024-01-01 INFO --- [http-nio-8088-exec-"),
                     (F.col("event_id") % 10).cast("string"),
-                    F.lit("] ProductRestApi(line: 123) : "))
+                    F.lit("] ratings.api(line: 123) : "))
     line = F.when(F.col("event_type").isin("purchase", "click"),
                   F.concat(head, format_rating_event(prefix=RATING_LOG_PREFIX)))
     other = F.concat(head, F.lit("event "), F.col("event_type"), F.lit(" user "),

@@ -71,10 +71,6 @@ def start(df: DataFrame, fmt: str, path: str | None, checkpoint: str,
     return w.start(path) if path else w.start()
 
 
-def kafka_sink_options(topic: str, servers: str) -> dict:
-    return {"topic": topic, "kafka.bootstrap.servers": servers}
-
-
 # ------------------------------------------------------ recent-rating state
 
 RECENT_STATE_SCHEMA = "pid array<int>, score array<double>, ts array<bigint>, seq array<bigint>, n bigint"
@@ -137,19 +133,26 @@ class StreamRecsWriter:
     """``foreachBatch`` body maintaining the rating log and StreamRecs.
 
     Layout under ``root`` (a folder in the shared checkpoint area):
-    ``log/user_bucket=B/batch_id=N`` the parsed ratings, partitioned by a hash
-    bucket of the user, then by batch; ``recs/batch_id=N`` the new lists of
+    ``log/user_bucket=B/run=R/batch_id=N`` the parsed ratings, partitioned by a
+    hash bucket of the user, then by batch; ``recs/run=R/batch_id=N`` the new
+    lists of
     the batch's users (a NULL-rank tombstone for a user whose list became
     empty).  A batch lists and reads only the log buckets of its own users,
     so its cost follows the users it touches, not the whole log.  Readers
     merge on read: per user the newest batch wins (``read_stream_recs``).
     Writes overwrite exactly the batch's own partitions (dynamic partition
     overwrite), so a batch replayed after a failure leaves the same result.
+    ``run`` numbers the checkpoints that have fed this folder (``stream_run``):
+    a new one starts again at batch 0 but comes after all batches before it,
+    and run 0 is a seed written by a batch job.  ``history`` is the Rating
+    table (path or DataFrame): products rated there are no candidates.
     """
 
     def __init__(self, root: str, sims: DataFrame | str, recent_n: int = RECENT_READ_N,
                  k: int = MAX_SIM_PRODUCTS, min_sim: float = STREAM_SIM_THRESHOLD,
-                 n_buckets: int = 16, hydrate_with: str | None = None):
+                 n_buckets: int = 16, hydrate_with: str | None = None,
+                 history: DataFrame | str | None = None, run: int = 1):
+        self.history, self.run = history, run
         self.root, self.sims_src = root, sims
         self.recent_n, self.k, self.min_sim = recent_n, k, min_sim
         self.n_buckets = n_buckets
@@ -164,26 +167,31 @@ class StreamRecsWriter:
             self._sims = s.persist()
         return self._sims
 
+    def _history(self, spark: SparkSession) -> DataFrame | None:
+        # read anew for each batch: the table grows with the ratings
+        return spark.read.parquet(self.history) if isinstance(self.history, str) else self.history
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         log_dir = os.path.join(self.root, "log")
         bucket = F.pmod(F.xxhash64("userId"), F.lit(self.n_buckets)).cast("int")
         ev = (batch.select("userId", "productId", "score", "ts")
-              .withColumn("user_bucket", bucket).withColumn("batch_id", F.lit(batch_id))
+              .withColumn("user_bucket", bucket).withColumn("run", F.lit(self.run))
+              .withColumn("batch_id", F.lit(batch_id))
               .persist())
         try:
             (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("user_bucket", "batch_id").parquet(log_dir))
+               .partitionBy("user_bucket", "run", "batch_id").parquet(log_dir))
             buckets = [r[0] for r in ev.select("user_bucket").distinct().collect()]
             if not buckets:
                 return
             log = (spark.read.option("basePath", log_dir)
                    .parquet(*[f"{log_dir}/user_bucket={b}" for b in buckets])
-                   .where(F.col("batch_id") <= batch_id)
+                   .where((F.col("run") < self.run) | (F.col("run") == self.run) & (F.col("batch_id") <= batch_id))
                    .select("userId", "productId", "score", "ts"))
             users = ev.select("userId").distinct()
             recs = online_recs(log, self.sims(spark), order="ts", recent_n=self.recent_n,
-                               k=self.k, min_sim=self.min_sim, users=users)
+                               k=self.k, min_sim=self.min_sim, users=users, history=self._history(spark))
             if self.hydrate_with:
                 recs = hydrate_delta(recs, spark.read.parquet(self.hydrate_with))
             # used twice (rows and tombstones): at most k rows per batch user
@@ -193,12 +201,29 @@ class StreamRecsWriter:
                 if f.name != "userId":
                     tomb = tomb.withColumn(f.name, F.lit(None).cast(f.dataType))
             (recs.unionByName(tomb).write.mode("overwrite")
-             .parquet(os.path.join(self.root, "recs", f"batch_id={batch_id}")))
+             .parquet(os.path.join(self.root, "recs", f"run={self.run}", f"batch_id={batch_id}")))
             recs.unpersist()
         finally:
             ev.unpersist()
 
 
+def stream_run(spark: SparkSession, checkpoint: str, root: str) -> int:
+    """The run number of a checkpoint: kept beside it, and one more than any
+    run in the folder when the checkpoint is new."""
+    from pyspark.errors import AnalysisException
+    mark = f"{checkpoint.rstrip('/')}-run"
+    try:
+        return spark.read.schema("run int").parquet(mark).first()[0]
+    except AnalysisException:
+        pass
+    try:
+        last = spark.read.parquet(f"{root.rstrip('/')}/recs").agg(F.max("run")).first()[0] or 0
+    except AnalysisException:
+        last = 0
+    spark.createDataFrame([(last + 1,)], "run int").write.parquet(mark)
+    return last + 1
+
+
 def hydrate_delta(recs: DataFrame, serve_info: DataFrame) -> DataFrame:
     """Join new lists with product details and average score (ServeInfo)."""
     from recspark.operators.serving import hydrate_products
@@ -218,7 +243,8 @@ def read_stream_recs(spark: SparkSession, root: str, user_id: int | None = None)
     d = spark.read.parquet(os.path.join(root, "recs"))
     if user_id is not None:
         d = d.where(F.col("userId") == user_id)
-    last = F.max("batch_id").over(Window.partitionBy("userId"))
-    cols = [c for c in d.columns if c != "batch_id"]
-    return (d.withColumn("_last", last).where(F.col("batch_id") == F.col("_last"))
+    batch = F.struct("run", "batch_id")
+    last = F.max(batch).over(Window.partitionBy("userId"))
+    cols = [c for c in d.columns if c not in ("run", "batch_id")]
+    return (d.withColumn("_last", last).where(batch == F.col("_last"))
              .where(F.col("rank").isNotNull()).select(*cols))

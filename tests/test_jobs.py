@@ -58,7 +58,7 @@ def test_jobs_end_to_end(spark):
                      trigger={"availableNow": True}, min_sim=0.0)
     q.awaitTermination()
     got = J.stream_recs(spark, wh)
-    exp = O.online_recs(ev, J.product_sims(spark, wh), min_sim=0.0)
+    exp = O.online_recs(ev, J.product_sims(spark, wh), min_sim=0.0, history=J.read(spark, wh, "Rating"))
     assert got.count() > 0
     assert rows(got.select("userId", "rank", "productId", F.round("score", 9))) == \
         rows(exp.select("userId", "rank", "productId", F.round("score", 9)))

@@ -40,7 +40,7 @@ def test_window_limit_planned(spark):
 def test_one_pass_statistics_equal_separate(spark):
     df = spark.createDataFrame([(u, p, float(1 + (u * p) % 5), 1554076800 + 86400 * 20 * ((u + p) % 4))
                                 for u in range(7) for p in range(5)], RS)
-    rm, rr, av = ST.statistics_tables(df, persist=False)
+    rm, rr, av = ST.statistics_tables(df)
     assert rows(rm) == rows(ST.rate_more_products(df))
     assert rows(rr) == rows(ST.rate_more_recently_products(df))
     a = {k: v for k, v in rows(av)}
