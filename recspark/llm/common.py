@@ -22,7 +22,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write to the shared scratch folder and read again, so
     a lost executor never makes the plan above run twice."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

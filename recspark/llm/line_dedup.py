@@ -5,9 +5,8 @@ DataFrame functions only:
 1. Texts are split at line feeds.  A line with a word takes part; blank lines
    stay where they are.
 2. A line's shingles are the ``CHARS``-character windows that begin at its
-   words (found in one pass of a look-ahead pattern), hashed to 64 bits; a
-   line of fewer characters than that is its own only shingle.
-3. Signatures: ``BANDS`` x ``ROWS`` minima of the hashes under different
+   words (found in one pass of a look-ahead pattern), shorter at its end.
+3. Signatures: ``BANDS`` x ``ROWS`` minima of their 32-bit hashes under different
    xor masks (each mask gives another random order of the hashes); a band's
    key is the hash of its minima.  At similarity 0.8 a pair shares a band with
    probability 1 - (1 - 0.8 ** 2) ** 6 = 0.998.
@@ -42,27 +41,35 @@ BANDS = 6
 ROWS = 2
 PERCENT = 80
 # a word is what stands between blanks; the window may run over its end
-_WINDOWS = r"(?<![^\x20\x09-\x0D])(?=([^\x20\x09-\x0D].{0,%d}))" % (CHARS - 1)
+_WINDOWS = r"(?s)(?=([^\x20\x09-\x0D].{0,%d}))[^\x20\x09-\x0D]+" % (CHARS - 1)
 _HAS_WORD = r"[^\x20\x09-\x0D]"
-_MASK = 0x9E3779B97F4A7C15
 
 
 def _mask(i: int) -> int:
-    v = (i + 1) * _MASK & (1 << 64) - 1
-    v = (v ^ v >> 29) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
-    return v - (1 << 64) if v >> 63 else v
+    """The i-th xor mask, a well-mixed signed 32-bit integer."""
+    v = (i + 1) * 0x9E3779B1 & 0xFFFFFFFF
+    v = (v ^ v >> 15) * 0x85EBCA77 & 0xFFFFFFFF
+    v ^= v >> 13
+    return v - (1 << 32) if v >> 31 else v
+
+
+def _windows(line) -> "F.Column":
+    return F.regexp_extract_all(line, F.lit(_WINDOWS), F.lit(1))
 
 
 def shingles(line) -> "F.Column":
     """Distinct hashes of a line's windows."""
-    return F.array_distinct(F.transform(
-        F.regexp_extract_all(line, F.lit("(?s)" + _WINDOWS), F.lit(1)), lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(_windows(line), lambda w: F.xxhash64(w)))
 
 
-def _bands(hashes) -> "F.Column":
-    """Key of each band; the band's number is part of the key."""
-    least = lambda i: F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(_mask(i)))))
-    return F.array(*[F.xxhash64(F.lit(b), *[least(b * ROWS + r) for r in range(ROWS)]) for b in range(BANDS)])
+def signatures(lines: DataFrame) -> DataFrame:
+    """key, band for (key, line): the shingles are exploded and their minima
+    taken by one aggregation, so lines of one key share a signature.  A band's
+    number is part of its key."""
+    minima = (lines.select("key", F.explode(_windows(F.col("line"))).alias("w")).select("key", F.hash("w").alias("h"))
+              .groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(_mask(i)))).alias(f"m{i}") for i in range(BANDS * ROWS)]))
+    bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
+    return minima.select("key", F.explode(F.array(*bands)).alias("band"))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -82,10 +89,7 @@ def line_groups(rows: DataFrame) -> DataFrame:
     ``numbered`` rows: equal and near-equal lines share a group."""
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "pos").alias("place")
     seen = written(_lines(rows).select("doc_id", "_row", "pos", "key"), "line-places")
-    # one line of each key carries the signature; a key's bands are equal
-    marks = (_lines(rows).select("key", "line").withColumn("sig", _bands(shingles(F.col("line"))))
-             .groupBy("key").agg(F.first("sig").alias("sig")))
-    bands = written(marks.select("key", F.explode("sig").alias("band")), "line-bands")
+    bands = signatures(_lines(rows).select("key", "line"))
     bucket = W.partitionBy("band").orderBy("key")
     near = bands.withColumn("first", F.first("key").over(bucket)).withColumn("before", F.lag("key").over(bucket))
     pairs = written(near.where("before is not null")
