@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.llm import jaccard_join, line_dedup, mixing, packing, toxicity
-from recspark.llm.common import documents, written
+from recspark.llm.common import documents, fresh, numbered, written
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models reject go; a null or empty
     text is never rejected."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, out="_toxic").where("_toxic < 0.5").select(*docs.columns)
+    score = fresh("_toxic", docs)
+    return toxicity.score(docs, model, out=score).where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,20 +33,19 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return jaccard_join.one_of_each(line_dedup.numbered(docs)).select(*docs.columns)
+    return jaccard_join.one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source by its target: a document comes as often as the mix takes
     it, the one on the cut if at least half of it is taken; a document without
     words weighs nothing and comes once."""
-    rows = line_dedup.numbered(docs)
-    taken = mixing.mix(rows, keep=("_row",))
+    rows, row = numbered(docs)
+    taken = mixing.mix(rows.select("doc_id", "source", "text", F.col(row).alias("_row")), keep=("_row",))
     times = (F.when(F.col("size") == 0, 1)
              .otherwise(F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).cast("int"))
-    copies = taken.select("_row", times.alias("_times")).where("_times > 0")
-    return (rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
-            .select(*docs.columns))
+    copies = taken.select(F.col("_row").alias(row), F.explode(F.array_repeat(F.lit(True), times)))
+    return rows.join(copies.select(row), row).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

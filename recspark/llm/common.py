@@ -32,6 +32,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with their place in the table, written down so that it never
+    changes, and the name of that column (not one of the input's)."""
+    row = fresh("_row", docs)
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

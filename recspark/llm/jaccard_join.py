@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recspark.llm.common import cut, mix64, small_batches, texts, written
+from recspark.llm.common import cut, mix64, numbered, small_batches, texts, written
 from recspark.llm.components import components
 
 WORDS = 5
@@ -265,10 +265,12 @@ def jaccard_components(documents: DataFrame, row: str | None = None) -> DataFram
         *([F.col("row").alias(row)] if row else []))
 
 
-def one_of_each(rows: DataFrame, row: str = "_row") -> DataFrame:
-    """Of each group of linked rows the first in (doc_id, ``row``) order, a
-    null doc_id last; ``row`` numbers the rows."""
-    found = jaccard_components(rows, row)
-    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", row)
-    kept = found.where("group is not null").groupBy("group").agg(F.min(first).alias("f")).select(f"f.{row}")
-    return rows.join(kept.union(found.where("group is null").select(row)), row, "left_semi")
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of each group of linked rows the first by doc_id (null last), then by
+    its place in the table; rows without words all stay."""
+    rows, row = numbered(docs)
+    found = jaccard_components(rows.select("doc_id", "text", F.col(row).alias("place")), "place")
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place")
+    kept = (found.where("group is not null").groupBy("group").agg(F.min(first).alias("f")).select("f.place")
+            .union(found.where("group is null").select("place")))
+    return rows.join(kept.withColumnRenamed("place", row), row, "left_semi").select(*docs.columns)

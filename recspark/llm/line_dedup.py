@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recspark.llm.common import cut, written
+from recspark.llm.common import cut, fresh, numbered, written
 from recspark.llm.components import components
 
 CHARS = 12
@@ -72,24 +72,18 @@ def signatures(lines: DataFrame) -> DataFrame:
     return minima.select("key", F.explode(F.array(*bands)).alias("band"))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The rows with their place in the table as ``_row``, written down so
-    that it never changes."""
-    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-
-
-def _lines(rows: DataFrame) -> DataFrame:
+def _lines(rows: DataFrame, row: str) -> DataFrame:
     """(doc_id, _row, pos, line, key) for every line with a word."""
-    return (rows.select("doc_id", "_row", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    return (rows.select("doc_id", F.col(row).alias("_row"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
             .where(F.col("line").rlike(_HAS_WORD)).withColumn("key", F.xxhash64("line")))
 
 
-def line_groups(rows: DataFrame) -> DataFrame:
+def line_groups(rows: DataFrame, row: str = "_row") -> DataFrame:
     """(doc_id, _row, pos, key, group, kept) for every line with a word of
-    ``numbered`` rows: equal and near-equal lines share a group."""
+    ``numbered`` rows (``row`` names their place): equal and near-equal lines share a group."""
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "pos").alias("place")
-    seen = written(_lines(rows).select("doc_id", "_row", "pos", "key"), "line-places")
-    bands = signatures(_lines(rows).select("key", "line"))
+    seen = written(_lines(rows, row).select("doc_id", "_row", "pos", "key"), "line-places")
+    bands = signatures(_lines(rows, row).select("key", "line"))
     bucket = W.partitionBy("band").orderBy("key")
     near = bands.withColumn("first", F.first("key").over(bucket)).withColumn("before", F.lag("key").over(bucket))
     pairs = written(near.where("before is not null")
@@ -97,7 +91,7 @@ def line_groups(rows: DataFrame) -> DataFrame:
                     .select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b"))
                     .distinct(), "line-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = written(_lines(rows).select("key", "line").join(wanted, "key", "left_semi")
+    sets = written(_lines(rows, row).select("key", "line").join(wanted, "key", "left_semi")
                    .groupBy("key").agg(F.first("line").alias("line"))
                    .select("key", shingles(F.col("line")).alias("set")), "line-sets")
     both = (pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("sb")), "b")
@@ -114,23 +108,26 @@ def line_groups(rows: DataFrame) -> DataFrame:
 
 
 def deduped(docs: DataFrame) -> DataFrame:
-    """Every row with its remaining text, ``kept_lines`` and ``lost_lines``."""
-    rows = numbered(docs)
-    groups = written(line_groups(rows), "line-groups")
-    lost = (groups.where("not kept").groupBy("_row").agg(F.collect_set("pos").alias("_gone")))
-    kept = groups.groupBy("_row").agg(F.count_if("kept").alias("kept_lines"), F.count_if(~F.col("kept")).alias("lost_lines"))
-    edits = kept.join(lost, "_row", "left")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(
-        F.split("text", "\n", -1), lambda _, i: ~F.array_contains("_gone", i)), "\n"))
-    clash = {"kept_lines", "lost_lines", "_gone", "_row"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
-    return (rows.join(edits, "_row", "left").withColumn("text", text)
-            .select(*docs.columns, F.coalesce("kept_lines", F.lit(0)).alias("kept_lines"),
+    """Every row with its remaining text, and ``kept_lines`` and
+    ``lost_lines`` (which replace input columns of these names)."""
+    rows, row = numbered(docs.drop("kept_lines", "lost_lines"))
+    own = [c for c in rows.columns if c != row]
+    groups = written(line_groups(rows, row), "line-groups")
+    gone = fresh("_gone", rows)
+    edits = groups.groupBy(F.col("_row").alias(row)).agg(
+        F.count_if("kept").alias("kept_lines"), F.count_if(~F.col("kept")).alias("lost_lines"),
+        F.collect_set(F.when(~F.col("kept"), F.col("pos"))).alias(gone))
+    text = F.when(F.coalesce("lost_lines", F.lit(0)) == 0, F.col("text")).otherwise(F.array_join(F.filter(
+        F.split("text", "\n", -1), lambda _, i: ~F.array_contains(gone, i)), "\n"))
+    return (rows.join(edits, row, "left").withColumn("text", text)
+            .select(*own, F.coalesce("kept_lines", F.lit(0)).alias("kept_lines"),
                     F.coalesce("lost_lines", F.lit(0)).alias("lost_lines")))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents without repeated lines, and without those of which no
     line is left."""
-    return deduped(docs).where("kept_lines > 0 or lost_lines = 0").select(*docs.columns)
+    kept, lost = fresh("kept_lines", docs), fresh("lost_lines", docs)
+    out = deduped(docs.withColumnsRenamed({"kept_lines": kept + "_in", "lost_lines": lost + "_in"}))
+    out = out.where("kept_lines > 0 or lost_lines = 0").drop("kept_lines", "lost_lines")
+    return out.withColumnsRenamed({kept + "_in": "kept_lines", lost + "_in": "lost_lines"}).select(*docs.columns)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from recspark.llm.common import cut, small_batches, texts
 
 SYMBOLS = "#*$%&|<>"
-KEEP = 0.8
+KEEP = 0.7
 ROUNDS = 100
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_caps", "n_bars", "n_lines")
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -96,10 +96,13 @@ def rules() -> dict[str, F.Column]:
     }
 
 
-# prior of P(vote | class), votes bad, good, abstain, and its weight against
-# the corpus: junk is mostly of one kind, so it passes most rules
-PRIOR = np.array([[0.15, 0.60, 0.25], [0.001, 0.699, 0.30]])
+# prior of P(bad vote | bad document) and P(bad vote | good document): junk is
+# mostly of one kind, so it passes most rules; the other votes follow the
+# rule's own shares in the corpus.  The prior weighs PRIOR_WEIGHT corpora.
+PRIOR = (0.15, 0.001)
+GOOD = 0.85         # prior share of good documents
 PRIOR_WEIGHT = 1.0
+MOST_FALSE = 0.01   # bad votes of a rule on good documents: rules are taken to be this precise
 
 
 def em(votes: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
@@ -112,16 +115,20 @@ def em(votes: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> tuple[np.n
     """
     n_rules, total = votes.shape[1], count.sum()
     cast = votes[:, :, None] == np.arange(3)                    # [combination, rule, vote]
-    rate = np.repeat(PRIOR[:, None, :], n_rules, axis=1)
-    share, p = 0.9, np.full(len(votes), 0.9)
+    other = np.einsum("c,crv->rv", count, cast)[:, 1:] + 1
+    other = other / other.sum(1, keepdims=True)
+    prior = np.stack([np.concatenate([np.full((n_rules, 1), q), (1 - q) * other], axis=1) for q in PRIOR])
+    rate = prior
+    share, p, weight = GOOD, np.full(len(votes), GOOD), PRIOR_WEIGHT * total + 1
     for _ in range(rounds):
         log = [(cast * np.log(rate[k])).sum((1, 2)) for k in (0, 1)]
         odds = log[1] - log[0] + np.log(share / (1 - share))
         p = 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
-        share = float(np.clip((count @ p + 1) / (total + 2), 1e-6, 1 - 1e-6))
-        weight = PRIOR_WEIGHT * total + 1
-        rate = np.stack([(np.einsum("c,crv->rv", count * w, cast) + weight * PRIOR[k])
+        share = float((count @ p + weight * GOOD) / (total + weight))
+        rate = np.stack([(np.einsum("c,crv->rv", count * w, cast) + weight * prior[k])
                          / ((count * w).sum() + weight) for k, w in ((0, 1 - p), (1, p))])
+        false = np.minimum(rate[1, :, :1], MOST_FALSE)
+        rate[1] = np.concatenate([false, rate[1, :, 1:] * (1 - false) / (1 - rate[1, :, :1])], axis=1)
     return p, rate, share
 
 

@@ -15,8 +15,8 @@ of either pass is simply run again, since places are cut off by a checkpoint
 of (place) -> bucket offsets and every order is seeded.
 
 Edge cases: null texts have size 1; null or repeated doc_ids, ties and equal
-rows are dealt like any others; an empty table gives empty shards; columns of
-the input may have any names (the operator's own ones are checked).
+rows are dealt like any others; an empty table gives empty shards; input
+columns named ``shard`` or ``slot`` are replaced, any others are carried.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recspark.llm.common import fresh
 from recspark.session import scratch_path
 
 SHARDS = 8
@@ -51,20 +52,20 @@ def _shuffle(seed: int, offsets: dict[int, int], shards: int, hidden: tuple[str,
 
 def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES,
           text: str = "text") -> DataFrame:
-    """Every row of ``docs`` with its ``shard`` and ``slot``."""
-    clash = {"shard", "slot", "_bucket", "_place"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    """Every row of ``docs`` with its ``shard`` and ``slot``, which replace
+    input columns of these names."""
+    docs = docs.drop("shard", "slot")
+    bucket, place = fresh("_bucket", docs), fresh("_place", docs)
     total = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 64)).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
-    placed = docs.withColumn("_place", F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)))
-    dealt = placed.withColumn("_bucket", F.pmod(F.col("_place"), F.lit(buckets)).cast("int"))
-    count = {r["_bucket"]: r["n"] for r in dealt.groupBy("_bucket").agg(F.count("*").alias("n")).collect()}
+    placed = docs.withColumn(place, F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)))
+    dealt = placed.withColumn(bucket, F.pmod(F.col(place), F.lit(buckets)).cast("int"))
+    count = {r[0]: r[1] for r in dealt.groupBy(bucket).agg(F.count("*")).collect()}
     offsets, at = {}, 0
     for b in sorted(count):
         offsets[b], at = at, at + count[b]
     schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
-    return (dealt.groupBy("_bucket").applyInArrow(_shuffle(seed, offsets, shards, ("_bucket", "_place")), schema))
+    return (dealt.groupBy(bucket).applyInArrow(_shuffle(seed, offsets, shards, (bucket, place)), schema))
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:
