@@ -121,7 +121,8 @@ def _block(k: int):
             ids, places = right.column("vec_id").to_numpy(), right.column("place").to_pylist()
             where = {p: i for i, p in enumerate(places)}
             own = np.array([where.get(p, -1) for p in qp])
-            rows = [(qid[i], qp[i], int(ids[j]), places[j], s) for i, j, s in search(q, x, own, ids, k)]
+            most = (1 << 63) - 1  # a score beyond 64 bits saturates
+            rows = [(qid[i], qp[i], int(ids[j]), places[j], max(-most, min(most, s))) for i, j, s in search(q, x, own, ids, k)]
         cols = list(zip(*rows)) or [()] * 5
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=names)
     return run
