@@ -11,8 +11,9 @@ DataFrame functions only:
    key is the hash of its minima.  At similarity 0.8 a pair shares a band with
    probability 1 - (1 - 0.8 ** 2) ** 6 = 0.998.
 4. Candidates: within a band bucket every line is paired with the bucket's
-   first line and with the one before it in hash order, so a bucket of any
-   size gives two pairs a line; no pairs of a whole group are made.
+   first line and with the ``LAGS`` lines before it in hash order, so a bucket
+   of any size gives at most four pairs a line; no pairs of a whole group are
+   made, and a group is still found whole over its links and six bands.
 5. Exact Jaccard similarity of the candidates' shingle sets decides
    (``PERCENT``), equal lines are one line from the start, and a distributed
    union-find joins the groups.
@@ -39,6 +40,7 @@ from recspark.llm.components import components
 CHARS = 12
 BANDS = 6
 ROWS = 2
+LAGS = 3             # lines before it in a bucket that a line is compared with, besides the first
 PERCENT = 80
 # a word is what stands between blanks; the window may run over its end
 _WINDOWS = r"(?s)(?=([^\x20\x09-\x0D].{0,%d}))[^\x20\x09-\x0D]+" % (CHARS - 1)
@@ -85,9 +87,11 @@ def line_groups(rows: DataFrame, row: str = "_row") -> DataFrame:
     seen = written(_lines(rows, row).select("doc_id", "_row", "pos", "key"), "line-places")
     bands = signatures(_lines(rows, row).select("key", "line"))
     bucket = W.partitionBy("band").orderBy("key")
-    near = bands.withColumn("first", F.first("key").over(bucket)).withColumn("before", F.lag("key").over(bucket))
-    pairs = written(near.where("before is not null")
-                    .select("key", F.explode(F.array_distinct(F.array("first", "before"))).alias("other"))
+    near = bands.select("key", F.first("key").over(bucket).alias("first"),
+                        *[F.lag("key", i).over(bucket).alias(f"l{i}") for i in range(1, LAGS + 1)])
+    pairs = written(near.where("l1 is not null")
+                    .select("key", F.explode(F.array_distinct(F.array("first", *[f"l{i}" for i in range(1, LAGS + 1)]))).alias("other"))
+                    .where("other is not null")
                     .select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b"))
                     .distinct(), "line-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
