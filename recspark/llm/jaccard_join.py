@@ -19,9 +19,10 @@ with d <= 0.2 are linked.
    classes: those within 0.2 are linked to p and thus in one component.  If
    more than one component is left, the region is joined again without p, by
    a next pivot, with pairs of one component left out (they can't change the
-   result).  After ``ROUNDS`` pivots what is left is compared outright, except
-   pairs with |d(x, p) - d(y, p)| > 0.2 for one of its pivots p, which the
-   triangle inequality rules out.  Every link between different components is
+   result).  After ``ROUNDS`` pivots what is left is joined on the region,
+   without pairs with |d(x, p) - d(y, p)| > 0.2 for one of its pivots p, which
+   the triangle inequality rules out, and without pairs whose folded sketches
+   differ too much (see 5).  Every link between different components is
    therefore found.
 5. A candidate pair is dropped if its parity sketches differ in more bits
    than the symmetric difference of linked sets can have (a lower bound of it,
@@ -54,11 +55,12 @@ from recspark.llm.components import components
 WORDS = 5
 PERCENT = 80
 SMALL = 8
-ROUNDS = 2
+ROUNDS = 1
 LEVELS = 1 << 20
 HOT = 8             # classes in a region from which on its shingle counts as frequent
 SAMPLED = 4         # of a class's first regions, the share (1 in ..) that the rarity count looks at
 BITS = 2048         # of a parity sketch
+FOLD = 8            # 64-bit words of its folded form
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -171,6 +173,24 @@ def _pair(a: str, b: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _folded() -> list:
+    """A member's sketch folded to FOLD words (parities of parities)."""
+    words = [F.element_at("sketch", i + 1) for i in range(BITS // 64)]
+    out = []
+    for j in range(FOLD):
+        x = words[j]
+        for w in words[j + FOLD::FOLD]:
+            x = x.bitwiseXOR(w)
+        out.append(x.alias(f"f{j}"))
+    return out
+
+
+def _near(a: str, b: str):
+    """The folded sketches differ in no more bits than linked sets can."""
+    bits = sum((F.bit_count(F.col(f"{a}.f{j}").bitwiseXOR(F.col(f"{b}.f{j}"))) for j in range(FOLD)), F.lit(0))
+    return (100 + PERCENT) * bits <= (100 - PERCENT) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
 def _measure(members: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, inter, uni) of the candidate pairs whose sketches differ in no
     more bits than linked sets can; exact, on whole texts."""
@@ -179,7 +199,9 @@ def _measure(members: DataFrame, pairs: DataFrame) -> DataFrame:
     near = (pairs.join(side("a"), "a").join(side("b"), "b")
             .where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b"))
     near = cut(near)
-    text = lambda c: members.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}"))
+    wanted = near.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    needed = written(members.select("cid", "text").join(wanted, "cid", "left_semi"), "candidates")
+    text = lambda c: needed.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}"))
     return (near.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
             .mapInArrow(_verify, "a long, b long, inter long, uni long"))
 
@@ -240,12 +262,13 @@ def jaccard_components(documents: DataFrame, row: str | None = None) -> DataFram
                     .where(_fits("x", "p")).select(*_pair("x", "p")))
             pairs = star if pairs is None else pairs.union(star)
         else:
-            x, y = large.alias("x"), large.alias("y")
+            folded = large.join(members.select("cid", *_folded()), "cid")
+            x, y = folded.alias("x"), folded.alias("y")
             window = F.lit(True)
             for t in range(1, turn + 1):
                 gap = F.abs(F.col(f"x.d{t}") - F.col(f"y.d{t}"))
                 window &= F.coalesce(gap <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
-            pairs = (x.join(y, "s").where("x.cid < y.cid and x.root <> y.root").where(_fits("x", "y")).where(window)
+            pairs = (x.join(y, "s").where("x.cid < y.cid and x.root <> y.root").where(_fits("x", "y") & window & _near("x", "y"))
                      .select(*_pair("x", "y")))
         pairs = pairs.distinct()
         if seen is not None:
