@@ -4,8 +4,9 @@ DataFrame functions only:
 
 1. Texts are split at line feeds.  A line with a word takes part; blank lines
    stay where they are.
-2. A line's shingles are the ``CHARS``-character windows that begin at its
-   words (found in one pass of a look-ahead pattern), shorter at its end.
+2. A line's shingles are its ``CHARS``-character windows, one at every
+   character (found in one pass of a look-ahead pattern, so a line's cost
+   follows its length); a shorter line is one shingle.
 3. Signatures: ``BANDS`` x ``ROWS`` minima of their 32-bit hashes under different
    xor masks (each mask gives another random order of the hashes); a band's
    key is the hash of its minima.  At similarity 0.8 a pair shares a band with
@@ -42,8 +43,10 @@ BANDS = 6
 ROWS = 2
 LAGS = 3             # lines before it in a bucket that a line is compared with, besides the first
 PERCENT = 80
-# a word is what stands between blanks; the window may run over its end
-_WINDOWS = r"(?s)(?=([^\x20\x09-\x0D].{0,%d}))[^\x20\x09-\x0D]+" % (CHARS - 1)
+PIECE = 64           # characters from which windows are cut at a time
+# a line in pieces that overlap by a window less one character, so that cutting
+# windows out of a piece costs the same anywhere in a line
+_PIECES = r"(?s)(?=(.{1,%d})).{1,%d}" % (PIECE + CHARS - 1, PIECE)
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -55,21 +58,32 @@ def _mask(i: int) -> int:
     return v - (1 << 32) if v >> 31 else v
 
 
-def _windows(line) -> "F.Column":
-    return F.regexp_extract_all(line, F.lit(_WINDOWS), F.lit(1))
+def _pieces(line) -> "F.Column":
+    """Pieces that hold each window of a line once; a line shorter than a
+    window is a piece of its own."""
+    return F.when(F.length(line) < CHARS, F.array(line)).otherwise(F.filter(
+        F.regexp_extract_all(line, F.lit(_PIECES), F.lit(1)), lambda p: F.length(p) >= CHARS))
+
+
+def _starts(piece) -> "F.Column":
+    return F.sequence(F.lit(1), F.greatest(F.length(piece) - (CHARS - 1), F.lit(1)))
 
 
 def shingles(line) -> "F.Column":
     """Distinct hashes of a line's windows."""
-    return F.array_distinct(F.transform(_windows(line), lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.flatten(F.transform(_pieces(line), lambda p: F.transform(
+        _starts(p), lambda i: F.xxhash64(F.substring(p, i, F.lit(CHARS)))))))
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """key, band for (key, line): the shingles are exploded and their minima
+    """key, band for (key, line): the windows are exploded and their minima
     taken by one aggregation, so lines of one key share a signature.  A band's
     number is part of its key."""
-    minima = (lines.select("key", F.explode(_windows(F.col("line"))).alias("w")).select("key", F.hash("w").alias("h"))
-              .groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(_mask(i)))).alias(f"m{i}") for i in range(BANDS * ROWS)]))
+    pieces = lines.select("key", F.explode(_pieces(F.col("line"))).alias("p"))
+    hashes = (pieces.select("key", "p", F.explode(_starts(F.col("p"))).alias("i"))
+              .select("key", F.hash(F.substring("p", F.col("i"), F.lit(CHARS))).alias("h")))
+    minima = hashes.groupBy("key").agg(
+        *[F.min(F.col("h").bitwiseXOR(F.lit(_mask(i)))).alias(f"m{i}") for i in range(BANDS * ROWS)])
     bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
     return minima.select("key", F.explode(F.array(*bands)).alias("band"))
 
