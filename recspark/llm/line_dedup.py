@@ -11,13 +11,16 @@ DataFrame functions only:
    xor masks (each mask gives another random order of the hashes); a band's
    key is the hash of its minima.  At similarity 0.8 a pair shares a band with
    probability 1 - (1 - 0.8 ** 2) ** 6 = 0.998.
-4. Candidates: within a band bucket every line is paired with the bucket's
-   first line and with the ``LAGS`` lines before it in hash order, so a bucket
-   of any size gives at most four pairs a line; no pairs of a whole group are
-   made, and a group is still found whole over its links and six bands.
-5. Exact Jaccard similarity of the candidates' shingle sets decides
-   (``PERCENT``), equal lines are one line from the start, and a distributed
-   union-find joins the groups.
+4. Links to the first line: every line of a band bucket is compared with the
+   bucket's first line; a distributed union-find joins what is linked.
+5. All other pairs: lines of a bucket that still holds several groups are
+   joined with each other exactly.  A pair at ``PERCENT`` shares a shingle among
+   the rarest ``100 - PERCENT`` percent of either line's (whatever the order), so
+   lines meet at those shingles, if their groups differ and their sizes allow
+   the similarity; a shingle of many lines is dealt over salts.  Nothing is
+   capped: a pair that shares a bucket is compared or is already in one group.
+   Exact Jaccard similarity of the shingle sets decides in both steps, and
+   equal lines are one line from the start.
 6. Of each group the first occurrence in (doc_id, row, position) order stays,
    every other occurrence is taken out of its text.
 
@@ -41,9 +44,10 @@ from recspark.llm.components import components
 CHARS = 12
 BANDS = 6
 ROWS = 2
-LAGS = 3             # lines before it in a bucket that a line is compared with, besides the first
 PERCENT = 80
 PIECE = 64           # characters from which windows are cut at a time
+LEVELS = 1 << 20     # of shingles, for their rarity
+SALT = 256           # lines of a shingle that one salt takes
 # a line in pieces that overlap by a window less one character, so that cutting
 # windows out of a piece costs the same anywhere in a line
 _PIECES = r"(?s)(?=(.{1,%d})).{1,%d}" % (PIECE + CHARS - 1, PIECE)
@@ -88,6 +92,40 @@ def signatures(lines: DataFrame) -> DataFrame:
     return minima.select("key", F.explode(F.array(*bands)).alias("band"))
 
 
+def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose lines are near-equal.  The texts travel, not the
+    larger shingle sets."""
+    both = (pairs.join(lines.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
+            .join(lines.select(F.col("key").alias("a"), F.col("line").alias("la")), "a"))
+    sets = F.array(F.struct(shingles(F.col("la")).alias("a"), shingles(F.col("lb")).alias("b")))  # made once a pair
+    near = F.transform(sets, lambda s: (100 + PERCENT) * F.size(F.array_intersect(s["a"], s["b"]))
+                       >= PERCENT * (F.size(s["a"]) + F.size(s["b"])))
+    return both.where(near[0]).select("a", "b")
+
+
+def _rest_pairs(rest: DataFrame) -> DataFrame:
+    """(a, b) of different groups that may be near-equal, for (key, root, line)."""
+    sets = rest.repartition("key").select("key", "root", shingles(F.col("line")).alias("set"))
+    tokens = sets.select("key", "root", F.size("set").alias("n"), F.explode("set").alias("s"))
+    level = F.pmod("s", F.lit(LEVELS)).cast("int")
+    held = tokens.groupBy(level.alias("level")).agg(F.count("*").alias("c"))
+    ranked = (tokens.withColumn("level", level).join(F.broadcast(held), "level")
+              .groupBy("key").agg(F.first("root").alias("root"), F.first("n").alias("n"),
+                                  F.sort_array(F.collect_list(F.struct("c", "s"))).alias("set")))
+    prefix = F.slice("set", F.lit(1), (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))
+    posts = written(ranked.select("key", "root", "n", F.explode(F.transform(prefix, lambda x: x["s"])).alias("s")),
+                    "line-prefixes")
+    mixed = (posts.groupBy("s").agg(F.count("*").alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+             .where("lo <> hi").select("s", F.ceil(F.col("c") / SALT).cast("int").alias("salts")))
+    met = posts.join(mixed, "s")
+    left = met.select("s", F.pmod(F.hash("key"), F.col("salts")).alias("salt"),
+                      F.col("key").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
+    right = met.select("s", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                       F.col("key").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
+    fits = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+    return left.join(right, ["s", "salt"]).where((F.col("ra") < F.col("rb")) & fits).select("a", "b").distinct()
+
+
 def _lines(rows: DataFrame, row: str) -> DataFrame:
     """(doc_id, _row, pos, line, key) for every line with a word."""
     return (rows.select("doc_id", F.col(row).alias("_row"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
@@ -99,26 +137,27 @@ def line_groups(rows: DataFrame, row: str = "_row") -> DataFrame:
     ``numbered`` rows (``row`` names their place): equal and near-equal lines share a group."""
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "pos").alias("place")
     seen = written(_lines(rows, row).select("doc_id", "_row", "pos", "key"), "line-places")
-    bands = signatures(_lines(rows, row).select("key", "line"))
-    bucket = W.partitionBy("band").orderBy("key")
-    near = bands.select("key", F.first("key").over(bucket).alias("first"),
-                        *[F.lag("key", i).over(bucket).alias(f"l{i}") for i in range(1, LAGS + 1)])
-    pairs = written(near.where("l1 is not null")
-                    .select("key", F.explode(F.array_distinct(F.array("first", *[f"l{i}" for i in range(1, LAGS + 1)]))).alias("other"))
-                    .where("other is not null")
-                    .select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b"))
-                    .distinct(), "line-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = written(_lines(rows, row).select("key", "line").join(wanted, "key", "left_semi")
-                   .groupBy("key").agg(F.first("line").alias("line"))
-                   .select("key", shingles(F.col("line")).alias("set")), "line-sets")
-    both = (pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("sb")), "b")
-            .join(sets.select(F.col("key").alias("a"), F.col("set").alias("sa")), "a"))
-    inter = F.size(F.array_intersect("sa", "sb"))
-    links = both.where(100 * inter >= PERCENT * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
-    roots = cut(components(links))
+    bands = written(signatures(_lines(rows, row).select("key", "line")), "line-bands")
+    heads = bands.groupBy("band").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1")
+    star = written(bands.join(heads, "band").where("key <> head")
+                   .select(F.col("key").alias("a"), F.col("head").alias("b")).distinct(), "line-pairs")
+    wanted = star.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    lines = written(_lines(rows, row).select("key", "line").join(wanted, "key", "left_semi")
+                    .groupBy("key").agg(F.first("line").alias("line")), "line-texts")
+    roots = cut(components(_links(star, lines))).withColumnRenamed("id", "key")
+    crowd = written(bands.join(heads.where("n > 2").select("band"), "band").join(roots, "key", "left")
+                    .select("band", "key", F.coalesce("root", "key").alias("root")), "line-crowd")
+    mixed = crowd.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    rest = crowd.join(mixed.select("band"), "band", "left_semi").select("key", "root").distinct()
+    rest = written(rest.join(lines, "key"), "line-rest")
+    more = _links(written(_rest_pairs(rest), "line-rest-pairs"), lines)
+    named = rest.select("key", "root")
+    merged = cut(components(more.join(named.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a")
+                            .join(named.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b")
+                            .select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
     firsts = seen.groupBy("key").agg(F.min(place).alias("place"))
-    named = firsts.join(roots.withColumnRenamed("id", "key"), "key", "left").withColumn("group", F.coalesce("root", "key"))
+    named = (firsts.join(roots, "key", "left").withColumn("id", F.coalesce("root", "key")).drop("root")
+             .join(merged, "id", "left").withColumn("group", F.coalesce("root", "id")))
     best = named.groupBy("group").agg(F.min("place").alias("best"))
     return (seen.join(named.select("key", "group"), "key").join(best, "group")
             .select("doc_id", "_row", "pos", "key", "group",

@@ -1,6 +1,7 @@
-"""Line dedup with windows at every character ."""
+"""Line dedup with windows at every character and no capped candidates."""
 
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -52,6 +53,23 @@ def test_long_lines_without_blanks(spark):
     assert found(spark, lines) == brute_groups(lines)
 
 
+def test_crowded_buckets_lose_no_pair(spark, monkeypatch):
+    """A bucket of many templated lines of which some are pairs."""
+    monkeypatch.setattr(line_dedup, "BANDS", 1)
+    monkeypatch.setattr(line_dedup, "SALT", 8)
+    rnd = random.Random(2)
+    stock = letters(rnd, 300)
+    lines = []
+    for _ in range(60):
+        own = letters(rnd, 150)
+        lines += [stock + own, stock + own[:-20] + letters(rnd, 20)]
+    # one band key for all lines: every pair shares the bucket
+    monkeypatch.setattr(line_dedup, "signatures", lambda df: df.select("key", F.lit(0).cast("long").alias("band")).distinct())
+    want = brute_groups(lines)
+    assert Counter(map(len, want)) == {2: 60}
+    assert found(spark, lines) == want
+
+
 def test_pieces_hold_every_window(spark):
     rnd = random.Random(3)
     lines = [letters(rnd, n) for n in (1, 11, 12, 13, 63, 64, 75, 76, 128, 139, 140, 1000)]
