@@ -544,9 +544,7 @@ def q_random_split(spark, d):
 @query("als_grid_search")
 def q_als_grid_search(spark, d):
     train, test = A.random_split(DT.ratings(spark, d))
-    # twelve points as in the original, at lower ranks: its own ranks (100-250,
-    # the operator's default) take minutes even on the smallest tables
-    return A.als_grid_search(spark, train, test, ranks=(5, 10, 20), max_iter=5)
+    return A.als_grid_search(spark, train, test)
 
 
 # ======================================================== 2.H streaming
