@@ -12,7 +12,8 @@ down.  At any depth a vector's score lies between
 
 The k-th best lower bound is a threshold: a vector (seen or not) whose upper
 bound is below it can't qualify.  Reading stops as soon as few enough are
-left; only their final scores are resolved.
+left, at the lists' end at the latest, where both bounds are the score; only
+the scores of those left are resolved.
 
 Spark deals queries and vectors into blocks (by a hash of their place, so
 that repeated vectors spread evenly) and joins each query block with each
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 from recspark.llm.common import cut
 
 K = 20
-DEPTHS = (0.5, 0.75)     # of the lists, at which bounds are taken
+DEPTHS = (0.5, 0.75, 0.9, 1.0)  # of the lists, at which bounds are taken
 FEW = 0.02               # share of the vectors that may be left to resolve
 QUERY_BLOCK = 512
 ROW_BLOCK = 4096
@@ -62,6 +63,24 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def bounded(q: np.ndarray, x: np.ndarray, alive: np.ndarray, k: int) -> np.ndarray:
+    """``alive`` (query, row) without those that the bounds rule out."""
+    n = len(x)
+    up, down = np.maximum(q, 0), np.minimum(q, 0)
+    lists = np.sort(x, axis=0)
+    for depth in DEPTHS:
+        t = min(n - 1, int(depth * n))
+        high, low = lists[n - 1 - t], lists[t]              # frontiers
+        best = up @ np.maximum(x, high).T + down @ np.minimum(x, low).T
+        worst = up @ np.where(x >= high, x, lists[0]).T + down @ np.where(x <= low, x, lists[-1]).T
+        worst[~alive] = -np.inf
+        threshold = np.partition(worst, n - k, axis=1)[:, n - k]
+        alive = alive & (best >= threshold[:, None])
+        if alive.mean() <= FEW:
+            break
+    return alive
+
+
 def search(q: np.ndarray, x: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int = K) -> list[tuple[int, int, int]]:
     """(query, row, score) of each query's k best rows; ``own`` is the row of
     the query itself (-1: not here); ties go to the smaller id."""
@@ -70,30 +89,11 @@ def search(q: np.ndarray, x: np.ndarray, own: np.ndarray, ids: np.ndarray, k: in
     here = np.flatnonzero(own >= 0)
     alive[here, own[here]] = False
     if q.dtype != object and x.dtype != object and n > k + 1:
-        up, down = np.maximum(q, 0), np.minimum(q, 0)
-        lists = np.sort(x, axis=0)
-        for depth in DEPTHS:
-            t = min(n - 1, int(depth * n))
-            high, low = lists[n - 1 - t], lists[t]              # frontiers
-            best = up @ np.maximum(x, high).T + down @ np.minimum(x, low).T
-            worst = up @ np.where(x >= high, x, lists[0]).T + down @ np.where(x <= low, x, lists[-1]).T
-            worst[~alive] = -np.inf
-            threshold = np.partition(worst, n - k, axis=1)[:, n - k]
-            alive &= best >= threshold[:, None]
-            if alive.mean() <= FEW:
-                break
-    if alive.mean() <= FEW or q.dtype == object or x.dtype == object:
-        at = np.nonzero(alive)
-        step = 1 << 18
-        parts = [(q[at[0][i:i + step]] * x[at[1][i:i + step]]).sum(1) for i in range(0, len(at[0]), step)]
-        score = np.concatenate(parts) if parts else np.zeros(0)
-    else:
-        every = q @ x.T
-        every[~alive] = -np.inf
-        if n > k:
-            alive &= every >= np.partition(every, n - k, axis=1)[:, n - k][:, None]
-        at = np.nonzero(alive)
-        score = every[at]
+        alive = bounded(q, x, alive, k)
+    at = np.nonzero(alive)
+    step = 1 << 18
+    parts = [(q[at[0][i:i + step]] * x[at[1][i:i + step]]).sum(1) for i in range(0, len(at[0]), step)]
+    score = np.concatenate(parts) if parts else np.zeros(0)
     out = []
     start = np.searchsorted(at[0], np.arange(m + 1))
     for i in range(m):
