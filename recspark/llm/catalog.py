@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import (jaccard_join, licenses, line_dedup, mixing, packing, quality, sharding,
+from recspark.llm import (jaccard_join, licenses, line_dedup, merkle, mixing, packing, quality, sharding,
                            token_files, topk, toxicity)
 from recspark.llm.common import documents
 
@@ -81,3 +81,12 @@ def op10_sharding(spark, sf_dir):
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query(oracle=merkle.SQL)
+def op12_merkle(spark, sf_dir):
+    listed = merkle.verified(merkle.manifest(documents(spark, sf_dir), presented=merkle.tampered()))
+    digest = {c: F.lower(F.hex(c)) for c in ("leaf", "subroot", "root", "folded")}
+    return listed.select(
+        "doc_id", digest["leaf"].alias("leaf"), digest["subroot"].alias("subroot"), digest["root"].alias("root"),
+        F.sha2(F.lower(F.hex("siblings")), 256).alias("proof_sha256"), digest["folded"].alias("folded_root"), "verified")
