@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import (jaccard_join, licenses, line_dedup, merkle, mixing, packing, quality, sharding,
+from recspark.llm import (collocations, jaccard_join, licenses, line_dedup, merkle, mixing, packing, quality, sharding,
                            token_files, topk, toxicity)
 from recspark.llm.common import documents
 
@@ -90,3 +90,8 @@ def op12_merkle(spark, sf_dir):
     return listed.select(
         "doc_id", digest["leaf"].alias("leaf"), digest["subroot"].alias("subroot"), digest["root"].alias("root"),
         F.sha2(F.lower(F.hex("siblings")), 256).alias("proof_sha256"), digest["folded"].alias("folded_root"), "verified")
+
+
+@query(oracle=collocations.SQL)
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(documents(spark, sf_dir))
