@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import (collocations, jaccard_join, licenses, line_dedup, merkle, mixing, packing, quality, sharding,
-                           token_files, topk, toxicity)
+from recspark.llm import (bpe, collocations, jaccard_join, licenses, line_dedup, merkle, mixing, packing, quality,
+                           sharding, token_files, topk, toxicity)
 from recspark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,11 @@ def op10_sharding(spark, sf_dir):
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op11_bpe(spark, sf_dir):
+    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir))))
+
+
 @query(oracle=merkle.SQL)
 def op12_merkle(spark, sf_dir):
     listed = merkle.verified(merkle.manifest(documents(spark, sf_dir), presented=merkle.tampered()))

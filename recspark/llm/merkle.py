@@ -77,23 +77,25 @@ def _parent(run: list[bytes]) -> bytes:
     return hashlib.sha256("".join(d.hex() for d in run).encode()).digest()
 
 
-def _hash_block(pdf: pd.DataFrame) -> pd.DataFrame:
+def _hash_block(block: int):
     """All nodes of an aligned block below its top, with their siblings; and
     the top (or the tree's root, if it comes earlier) with its digest."""
-    pdf = pdf.sort_values("idx")
-    g, n, level, first = (int(pdf[c].iloc[0]) for c in ("g", "n", "level", "idx"))
-    nodes, out = list(pdf["digest"]), []
-    for h in range(level, level + BLOCK):
-        if (n - 1) >> h == 0:
-            break
-        for i in range(len(nodes)):
-            out.append((g, n, h, first + i, nodes[i ^ 1] if i ^ 1 < len(nodes) else None, None))
-        nodes, first, level = [_parent(nodes[i:i + 2]) for i in range(0, len(nodes), 2)], first >> 1, h + 1
-    out.append((g, n, level, first, None, nodes[0]))
-    return pd.DataFrame(out, columns=["g", "n", "level", "idx", "sibling", "digest"])
-
-
-def tree(leaves: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("idx")
+        g, n, level, first = (int(pdf[c].iloc[0]) for c in ("g", "n", "level", "idx"))
+        nodes, out = list(pdf["digest"]), []
+        for h in range(level, level + block):
+            if (n - 1) >> h == 0:
+                break
+            for i in range(len(nodes)):
+                out.append((g, n, h, first + i, nodes[i ^ 1] if i ^ 1 < len(nodes) else None, None))
+            nodes, first, level = [_parent(nodes[i:i + 2]) for i in range(0, len(nodes), 2)], first >> 1, h + 1
+        out.append((g, n, level, first, None, nodes[0]))
+        return pd.DataFrame(out, columns=["g", "n", "level", "idx", "sibling", "digest"])
+    return run
+
+
+def tree(leaves: DataFrame, most: int, block: int = BLOCK, split: int = SPLIT) -> tuple[DataFrame, DataFrame]:
     """(g, n, idx, digest) leaves, at most ``most`` in a group, to the roots
     (g, n, digest) and the proofs (g, idx, siblings) of all leaves of groups
     with several."""
@@ -101,13 +103,13 @@ def tree(leaves: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     level, now, nodes, roots = 0, leaves.withColumn("level", F.lit(0)), [], []
     while True:
         hashed = written(
-            now.withColumn("block", F.shiftright("idx", BLOCK)).groupBy("g", "block").applyInPandas(
-                _hash_block, "g long, n long, level int, idx long, sibling binary, digest binary"), "hashed")
+            now.withColumn("block", F.shiftright("idx", block)).groupBy("g", "block").applyInPandas(
+                _hash_block(block), "g long, n long, level int, idx long, sibling binary, digest binary"), "hashed")
         nodes.append(hashed.where("digest IS NULL"))
         tops = hashed.where("digest IS NOT NULL")
         done = F.expr("shiftright(n - 1, level) = 0")
         roots.append(tops.where(done))
-        level += BLOCK
+        level += block
         if level >= depth:
             break
         now = tops.where(~done).drop("sibling")
@@ -118,17 +120,17 @@ def tree(leaves: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     top = roots[0]
     for more in roots[1:]:
         top = top.union(more)
-    return top.select("g", "n", "digest"), _jump(state, depth)
+    return top.select("g", "n", "digest"), _jump(state, depth, split)
 
 
-def _jump(state: DataFrame, depth: int) -> DataFrame:
+def _jump(state: DataFrame, depth: int, split: int) -> DataFrame:
     """Pointer jumping over (g, n, level, idx, siblings) segments to one parent."""
     distance = 1
     while distance < depth:
-        copies = max(0, distance - SPLIT)
+        copies = max(0, distance - split)
         low = (state.where(F.col("level") % (2 * distance) == 0)
                .withColumn("up", F.col("level") + distance)
-               .withColumn("block", F.shiftright("idx", min(distance, SPLIT))))
+               .withColumn("block", F.shiftright("idx", min(distance, split))))
         last = F.expr(f"least(shiftleft(idx + 1, {copies}), shiftright(n - 1, level - {copies}) + 1) - 1")
         high = (state.where(F.col("level") % (2 * distance) == distance)
                 .select("g", F.col("level").alias("up"), F.col("siblings").alias("more"),
@@ -164,7 +166,7 @@ def _folded(batches):
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tops, pa.binary())], names=[*b.schema.names, "folded"])
 
 
-def manifest(docs: DataFrame, presented: F.Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, presented: F.Column | None = None, block: int = BLOCK, split: int = SPLIT) -> DataFrame:
     """doc_id, lang, idx, n (place among the language's rows), lang_idx, langs,
     leaf, subroot, root, siblings (the proof) and ``presented`` (another leaf
     to verify against the proof; the leaf itself unless given), digests binary."""
@@ -183,10 +185,12 @@ def manifest(docs: DataFrame, presented: F.Column | None = None) -> DataFrame:
     side = F.broadcast if many <= MOST_GROUPS else (lambda table: table)
     named = langs.select(F.col("lang").alias("named"), "lang_idx")
     leaves = leaves.join(side(named), F.col("lang").eqNullSafe(F.col("named"))).drop("named")
-    subroots, proofs = tree(leaves.select(F.col("lang_idx").alias("g"), "n", "idx", F.col("leaf").alias("digest")), most)
+    subroots, proofs = tree(leaves.select(F.col("lang_idx").alias("g"), "n", "idx", F.col("leaf").alias("digest")),
+                            most, block, split)
     subroots = cut(subroots.select(F.col("g").alias("lang_idx"), F.col("digest").alias("subroot")))
     roots, above = tree(subroots.select(F.lit(0).cast("long").alias("g"), F.lit(many).cast("long").alias("n"),
-                                        F.col("lang_idx").alias("idx"), F.col("subroot").alias("digest")), many)
+                                        F.col("lang_idx").alias("idx"), F.col("subroot").alias("digest")),
+                        many, block, split)
     root = bytes(roots.first()["digest"])
     tops = cut(subroots.join(above.select(F.col("idx").alias("lang_idx"), F.col("siblings").alias("above")), "lang_idx", "left"))
     return (leaves.join(proofs.withColumnRenamed("g", "lang_idx"), ["lang_idx", "idx"], "left")

@@ -1,0 +1,213 @@
+"""Operators 11 to 13 against definitions of their own."""
+
+import base64
+import hashlib
+import random
+import unicodedata
+import zlib
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+from pyspark.sql import functions as F
+
+from recspark.llm import bpe, collocations, fmindex, merkle
+
+DOCS = "doc_id long, text string, source string, lang string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def library():
+    data = Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
+    ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, data.splitlines())}
+    return tiktoken.Encoding("test", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def hexdigest(data) -> str:
+    return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+
+
+def by_library(library, rows):
+    out = []
+    for i, text in rows:
+        ids = library.encode_ordinary(text or "")
+        out.append((i, len(ids), hexdigest(" ".join(map(str, ids))), hexdigest(text or "")))
+    return sorted(out, key=str)
+
+
+def encoded(spark, rows, **options):
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, ids int, row int").repartition(3)
+    return sorted(map(tuple, bpe.digests(bpe.decode(bpe.encode(docs, **options))).collect()), key=str)
+
+
+def test_bpe_equals_the_library_over_chunks(spark, library):
+    rng = random.Random(3)
+    bits = ["a", "b", "1", "2", " ", "  ", "\n", "\t", "'", "'s", "'ll", "!", "é", "日本", "\u0085", "\x1c", "😀",
+            "Ᲊ", "\U0001e5d0", "࢏", "٣", "<|endoftext|>", "\r\n"]
+    rows = [(i, "".join(rng.choices(bits, k=rng.randint(0, 300)))) for i in range(200)]
+    rows += [(None, None), (5, ""), (5, ""), (8, "日" * 900), (9, "ab " * 1200), (9, "ab " * 1200),
+             (7, "x" * 2000 + " tail" + " " * 1500 + "end")]  # stretches longer than any overlap
+    assert encoded(spark, rows, chunk=100, overlap=40) == by_library(library, rows)
+    assert encoded(spark, rows[-30:]) == by_library(library, rows[-30:])
+    assert encoded(spark, []) == []
+
+
+def test_bpe_parts_decode_to_the_text(spark):
+    text = "Words and numbers 123, " * 3000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    parts = bpe.decode(bpe.encode(docs)).orderBy("at").collect()
+    assert len(parts) > 3 and b"".join(bytes(p.bytes) for p in parts).decode() == text
+
+
+def test_pre_tokens_know_every_character_as_the_library_does():
+    """All characters that the regex module and Python class alike are left to
+    the pattern; the others are asked for."""
+    pattern = {k: regex.compile(p) for k, p in
+               (("letter", r"\p{L}"), ("digit", r"\p{N}"), ("space", r"\p{White_Space}"))}
+    unknown = [chr(c) for c in range(0x250, 0x110000) if not 0xD800 <= c < 0xE000
+               and unicodedata.category(chr(c)) == "Cn" and any(p.match(chr(c)) for p in pattern.values())]
+    for c in unknown[::200] + ["Ᲊ", "Ɤ", "՘"]:
+        kind = bpe._kind(c)
+        assert len(bpe.pre_tokens("a" + c)) == (1 if kind == "letter" else 2)
+    for c, kind in (("é", "letter"), ("٣", "digit"), ("😀", "other"), ("\u0085", "space"), ("\x1c", "other")):
+        assert bpe._kind(c) == kind
+
+
+# ---- Merkle manifest
+
+
+def field(v) -> str:
+    return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+
+def brute_manifest(rows):
+    """doc_id, leaf, subroot, root, proof, folded, verified by walking up trees."""
+    def h(*xs):
+        return hexdigest("".join(xs))
+
+    def climb(leaves):
+        levels = [leaves]
+        while len(levels[-1]) > 1:
+            now = levels[-1]
+            levels.append([h(*now[i:i + 2]) for i in range(0, len(now), 2)])
+        return levels
+
+    def way(levels, i, x):
+        seen = []
+        for level in levels[:-1]:
+            run = level[i // 2 * 2:i // 2 * 2 + 2]
+            seen += [y for j, y in enumerate(run) if j != i % 2]
+            run[i % 2] = x
+            x, i = h(*run), i // 2
+        return seen, x
+
+    trees = {}
+    for r in rows:
+        doc_id, text, source, lang, n_chars = r[:5]
+        leaf = h(*map(field, (doc_id, source, lang, n_chars, text)))
+        hit = doc_id is not None and n_chars is not None and zlib.crc32(str(doc_id).encode()) % 7 == 0
+        bad = h(*map(field, (doc_id, source, lang, n_chars + 1, text))) if hit else leaf
+        trees.setdefault(lang, []).append((doc_id is not None, doc_id or 0, leaf, doc_id, bad))
+    langs = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
+    for lang in langs:
+        trees[lang].sort(key=lambda x: x[:3])
+    levels = {lang: climb([x[2] for x in trees[lang]]) for lang in langs}
+    top, out = climb([levels[lang][-1][0] for lang in langs]), []
+    for j, lang in enumerate(langs):
+        for i, (*_, leaf, doc_id, bad) in enumerate(trees[lang]):
+            seen, sub = way(levels[lang], i, bad)
+            above, root = way(top, j, sub)
+            out.append((doc_id, leaf, levels[lang][-1][0], top[-1][0], h(*seen, *above), root, root == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def manifest_rows(spark, rows, more="", **options):
+    docs = spark.createDataFrame(rows, DOCS + more).repartition(3)
+    out = merkle.verified(merkle.manifest(docs, presented=merkle.tampered(), **options))
+    low = [F.lower(F.hex(c)) for c in ("leaf", "subroot", "root")]
+    return sorted(map(tuple, out.select("doc_id", *low, F.sha2(F.lower(F.hex("siblings")), 256), F.lower(F.hex("folded")),
+                                        "verified").collect()), key=str)
+
+
+@pytest.mark.parametrize("block, split", [(merkle.BLOCK, merkle.SPLIT), (2, 1)])
+def test_manifest_equals_walks_up_the_tree(spark, block, split):
+    langs = ["en"] * 7 + ["de", "é", None]
+    rows = [(i, f"text {i} é", f"s{i % 3}", langs[i % 10], i) for i in range(230)]
+    rows += [(500, None, None, "xx", None), (None, "", None, None, 3), (7, "a", "b", "en", None), (7, "a", "b", "en", None)]
+    assert manifest_rows(spark, [(*r, "leaf", 1) for r in rows], ", leaf string, idx int", block=block, split=split) == brute_manifest(rows)
+
+
+def test_manifest_of_one_and_no_rows(spark):
+    one = [(1, "x", None, "en", 1)]
+    assert manifest_rows(spark, one) == brute_manifest(one)
+    assert manifest_rows(spark, one)[0][4] == hexdigest("")
+    assert manifest_rows(spark, []) == []
+
+
+# ---- phrases
+
+
+def test_index_equals_counting():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        text = np.append(rng.integers(0, rng.integers(2, 7), rng.integers(1, 200)), 0)
+        before = None
+        for m, (words, n, suffix, prefix) in enumerate(fmindex.phrases(text, 5), 1):
+            grams = (tuple(text[i:i + m].tolist()) for i in range(len(text) - m + 1))
+            want = Counter(g for g in grams if 0 not in g)
+            assert dict(zip(map(tuple, words.tolist()), n.tolist())) == dict(want) and len(words) == len(want)
+            if before is not None:
+                assert (before[suffix] == words[:, 1:]).all() and (before[prefix] == words[:, :-1]).all()
+            before = words
+
+
+def brute_phrases(rows, least, cover=100, depth=5, top=2000):
+    low = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in regex.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(low)):
+            words = regex.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            f.update((lang, tuple(words[i:i + m])) for m in range(1, depth + 1) for i in range(len(words) - m + 1))
+    kept = {k: a for k, a in f.items() if len(k[1]) > 1 and a >= least}
+    out = []
+    for (lang, g), a in kept.items():
+        if any(x == lang and len(y) > len(g) and 100 * b >= cover * a
+               and any(y[i:i + len(g)] == g for i in range(len(y) - len(g) + 1)) for (x, y), b in kept.items()):
+            continue
+        score, k = min((1000 * a * n[lang] // (f[lang, g[:k]] * f[lang, g[k:]]), k) for k in range(1, len(g)))
+        out.append((lang, " ".join(g), a, f[lang, g[:k]], f[lang, g[k:]], n[lang], score))
+    ranked = []
+    for lang in {r[0] for r in out}:
+        mine = sorted((r for r in out if r[0] == lang), key=lambda r: (-r[6], -r[2], r[1].encode()))
+        ranked += [(lang, i, *r[1:]) for i, r in enumerate(mine[:top], 1)]
+    return sorted(ranked)
+
+
+@pytest.mark.parametrize("limit, cover, top", [(collocations.SHARD, 100, 2000), (300, 100, 7), (50, 80, 2000)])
+def test_collocations_equal_counting(spark, limit, cover, top):
+    rng = random.Random(5)
+    words = ["the", "The", "of", "Übung", "x\u0085y", "new", "york", "city", "a\x1cb", "ÉA"]
+    rows = []
+    for i in range(150):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", "  ", "\t", ", ", ".\n", " new york city "]) for _ in range(40))
+        rows.append((rng.choice(["en", "en", "en", "de", None, "und"]), text))
+    rows += [("en", None), ("fr", ""), ("fr", " .,; \n"), ("en", "one two " * 400), ("es", "solo solo"), ("en", "new york city " * 30)]
+    docs = spark.createDataFrame([(a, b, 1, "z") for a, b in rows], "lang string, text string, n int, phrase string").repartition(4)
+    got = collocations.collocations(docs, least=8, cover=cover, top=top, limit=limit)
+    assert sorted(map(tuple, got.collect())) == brute_phrases(rows, 8, cover, top=top)
+
+
+def test_scores_pass_64_bits(spark):
+    docs = spark.createDataFrame([("en", "a b")], "lang string, text string")
+    assert collocations.collocations(docs).count() == 0
+    every = spark.createDataFrame([([1, 2], 10**12)], "words array<long>, a long")
+    words = spark.createDataFrame([("en", "a", 2 * 10**12, 1), ("en", "b", 3 * 10**12, 2)], "lang string, word string, n long, w long")
+    total = spark.createDataFrame([("en", 10**14)], "lang string, n long")
+    row = collocations._scored(every, every, words, total).first()
+    assert row.score == 1000 * 10**12 * 10**14 // (6 * 10**24)
