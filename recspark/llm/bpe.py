@@ -119,6 +119,9 @@ class Vocabulary(dict):
     def encode(self, pieces: list[str]) -> bytes:
         return b"".join(map(self.__getitem__, pieces))
 
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids))
+
 
 def vocabulary(path: str | None) -> Vocabulary:
     """This worker's vocabulary of a rank file."""
@@ -249,56 +252,53 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK, overlap
     return short.union(spans.mapInArrow(_encode_span(path), fields))
 
 
+def _ids(batch: pa.RecordBatch):
+    """The ids of each row, one list at a time."""
+    column = _column(batch, "ids")
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        yield values[i:j].tolist()
+
+
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` rows with ``bytes``, what their ids stand for."""
     def run(batches):
-        table = vocabulary(path).bytes
+        known = vocabulary(path)
         for b in batches:
-            column = _column(b, "ids")
-            values, ends = column.flatten().to_pylist(), np.cumsum([0, *(len(x) if x else 0 for x in column)]).tolist()
-            out = [b"".join(map(table.__getitem__, values[i:j])) for i, j in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "bytes"])
+            out = pa.array([known.decode(ids) for ids in _ids(b)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, out], names=[*b.schema.names, "bytes"])
     schema = encoded.schema.simpleString()[len("struct<"):-1]
     return encoded.mapInArrow(run, f"{schema},bytes:binary")
 
 
-def digests(decoded: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document; the
-    parts of one are read in order, one at a time."""
-    def rows(batches):
-        table = None
-        for b in batches:
-            table = table or vocabulary(path).decimal
-            column = _column(b, "ids")
-            values, ends = column.flatten().to_pylist(), np.cumsum([0, *(len(x) if x else 0 for x in column)]).tolist()
-            for doc_id, row, data, i, j in zip(_column(b, "doc_id").to_pylist(), _column(b, "row").to_pylist(),
-                                               _column(b, "bytes"), ends, ends[1:]):
-                yield doc_id, row, " ".join(map(table.__getitem__, values[i:j])).encode(), data.as_buffer(), j - i
-
+def digests(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document of
+    ``encode``; the parts of one are read in order, one at a time."""
     def run(batches):
-        out, last, n, ids, raw = [], None, 0, None, None
-        for doc_id, row, text, data, k in rows(batches):
-            if ids is not None and (row is None or (doc_id, row) != last):
-                out.append((last[0], n, ids.hexdigest(), raw.hexdigest()))
-                ids = None
-                if len(out) == 4096:
-                    yield _digest_batch(out)
-                    out = []
-            if ids is None:
-                last, n, ids, raw = (doc_id, row), 0, hashlib.sha256(), hashlib.sha256()
-            elif n and k:
-                ids.update(b" ")
-            n += k
-            ids.update(text)
-            raw.update(data)
-        if ids is not None:
-            out.append((last[0], n, ids.hexdigest(), raw.hexdigest()))
+        known, out, last, n, text, raw = vocabulary(path), [], None, 0, None, None
+        for b in batches:
+            for doc_id, row, ids in zip(_column(b, "doc_id").to_pylist(), _column(b, "row").to_pylist(), _ids(b)):
+                if text is not None and (row is None or (doc_id, row) != last):
+                    out.append((last[0], n, text.hexdigest(), raw.hexdigest()))
+                    text = None
+                    if len(out) == 4096:
+                        yield _digest_batch(out)
+                        out = []
+                if text is None:
+                    last, n, text, raw = (doc_id, row), 0, hashlib.sha256(), hashlib.sha256()
+                elif n and ids:
+                    text.update(b" ")
+                n += len(ids)
+                text.update(" ".join(map(known.decimal.__getitem__, ids)).encode())
+                raw.update(known.decode(ids))
+        if text is not None:
+            out.append((last[0], n, text.hexdigest(), raw.hexdigest()))
         if out:
             yield _digest_batch(out)
 
     fields = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    several = decoded.where("row IS NOT NULL").repartition("row").sortWithinPartitions("row", "at")
-    return decoded.where("row IS NULL").mapInArrow(run, fields).union(several.mapInArrow(run, fields))
+    several = encoded.where("row IS NOT NULL").repartition("row").sortWithinPartitions("row", "at")
+    return encoded.where("row IS NULL").mapInArrow(run, fields).union(several.mapInArrow(run, fields))
 
 
 def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -85,7 +85,7 @@ def op10_sharding(spark, sf_dir):
 
 @query
 def op11_bpe(spark, sf_dir):
-    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir))))
+    return bpe.digests(bpe.encode(documents(spark, sf_dir)))
 
 
 @query(oracle=merkle.SQL)
