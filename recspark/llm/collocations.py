@@ -7,13 +7,17 @@ counts by interval extension, and counts are summed across shards:
 
 1. *Words.*  Sums of the shards' vocabularies give every word's count, and the
    language's total ``n``.  A phrase that occurs ``least`` times has only words
-   that do: these get global ids, which go back to the shards that hold them.
+   that do: these get dense global ids, which go back to the shards that hold them.
 2. *Pairs.*  Each shard, with all other words as separators, is enumerated to
    depth 2.  A phrase that occurs ``least`` times has only such pairs inside:
    the frequent ones go back to the shards that hold them.
 3. *Longer phrases.*  Each shard, cut between words that form no frequent pair,
    is enumerated to the full depth; sums are again exact.
 
+A shard's phrases travel as compressed blocks, one for each bucket of a hash of
+their words; there is a bucket for every ``BUCKET`` words of the corpus, so what
+a task sums is bounded, and a common word or a large language is no hot key.
+
 A candidate's cuts look up the counts of both parts.  A candidate inside a
 longer one that is (to ``cover`` percent) as frequent goes; it is enough to look
 at its extensions by one word to the left and right, since what lies between it
@@ -21,15 +25,12 @@ and a longer phrase is a candidate as frequent as that one.
 
 Words are bytes of the text with A-Z lower-cased; the pruning in 2 and 3 is by
 exact counts and loses nothing.  A task holds one shard: ``SHARD`` words, or
-the words of its longest text without a break.  Phrases are summed by their
-word ids, so a common word or a large language is no hot key; only ``LEAST``
-decides what is found, at any size.
+the words of its longest text.  Only ``least`` decides what is found, at any size.
 
 Edge cases: null text is empty, null language is ``und``; texts without words
 and languages without candidates give no rows; equal scores rank by count, then
 by the phrase's bytes; repeated rows count each time; other columns are ignored;
-an empty table gives no rows.  A frequent word's id is a 64-bit number of its
-row, not a hash.
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,25 +39,31 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recspark.llm.common import small_batches, texts, written
-from recspark.llm.fmindex import SEPARATOR, phrases
+from recspark.llm.common import mix64, small_batches, texts, written
+from recspark.llm.fmindex import SEPARATOR, order_of, phrases
 
 DEPTH = 5
 LEAST = 100
 TOP = 2000
 COVER = 100
 SHARD = 1 << 21
+BUCKET = 1 << 21
 _BREAKS = bytes.maketrans(b",;:!?\x0a\x0b\x0c\x0d", b"." * 9)
 
 _SHARDS = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("tokens", pa.binary()),
                      ("word", pa.string()), ("id", pa.int32()), ("n", pa.int64())])
-_PAIRS = pa.schema([("shard", pa.int64()), ("a", pa.int32()), ("b", pa.int32()),
-                    ("w1", pa.int64()), ("w2", pa.int64()), ("n", pa.int64())])
+# a shard's phrases of m words in one bucket, or its text in global ids: local ids from 1, and the global ones in order
+_BLOCKS = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("bucket", pa.int64()), ("m", pa.int32()),
+                     ("words", pa.binary()), ("n", pa.binary()), ("tokens", pa.binary()), ("known", pa.binary())])
+# a frequent phrase, or the pairs of a shard that are
+_SUMS = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.int64())), ("a", pa.int64()),
+                   ("shard", pa.int64()), ("pairs", pa.binary())])
 
 
 class _Shard:
@@ -83,7 +90,7 @@ class _Shard:
         n = np.bincount(tokens, minlength=len(words) + 1)[1:]
         k = len(words)
         yield pa.RecordBatch.from_pydict(
-            {"shard": [shard], "lang": [self.lang], "tokens": [tokens.tobytes()], "word": [None], "id": [None], "n": [None]},
+            {"shard": [shard], "lang": [self.lang], "tokens": [_pack(tokens)], "word": [None], "id": [None], "n": [None]},
             schema=_SHARDS)
         for lo in range(0, k, 50_000):
             part = slice(lo, min(lo + 50_000, k))
@@ -122,99 +129,178 @@ def _cut_shards(limit: int):
     return run
 
 
-def _pairs(key, shard: pa.Table, vocabulary: pa.Table) -> pa.Table:
-    """Pairs of frequent words in a shard."""
-    if not shard.num_rows or not vocabulary.num_rows:
-        return _PAIRS.empty_table()
-    tokens = np.frombuffer(shard.column("tokens")[0].as_py(), np.int32)
-    local = vocabulary.column("id").to_numpy()
-    words = vocabulary.column("w").to_numpy()
-    dense = np.zeros(int(max(tokens.max(), local.max())) + 1, np.int64)
-    dense[local] = np.arange(1, len(local) + 1)
-    *_, (found, n, _, _) = phrases(dense[tokens], 2)
-    if found.shape[1] < 2 or not len(found):
-        return _PAIRS.empty_table()
-    a, b = found.T - 1
-    return pa.table({"shard": np.full(len(n), key[0].as_py()), "a": local[a], "b": local[b], "w1": words[a], "w2": words[b],
-                     "n": n}, schema=_PAIRS)
-
-
-def _runs(tokens: np.ndarray, a: np.ndarray, b: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _pack(values: np.ndarray) -> bytes:
+    """Non-negative integers, compressed: all first bytes, all second ones, ..."""
+    values = np.ascontiguousarray(values, dtype="<u4" if int(values.max(initial=0)) < 1 << 32 else "<u8")
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return bytes([values.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    size = data[0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{size}").ravel().astype(np.int64)
+
+
+def _blocks(shard: int, lang: str, words: np.ndarray, n: np.ndarray, buckets: int):
+    """Rows of phrases (one a line of ``words``) by bucket."""
+    at = np.zeros(len(words), np.uint64)
+    for column in words.T:
+        at = mix64(at + column.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    at = (at % np.uint64(buckets)).astype(np.int64)
+    order = order_of(at)
+    ends = np.searchsorted(at[order], np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(ends)):
+        take = order[ends[k]:ends[k + 1]]
+        yield {"shard": shard, "lang": lang, "bucket": int(k), "m": words.shape[1], "words": _pack(words[take].T.ravel()),
+               "n": _pack(n[take])}
+
+
+def _pairs(buckets: int):
+    """A shard's pairs of frequent words, and its text in global ids."""
+    def run(key, shard: pa.Table, vocabulary: pa.Table) -> pa.Table:
+        if not shard.num_rows or not vocabulary.num_rows:
+            return _BLOCKS.empty_table()
+        tokens, lang = _unpack(shard.column("tokens")[0].as_py()), shard.column("lang")[0].as_py()
+        local, known = vocabulary.column("id").to_numpy(), vocabulary.column("w").to_numpy()
+        by = np.argsort(known)
+        local, known = local[by], known[by]
+        dense = np.zeros(int(max(tokens.max(), local.max())) + 1, np.int64)
+        dense[local] = np.arange(1, len(local) + 1)
+        text = dense[tokens]
+        number = key[0].as_py()
+        out = [{"shard": number, "lang": lang, "tokens": _pack(text), "known": _pack(known)}]
+        for words, n, *_ in phrases(text, 2):
+            if words.shape[1] == 2 and len(n):
+                out += _blocks(number, lang, known[words - 1], n, buckets)
+        return pa.Table.from_pylist(out, schema=_BLOCKS)
+    return run
+
+
+def _runs(text: np.ndarray, pairs: np.ndarray, least: int) -> np.ndarray:
     """The text's stretches of ``least`` words or more in which every two
-    neighbours are one of the pairs, each ended by a separator, and the words
-    that their ids (from 1) stand for."""
-    known = np.unique(np.concatenate([a, b]))
-    dense = np.zeros(int(max(tokens.max(), known.max())) + 1, np.int64)
-    dense[known] = np.arange(1, len(known) + 1)
-    text, width = dense[tokens], len(known) + 1
-    pairs = np.sort(dense[a] * width + dense[b])
+    neighbours are one of the pairs, each ended by a separator."""
+    width = int(text.max()) + 1
+    pairs = np.sort(pairs[0] * width + pairs[1])
     here = text[:-1] * width + text[1:]
     at = np.minimum(np.searchsorted(pairs, here), len(pairs) - 1)
     linked = (pairs[at] == here) & (text[:-1] > 0)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], linked.view(np.int8), [0]])))
     start, stop = edge[::2], edge[1::2] + 1
     long = stop - start >= least
-    start, size = start[long], stop[long] - start[long]
-    take = np.repeat(start - np.cumsum(size + 1) + size + 1, size + 1) + np.arange((size + 1).sum())
+    start, size = start[long], stop[long] - start[long] + 1
+    take = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
     out = text[np.minimum(take, len(text) - 1)]
-    out[np.cumsum(size + 1) - 1] = SEPARATOR
-    return out, known
-
-
-def _longer(depth: int, schema: pa.Schema):
-    def run(key, shard: pa.Table, pairs: pa.Table) -> pa.Table:
-        if not shard.num_rows or not pairs.num_rows:
-            return schema.empty_table()
-        tokens = np.frombuffer(shard.column("tokens")[0].as_py(), np.int32)
-        a, b = (pairs.column(c).to_numpy() for c in "ab")
-        text, known = _runs(tokens, a, b, 3)
-        if not len(text):
-            return schema.empty_table()
-        word = np.zeros(len(known) + 1, np.int64)
-        word[1 + np.searchsorted(known, a)] = pairs.column("w1").to_numpy()
-        word[1 + np.searchsorted(known, b)] = pairs.column("w2").to_numpy()
+    out[np.cumsum(size) - 1] = SEPARATOR
+    return out
+
+
+def _longer(depth: int, buckets: int):
+    def run(key, shard: pa.Table, back: pa.Table) -> pa.Table:
+        if not shard.num_rows or not back.num_rows:
+            return _BLOCKS.empty_table()
+        text, known = (_unpack(shard.column(c)[0].as_py()) for c in ("tokens", "known"))
+        pairs = np.concatenate([_unpack(p.as_py()).reshape(2, -1) for p in back.column("pairs")], axis=1)
         out = []
-        for words, n, *_ in phrases(text, depth):
-            m = words.shape[1]
-            if m < 3:
-                continue
-            empty = pa.nulls(len(n), pa.int64())
-            out.append(pa.table([*(pa.array(word[words[:, i]]) if i < m else empty for i in range(depth)), pa.array(n)],
-                                schema=schema))
+        for words, n, *_ in phrases(_runs(text, 1 + np.searchsorted(known, pairs), 3), depth):
+            if words.shape[1] > 2 and len(n):
+                out += _blocks(key[0].as_py(), shard.column("lang")[0].as_py(), known[words - 1], n, buckets)
+        return pa.Table.from_pylist(out, schema=_BLOCKS)
+    return run
+
+
+def _grouped(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal lines lie together, and where each kind begins."""
+    width = int(words.max()).bit_length()
+    if width * words.shape[1] <= 63:
+        key = np.zeros(len(words), np.int64)
+        for column in words.T:
+            key = key << width | column
+        order = np.argsort(key, kind="stable")
+    else:
+        order = np.lexsort(words.T[::-1])
+    words = words[order]
+    return order, np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]).any(axis=1)]))
+
+
+def _sum(least: int, back: bool):
+    """Sums of a bucket over all shards: the frequent phrases and, for
+    ``back``, those of them that each shard holds."""
+    def run(table: pa.Table) -> pa.Table:
+        out, lengths = [], table.column("m").to_numpy()
+        for m in np.unique(lengths):
+            rows = table.take(np.flatnonzero(lengths == m))
+            parts = [_unpack(b.as_py()).reshape(m, -1).T for b in rows.column("words")]
+            size = np.array([len(p) for p in parts])
+            words, n = np.concatenate(parts), np.concatenate([_unpack(b.as_py()) for b in rows.column("n")])
+            order, first = _grouped(words)
+            total = np.add.reduceat(n[order], first)
+            some = np.flatnonzero(total >= least)
+            langs = np.array(rows.column("lang").to_pylist(), object)
+            owner = np.repeat(np.arange(len(size)), size)
+            kinds = words[order[first[some]]]
+            empty = pa.nulls(len(some))
+            out.append(pa.table([pa.array(langs[owner[order[first[some]]]], pa.string()), pa.array(list(kinds), pa.list_(pa.int64())),
+                                 pa.array(total[some]), empty.cast(pa.int64()), empty.cast(pa.binary())], schema=_SUMS))
+            if back:
+                kept = np.zeros(len(words), bool)
+                kept[order] = np.repeat(total >= least, np.diff(np.append(first, len(words))))
+                ends = np.cumsum(size)
+                here = [(shard, _pack(words[i:j][kept[i:j]].T.ravel())) for shard, i, j in
+                        zip(rows.column("shard").to_pylist(), (ends - size).tolist(), ends.tolist()) if kept[i:j].any()]
+                out.append(pa.Table.from_pylist([{"shard": s, "pairs": p} for s, p in here], schema=_SUMS))
         return pa.concat_tables(out)
     return run
 
 
+def _types(schema: pa.Schema) -> str:
+    names = {pa.string(): "string", pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary",
+             pa.list_(pa.int64()): "array<long>"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
+
+
+def dense(rows: DataFrame, name: str) -> DataFrame:
+    """``rows``, written, with dense numbers from 1: a row's place in its
+    partition after the rows of the partitions before (one row for each)."""
+    rows = written(rows.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id()), "numbers")
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = rows.groupBy("part").agg(F.count("*").alias("k"), F.min("at").alias("low")).withColumn(
+        "before", F.coalesce(F.sum("k").over(before), F.lit(0)))
+    return rows.join(parts, "part").withColumn(name, 1 + F.col("before") + F.col("at") - F.col("low")).drop(
+        "part", "at", "k", "low", "before")
+
+
 def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, cover: int = COVER,
                  top: int | None = TOP, limit: int = SHARD) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's ``top`` phrases
     of 2 to ``depth`` words (all, if None)."""
     shards = written(
         docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-        .mapInArrow(_cut_shards(limit), "shard long, lang string, tokens binary, word string, id int, n long"), "shards")
-    tokens = shards.where("tokens IS NOT NULL").select("shard", "tokens").toDF("shard", "tokens")
+        .mapInArrow(_cut_shards(limit), _types(_SHARDS)), "shards")
+    tokens = shards.where("tokens IS NOT NULL").select("shard", "lang", "tokens").toDF("shard", "lang", "tokens")
     vocabulary = shards.where("word IS NOT NULL").select("shard", "lang", "word", "id", "n")
     counts = vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts = written(counts.withColumn("w", F.monotonically_increasing_id()), "words")
-    total = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = counts.where(F.col("n") >= least)
+    counts = written(counts, "words")
+    total = written(counts.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    words = written(dense(counts.where(F.col("n") >= least), "w"), "frequent-words")
+    buckets = 1 + (total.agg(F.sum("n")).first()[0] or 0) // BUCKET
     held = vocabulary.drop("n").join(words.select("lang", "word", "w"), ["lang", "word"]).select("shard", "id", "w")
-    types = ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'long'}" for f in _PAIRS)
-    pairs = written(tokens.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(_pairs, types), "pairs")
-    frequent = written(pairs.groupBy("w1", "w2").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "frequent-pairs")
-    names = [f"w{i}" for i in range(1, depth + 1)]
-    found = frequent.select("w1", "w2", *[F.lit(None).cast("long").alias(c) for c in names[2:]], "n")
+    pairs = written(tokens.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(_pairs(buckets), _types(_BLOCKS)), "pairs")
+    found = written(pairs.where("words IS NOT NULL").groupBy("bucket").applyInArrow(_sum(least, depth > 2), _types(_SUMS)),
+                    "frequent-pairs")
+    every = found.where("words IS NOT NULL").select("lang", "words", "a")
     if depth > 2:
-        back = pairs.drop("n").join(frequent.select("w1", "w2"), ["w1", "w2"])
-        schema = pa.schema([*((c, pa.int64()) for c in names), ("n", pa.int64())])
-        longer = tokens.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(
-            _longer(depth, schema), ", ".join(f"{c} long" for c in [*names, "n"]))
-        found = found.unionByName(longer.groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least))
-    every = written(found.select(F.filter(F.array(*names), lambda w: w.isNotNull()).alias("words"), F.col("n").alias("a")),
-                    "phrases")
-    best = _scored(_maximal(every, cover), every, words, total)
+        back = found.where("pairs IS NOT NULL").select("shard", "pairs")
+        own = pairs.where("tokens IS NOT NULL").select("shard", "lang", "tokens", "known")
+        longer = own.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(_longer(depth, buckets), _types(_BLOCKS))
+        every = every.union(longer.groupBy("bucket").applyInArrow(_sum(least, False), _types(_SUMS)).select("lang", "words", "a"))
+    every = written(every, "phrases")
+    scored = _scored(_maximal(every, cover), every.select("words", "a").union(words.select(F.array("w"), "n")), total)
+    if top is not None:  # texts are needed only where they can decide a rank
+        place = F.rank().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a")))
+        scored = scored.withColumn("place", place).where(F.col("place") <= top).drop("place")
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    ranked = best.withColumn("rank", rank.cast("long"))
+    ranked = _spelled(scored, words).withColumn("rank", rank.cast("long"))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -229,23 +315,26 @@ def _maximal(every: DataFrame, cover: int) -> DataFrame:
         F.col("longer").isNull() | (100 * F.col("longer") < cover * F.col("a"))).drop("longer")
 
 
-def _scored(kept: DataFrame, every: DataFrame, words: DataFrame, total: DataFrame) -> DataFrame:
-    """lang, phrase, a, l, r, n, score by the lowest cut."""
-    parts = every.union(words.select(F.array("w"), "n"))
-    numbers = kept.select("words", "a", F.explode(F.expr("sequence(1, size(words) - 1)")).alias("k"))
-    cuts = (numbers.withColumn("left", F.expr("slice(words, 1, k)")).withColumn("right", F.expr("slice(words, k + 1, size(words) - k)"))
+def _scored(kept: DataFrame, parts: DataFrame, total: DataFrame) -> DataFrame:
+    """lang, words, a, l, r, n, score by the lowest cut; ``parts`` has the
+    counts of all frequent phrases and words."""
+    cuts = (kept.select("lang", "words", "a", F.explode(F.expr("sequence(1, size(words) - 1)")).alias("k"))
+            .withColumn("left", F.expr("slice(words, 1, k)")).withColumn("right", F.expr("slice(words, k + 1, size(words) - k)"))
             .join(parts.select(F.col("words").alias("left"), F.col("a").alias("l")), "left")
-            .join(parts.select(F.col("words").alias("right"), F.col("a").alias("r")), "right"))
-    text = (kept.select("words", F.posexplode("words").alias("i", "w"))
-            .join(words.select("w", "lang", "word"), "w")
-            .groupBy("words").agg(F.first("lang").alias("lang"), F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("phrase")))
+            .join(parts.select(F.col("words").alias("right"), F.col("a").alias("r")), "right")
+            .join(total, "lang"))
     wide = {c: F.col(c).cast("decimal(19,0)") for c in ("a", "l", "r", "n")}
     score = F.call_function("div", F.lit(1000).cast("decimal(4,0)") * wide["a"] * wide["n"], wide["l"] * wide["r"])
-    langs = cuts.join(text, "words").join(total, "lang").withColumn("score", score)
-    low = F.min(F.struct("score", "k", "l", "r"))
-    return langs.groupBy("lang", "words", "phrase", "a", "n").agg(low.alias("low")).select(
-        "lang", "phrase", "a", "low.l", "low.r", "n", "low.score")
+    low = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("low")
+    return cuts.groupBy("lang", "words", "a", "n").agg(low).select("lang", "words", "a", "low.l", "low.r", "n", "low.score")
+
+
+def _spelled(scored: DataFrame, words: DataFrame) -> DataFrame:
+    """Phrases with their text."""
+    spelled = (scored.select("words", F.posexplode("words").alias("i", "w")).join(words.select("w", "word"), "w")
+               .groupBy("words").agg(F.array_join(F.transform(
+                   F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("phrase")))
+    return scored.join(spelled, "words")
 
 
 SQL = r"""

@@ -206,8 +206,12 @@ def test_collocations_equal_counting(spark, limit, cover, top):
 def test_scores_pass_64_bits(spark):
     docs = spark.createDataFrame([("en", "a b")], "lang string, text string")
     assert collocations.collocations(docs).count() == 0
-    every = spark.createDataFrame([([1, 2], 10**12)], "words array<long>, a long")
-    words = spark.createDataFrame([("en", "a", 2 * 10**12, 1), ("en", "b", 3 * 10**12, 2)], "lang string, word string, n long, w long")
+    kept = spark.createDataFrame([("en", [1, 2], 10**12)], "lang string, words array<long>, a long")
+    parts = spark.createDataFrame([([1], 2 * 10**12), ([2], 3 * 10**12)], "words array<long>, a long")
     total = spark.createDataFrame([("en", 10**14)], "lang string, n long")
-    row = collocations._scored(every, every, words, total).first()
-    assert row.score == 1000 * 10**12 * 10**14 // (6 * 10**24)
+    assert collocations._scored(kept, parts, total).first().score == 1000 * 10**12 * 10**14 // (6 * 10**24)
+
+
+def test_packed_integers_come_back():
+    for values in ([], [0], [1, 2, 70_000], [5, 1 << 40]):
+        assert collocations._unpack(collocations._pack(np.array(values, np.int64))).tolist() == values
