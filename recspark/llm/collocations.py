@@ -259,15 +259,31 @@ def _types(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
-def dense(rows: DataFrame, name: str) -> DataFrame:
-    """``rows``, written, with dense numbers from 1: a row's place in its
-    partition after the rows of the partitions before (one row for each)."""
-    rows = written(rows.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id()), "numbers")
+def _counted(batches):
+    """Numbers the words of a partition that is sorted by word, from 1."""
+    last = 0
+    for b in batches:
+        number = last + np.cumsum(b.column(b.schema.get_field_index("is_first")).to_numpy(zero_copy_only=False))
+        last = int(number[-1]) if len(number) else last
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(number, pa.int64())], names=[*b.schema.names, "number"])
+
+
+def _frequent(vocabulary: DataFrame, least: int) -> DataFrame:
+    """The vocabularies' rows of frequent words, with the word's count over all
+    shards (``f``), its dense global id (``w``) and whether the row is its first.
+    One shuffle by word; words are numbered in each partition, after those of the
+    partitions before (one row for each)."""
+    same = W.partitionBy("lang", "word")
+    rows = (vocabulary.repartition("lang", "word").sortWithinPartitions("lang", "word")
+            .withColumn("at", F.monotonically_increasing_id()).withColumn("f", F.sum("n").over(same))
+            .where(F.col("f") >= least)
+            .select("shard", "id", "lang", "word", "f", (F.col("at") == F.min("at").over(same)).alias("is_first")))
+    fields = "shard long, id int, lang string, word string, f long, is_first boolean, number long"
+    known = written(rows.mapInArrow(_counted, fields).withColumn("part", F.spark_partition_id()), "frequent-words")
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    parts = rows.groupBy("part").agg(F.count("*").alias("k"), F.min("at").alias("low")).withColumn(
-        "before", F.coalesce(F.sum("k").over(before), F.lit(0)))
-    return rows.join(parts, "part").withColumn(name, 1 + F.col("before") + F.col("at") - F.col("low")).drop(
-        "part", "at", "k", "low", "before")
+    parts = known.groupBy("part").agg(F.max("number").alias("k")).select(
+        "part", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("before"))
+    return known.join(parts, "part").withColumn("w", F.col("before") + F.col("number")).drop("part", "before", "number")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, cover: int = COVER,
@@ -279,12 +295,11 @@ def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, cover:
         .mapInArrow(_cut_shards(limit), _types(_SHARDS)), "shards")
     tokens = shards.where("tokens IS NOT NULL").select("shard", "lang", "tokens").toDF("shard", "lang", "tokens")
     vocabulary = shards.where("word IS NOT NULL").select("shard", "lang", "word", "id", "n")
-    counts = vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts = written(counts, "words")
-    total = written(counts.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    words = written(dense(counts.where(F.col("n") >= least), "w"), "frequent-words")
+    total = written(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     buckets = 1 + (total.agg(F.sum("n")).first()[0] or 0) // BUCKET
-    held = vocabulary.drop("n").join(words.select("lang", "word", "w"), ["lang", "word"]).select("shard", "id", "w")
+    frequent = _frequent(vocabulary, least)
+    held = frequent.select("shard", "id", "w")
+    words = frequent.where("is_first").select("w", "word", F.col("f").alias("n"))
     pairs = written(tokens.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(_pairs(buckets), _types(_BLOCKS)), "pairs")
     found = written(pairs.where("words IS NOT NULL").groupBy("bucket").applyInArrow(_sum(least, depth > 2), _types(_SUMS)),
                     "frequent-pairs")
