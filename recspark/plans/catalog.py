@@ -568,8 +568,9 @@ def q_stream_rating_parse(spark, d):
 def q_stream_recent_state(spark, d):
     src = STR.rating_stream_source(spark, fmt="text", path=_log_files(spark, d), maxFilesPerTrigger=1)
     q = STR.stream_recent_state(STR.stream_rating_parse(STR.stream_log_filter(src)))
-    out = _drain(q, spark, "recent-queue")
-    return STR.latest_queue(spark.read.parquet(out)).select(
+    out, ck = scratch_path(spark, "recent-queue"), scratch_path(spark, "recent-queue-ckpt")
+    STR.start(q, None, None, ck, {"availableNow": True}, "update", STR.RecentQueues(out)).awaitTermination()
+    return STR.read_recent_queues(spark, out).select(
         "userId", F.col("rank").cast("int"), "productId", "score")
 
 
@@ -582,9 +583,10 @@ def _stream_recs_root(spark, d) -> str:
     root = scratch_path(spark, "stream-recs")
     src = STR.rating_stream_source(spark, fmt="text", path=_log_files(spark, d), maxFilesPerTrigger=1)
     parsed = STR.stream_rating_parse(STR.stream_log_filter(src))
-    writer = STR.StreamRecsWriter(root, sims_path, min_sim=VEC_SCORE_FLOOR, history=DT.ratings(spark, d))
-    q = STR.start(parsed, None, None, scratch_path(spark, "stream-recs-ckpt"),
-                  trigger={"availableNow": True}, foreach_batch=writer)
+    writer = STR.StreamRecsWriter(root, sims_path, min_sim=VEC_SCORE_FLOOR, compact_every=2)
+    state = STR.user_state(parsed, before=STR.state_before(spark, root, DT.ratings(spark, d)))
+    q = STR.start(state, None, None, scratch_path(spark, "stream-recs-ckpt"),
+                  trigger={"availableNow": True}, output_mode="update", foreach_batch=writer)
     q.awaitTermination()
     return root
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recspark.functions.expr import user_id_from_name
 from recspark.plans.jobs import read, stream_recs
 
 
@@ -50,28 +51,32 @@ def search(spark: SparkSession, wh: str, pattern: str) -> DataFrame:
     return read(spark, wh, "ServeInfo").where(F.col("name").rlike(pattern))
 
 
-def user_id(spark: SparkSession, wh: str, username: str) -> DataFrame:
-    """The userId of a registered name (no row if there is none)."""
-    return read(spark, wh, "User").where(F.col("username") == username).select("userId")
+def user_id(spark: SparkSession, wh: str, username: str) -> int | None:
+    """The id of a registered name: a name's id is its hash, so one bucket of
+    User is read."""
+    spot = spark.createDataFrame([(username,)], "username string").select(user_id_from_name(F.col("username"))).first()[0]
+    row = read(spark, wh, "User", spot).where(F.col("username") == username).select("userId").first()
+    return row and row["userId"]
 
 
-def offline(spark: SparkSession, wh: str, user_id: int, num: int | None = None) -> DataFrame:
+def offline(spark: SparkSession, wh: str, user_id: int | None, num: int | None = None) -> DataFrame:
     """/offline: a user's ALS list."""
-    r = read(spark, wh, "ServeOffline").where(F.col("userId") == user_id)
+    r = read(spark, wh, "ServeOffline").where(F.col("userId") == F.lit(user_id).cast("int"))
     return r if num is None else r.where(F.col("rank") <= num)
 
 
 def offline_of(spark: SparkSession, wh: str, username: str, num: int | None = None) -> DataFrame:
     """/offline by name: the list of a registered user."""
-    r = read(spark, wh, "ServeOffline").join(user_id(spark, wh, username), "userId")
-    return r if num is None else r.where(F.col("rank") <= num)
+    return offline(spark, wh, user_id(spark, wh, username), num)
 
 
-def stream_of(spark: SparkSession, wh: str, username: str) -> DataFrame:
-    """/stream by name."""
-    return stream_recs(spark, wh).join(user_id(spark, wh, username), "userId")
+def stream(spark: SparkSession, wh: str, user_id: int | None) -> DataFrame:
+    """/stream: a user's online list (deltas are stored hydrated)."""
+    if user_id is None:
+        return stream_recs(spark, wh, details=True).limit(0)
+    return stream_recs(spark, wh, user_id, details=True)
 
 
-def stream(spark: SparkSession, wh: str, user_id: int) -> DataFrame:
-    """/stream: a user's online list (deltas are stored hydrated)."""
-    return stream_recs(spark, wh, user_id)
+def stream_of(spark: SparkSession, wh: str, username: str) -> DataFrame:
+    """/stream by name."""
+    return stream(spark, wh, user_id(spark, wh, username))

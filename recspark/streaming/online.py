@@ -2,28 +2,33 @@
 
 * ``rating_stream_source``: Kafka topic (or any streaming source) -> ``value``.
 * ``stream_log_filter`` / ``stream_rating_parse``: stateless projections.
-* ``stream_recent_state``: bounded per-user queue of recent ratings kept in
-  the state store (``applyInPandasWithState``).
-* ``StreamRecsWriter``: ``foreachBatch`` sink that appends the batch to the
-  rating log and recomputes StreamRecs for the batch's users with the same
-  set-at-a-time functions as the batch replay; outputs are keyed by batch id,
-  so a replayed batch overwrites its own output (exactly-once).
+* ``user_state``: per user, the queue of newest ratings and the set of rated
+  products in the RocksDB state store (``transformWithStateInPandas``).
+* ``stream_recent_state``: the queue of ``user_state`` as an upsert stream.
+* ``StreamRecsWriter``: ``foreachBatch`` sink over ``user_state`` that computes
+  the lists of the batch's users; no log is read again.  Outputs are keyed by
+  batch id, so a replayed batch overwrites its own output (exactly-once).
+* ``read_stream_recs`` / ``compact_stream_recs``: lists are a versioned table
+  plus the newer batches' deltas, which a compaction folds into it.
 """
 
 from __future__ import annotations
 
-import os
-from typing import Iterator
+import heapq
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from recspark.constants import (MAX_SIM_PRODUCTS, RECENT_QUEUE_SIZE, RECENT_READ_N,
                                 STREAM_SIM_THRESHOLD)
 from recspark.functions.expr import filter_rating_logs, parse_rating_events
-from recspark.operators.online import online_recs
+from recspark.operators.online import candidate_products, stream_scores
+from recspark.session import checkpoint_dir
+from recspark.sources import versions
+from recspark.sources.files import replace_by_key
 
 
 # ------------------------------------------------------------------ sources
@@ -71,92 +76,150 @@ def start(df: DataFrame, fmt: str, path: str | None, checkpoint: str,
     return w.start(path) if path else w.start()
 
 
-# ------------------------------------------------------ recent-rating state
+# ------------------------------------------------------------ state per user
 
-RECENT_STATE_SCHEMA = "pid array<int>, score array<double>, ts array<bigint>, seq array<bigint>, n bigint"
-RECENT_OUT_SCHEMA = "userId int, version bigint, rank int, productId int, score double, ts bigint"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+RATING = "productId int, score double, ts bigint"
+# kind: an entry of the queue (rank 1 = newest), a rated product, a rating of this batch
+STATE_OUT = "userId int, version bigint, kind string, rank int, productId int, score double, ts bigint"
 
 
-def _queue_update(queue_size: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        user = int(key[0])
-        if state.exists:
-            pid, score, ts, seq, n = state.get
-            old = pd.DataFrame({"productId": list(pid), "score": list(score),
-                                "ts": list(ts), "seq": list(seq)})
-        else:
-            old, n = pd.DataFrame({"productId": [], "score": [], "ts": [], "seq": []}), 0
-        q = old
-        for pdf in pdfs:  # Arrow chunks: fold each into the bounded queue
-            add = pdf[["productId", "score", "ts"]].copy()
-            add["seq"] = range(n, n + len(add))
+class UserState(StatefulProcessor):
+    """A user's queue of the ``size`` newest ratings (by time, then the larger
+    product, then the larger score, whatever their order of arrival), the set of
+    rated products, and the number of ratings seen.
+
+    The queue is bounded and each chunk of a batch is folded into it with a heap;
+    the set is updated by the batch's products alone.  Output per batch and
+    touched user: the queue and, with ``whole``, the set and the batch's ratings.
+    """
+
+    def __init__(self, size: int, whole: bool):
+        self.size, self.whole = size, whole
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.queue = handle.getListState("queue", RATING)
+        self.rated = handle.getMapState("rated", "productId int", "seen boolean")
+        self.seen = handle.getValueState("seen", "n bigint")
+
+    def _fold(self, chunks: Iterator[pd.DataFrame]) -> tuple[list, int, list]:
+        newest, n, batch = [], 0, []
+        for pdf in chunks:
+            add = list(zip(pdf["ts"].tolist(), pdf["productId"].tolist(), pdf["score"].tolist()))
+            newest = heapq.nlargest(self.size, newest + add)
             n += len(add)
-            # newest first by event time, then by arrival; keep the queue length
-            q = (pd.concat([q, add], ignore_index=True)
-                 .sort_values(["ts", "seq"], ascending=False).head(queue_size))
-        state.update((q["productId"].astype("int64").tolist(), q["score"].astype(float).tolist(),
-                      q["ts"].astype("int64").tolist(), q["seq"].astype("int64").tolist(), int(n)))
-        yield pd.DataFrame({"userId": user, "version": int(n),
-                            "rank": range(1, len(q) + 1),
-                            "productId": q["productId"].astype("int64").to_numpy(),
-                            "score": q["score"].astype(float).to_numpy(),
-                            "ts": q["ts"].astype("int64").to_numpy()})
-    return fn
+            for product in set(pdf["productId"].tolist()) if self.whole else ():
+                self.rated.updateValue((product,), (True,))
+            batch += add if self.whole else []
+        return newest, n, batch
+
+    def _keep(self, newest: list, n: int) -> tuple[list, int]:
+        old = [(ts, p, s) for p, s, ts in self.queue.get()] if self.seen.exists() else []
+        n += self.seen.get()[0] if self.seen.exists() else 0
+        newest = heapq.nlargest(self.size, old + newest)
+        if newest:
+            self.queue.put([(p, s, ts) for ts, p, s in newest])
+        self.seen.update((n,))
+        return newest, n
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Ratings from before the stream: those of an earlier run's log are
+        queued, those of the Rating table are only rated."""
+        logged = initialState[initialState["logged"].astype(bool)]
+        newest, n, _ = self._fold(iter([logged.astype({"ts": "int64"})]))
+        for product in set(initialState["productId"].tolist()) - set(logged["productId"].tolist()) if self.whole else ():
+            self.rated.updateValue((product,), (True,))
+        self._keep(newest, n)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest, n, batch = self._fold(rows)
+        newest, n = self._keep(newest, n)
+        out = [("recent", i, p, s, ts) for i, (ts, p, s) in enumerate(newest, 1)]
+        if self.whole:
+            out += [("rated", None, p, None, None) for (p,) in self.rated.keys()]
+            out += [("rating", None, p, s, ts) for ts, p, s in batch]
+        yield pd.DataFrame([(key[0], n, *r) for r in out], columns=["userId", "version", "kind", "rank", "productId", "score", "ts"]
+                           ).astype({"rank": "Int32", "productId": "Int32", "ts": "Int64"})
+
+
+def user_state(events: DataFrame, queue_size: int = RECENT_QUEUE_SIZE, whole: bool = True,
+               before: DataFrame | None = None) -> DataFrame:
+    """Ratings (userId, productId, score, ts) -> STATE_OUT rows of the users of
+    each micro-batch.  ``before`` (userId, productId, score, ts, logged) is what
+    the state of a new checkpoint starts from.  Rows without user, product,
+    score or time don't arrive here (``stream_rating_parse`` drops them)."""
+    events.sparkSession.conf.set(PROVIDER, ROCKSDB)
+    start_from = None
+    if before is not None:
+        start_from = before.select("userId", "productId", "score", "ts", "logged").groupBy("userId")
+    return (events.select("userId", "productId", "score", "ts").groupBy("userId")
+            .transformWithStateInPandas(UserState(queue_size, whole), STATE_OUT, "Update", "None", start_from))
 
 
 def stream_recent_state(events: DataFrame, queue_size: int = RECENT_QUEUE_SIZE) -> DataFrame:
-    """Per-user queue of the newest ``queue_size`` ratings, in the state store.
+    """Per-user queue of the newest ``queue_size`` ratings, as upserts: the
+    whole queue of every user touched in a micro-batch, tagged with a version
+    (ratings seen so far); state and output per user are bounded by the queue."""
+    return user_state(events, queue_size, whole=False).drop("kind")
 
-    Emits the whole queue of every user touched in a micro-batch, tagged with
-    a version (ratings seen so far); the state per user is bounded by the
-    queue size, and ordering is by event time, so the queue does not depend
-    on arrival order.
-    """
-    return (events.select("userId", "productId", "score", "ts")
-            .groupBy("userId")
-            .applyInPandasWithState(_queue_update(queue_size), RECENT_OUT_SCHEMA,
-                                    RECENT_STATE_SCHEMA, "append",
-                                    GroupStateTimeout.NoTimeout))
-
-
-def latest_queue(versions: DataFrame, read_n: int = RECENT_QUEUE_SIZE) -> DataFrame:
-    """Drained queue outputs -> the current queue (userId, rank, productId, score)."""
-    last = versions.groupBy("userId").agg(F.max("version").alias("version"))
-    return (versions.join(last, ["userId", "version"])
-            .where(F.col("rank") <= read_n)
+
+class RecentQueues:
+    """``foreachBatch`` sink of ``stream_recent_state``: a versioned table of the
+    users' current queues.  A batch replaces its users' rows and notes its
+    number with them, so a replayed one changes nothing."""
+
+    def __init__(self, root: str, n_buckets: int = versions.N_BUCKETS):
+        self.root, self.n_buckets = root, n_buckets
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        checkpoint_dir(spark)
+        found = versions.manifest(spark, self.root)
+        if found is None:
+            versions.create(batch, self.root, "userId", self.n_buckets, {"batch": batch_id})
+        elif found["notes"]["batch"] < batch_id:
+            versions.update(spark, self.root, batch.checkpoint(), lambda old, new: replace_by_key(old, new, "userId"),
+                            {"batch": batch_id})
+
+
+def read_recent_queues(spark: SparkSession, root: str, read_n: int = RECENT_QUEUE_SIZE, user_id: int | None = None) -> DataFrame:
+    """Current queues (userId, rank, productId, score), newest first."""
+    return (versions.read(spark, root, user_id).where(F.col("rank") <= read_n)
             .select("userId", "rank", "productId", "score"))
 
 
 # ------------------------------------------------------------ StreamRecs sink
 
+# stored lists: recScore is the list's own score; the product's details and average score may be missing
+STORED = ("userId int, rank int, productId int, recScore double, name string, imageUrl string, categories string, "
+          "tags string, score double")
+COLUMNS = [c.split()[0] for c in STORED.split(", ")]
+
+
 class StreamRecsWriter:
-    """``foreachBatch`` body maintaining the rating log and StreamRecs.
-
-    Layout under ``root`` (a folder in the shared checkpoint area):
-    ``log/user_bucket=B/run=R/batch_id=N`` the parsed ratings, partitioned by a
-    hash bucket of the user, then by batch; ``recs/run=R/batch_id=N`` the new
-    lists of
-    the batch's users (a NULL-rank tombstone for a user whose list became
-    empty).  A batch lists and reads only the log buckets of its own users,
-    so its cost follows the users it touches, not the whole log.  Readers
-    merge on read: per user the newest batch wins (``read_stream_recs``).
-    Writes overwrite exactly the batch's own partitions (dynamic partition
-    overwrite), so a batch replayed after a failure leaves the same result.
+    """``foreachBatch`` body over ``user_state`` maintaining StreamRecs.
+
+    Layout under ``root``: ``log/run=R/batch_id=N`` the batch's ratings;
+    ``recs/run=R/batch_id=N`` the new lists of the batch's users (a NULL-rank
+    tombstone for a user whose list became empty); ``base`` a versioned table of
+    the lists that ``compact_stream_recs`` has folded.  The state gives the
+    users' queues and rated products, so a batch costs what its users do: it
+    reads no log, no Rating table and no earlier list, and only the similarity
+    lists are joined.  A batch replayed after a failure overwrites its folders.
     ``run`` numbers the checkpoints that have fed this folder (``stream_run``):
     a new one starts again at batch 0 but comes after all batches before it,
-    and run 0 is a seed written by a batch job.  ``history`` is the Rating
-    table (path or DataFrame): products rated there are no candidates.
+    and run 0 is a seed written by a batch job.  Every ``compact_every`` batches
+    the deltas are folded (None: never).
     """
 
     def __init__(self, root: str, sims: DataFrame | str, recent_n: int = RECENT_READ_N,
                  k: int = MAX_SIM_PRODUCTS, min_sim: float = STREAM_SIM_THRESHOLD,
-                 n_buckets: int = 16, hydrate_with: str | None = None,
-                 history: DataFrame | str | None = None, run: int = 1):
-        self.history, self.run = history, run
-        self.root, self.sims_src = root, sims
+                 hydrate_with: str | None = None, run: int = 1, compact_every: int | None = 10):
+        self.root, self.sims_src, self.run = root, sims, run
         self.recent_n, self.k, self.min_sim = recent_n, k, min_sim
-        self.n_buckets = n_buckets
         self.hydrate_with = hydrate_with  # a ServeInfo table: deltas stored ready to serve
+        self.compact_every = compact_every
         self._sims = None
 
     def sims(self, spark: SparkSession) -> DataFrame:
@@ -167,44 +230,56 @@ class StreamRecsWriter:
             self._sims = s.persist()
         return self._sims
 
-    def _history(self, spark: SparkSession) -> DataFrame | None:
-        # read anew for each batch: the table grows with the ratings
-        return spark.read.parquet(self.history) if isinstance(self.history, str) else self.history
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        log_dir = os.path.join(self.root, "log")
-        bucket = F.pmod(F.xxhash64("userId"), F.lit(self.n_buckets)).cast("int")
-        ev = (batch.select("userId", "productId", "score", "ts")
-              .withColumn("user_bucket", bucket).withColumn("run", F.lit(self.run))
-              .withColumn("batch_id", F.lit(batch_id))
-              .persist())
+        at = f"run={self.run}/batch_id={batch_id}"
+        state = batch.persist()
         try:
-            (ev.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("user_bucket", "run", "batch_id").parquet(log_dir))
-            buckets = [r[0] for r in ev.select("user_bucket").distinct().collect()]
-            if not buckets:
-                return
-            log = (spark.read.option("basePath", log_dir)
-                   .parquet(*[f"{log_dir}/user_bucket={b}" for b in buckets])
-                   .where((F.col("run") < self.run) | (F.col("run") == self.run) & (F.col("batch_id") <= batch_id))
-                   .select("userId", "productId", "score", "ts"))
-            users = ev.select("userId").distinct()
-            recs = online_recs(log, self.sims(spark), order="ts", recent_n=self.recent_n,
-                               k=self.k, min_sim=self.min_sim, users=users, history=self._history(spark))
+            ratings = state.where("kind = 'rating'").select("userId", "productId", "score", "ts")
+            ratings.write.mode("overwrite").parquet(f"{self.root}/log/{at}")
+            recents = state.where((F.col("kind") == "recent") & (F.col("rank") <= self.recent_n))
+            triggers = recents.where("rank = 1").select("userId", "productId")
+            rated = state.where("kind = 'rated'").select("userId", "productId")
+            candidates = candidate_products(triggers, self.sims(spark), rated, self.k)
+            recs = stream_scores(candidates, recents.select("userId", "rank", "productId", "score"), self.sims(spark),
+                                 min_sim=self.min_sim)
             if self.hydrate_with:
                 recs = hydrate_delta(recs, spark.read.parquet(self.hydrate_with))
+            else:
+                recs = recs.withColumnRenamed("score", "recScore").select(
+                    *COLUMNS[:4], *[F.lit(None).cast("double" if c == "score" else "string").alias(c) for c in COLUMNS[4:]])
             # used twice (rows and tombstones): at most k rows per batch user
             recs = recs.persist()
-            tomb = users.join(recs.select("userId"), "userId", "left_anti")
+            tomb = triggers.select("userId").join(recs.select("userId"), "userId", "left_anti")
             for f in recs.schema.fields:
                 if f.name != "userId":
                     tomb = tomb.withColumn(f.name, F.lit(None).cast(f.dataType))
-            (recs.unionByName(tomb).write.mode("overwrite")
-             .parquet(os.path.join(self.root, "recs", f"run={self.run}", f"batch_id={batch_id}")))
+            recs.unionByName(tomb).write.mode("overwrite").parquet(f"{self.root}/recs/{at}")
             recs.unpersist()
         finally:
-            ev.unpersist()
+            state.unpersist()
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            compact_stream_recs(spark, self.root)
+
+
+def stream_log(spark: SparkSession, root: str, after: tuple[int, int] | None = None) -> tuple[DataFrame | None, tuple]:
+    """The ratings that streams have logged after a (run, batch), and the last one's."""
+    folders = _batches(spark, f"{root}/log", after)
+    if not folders:
+        return None, after
+    paths = [f"{root}/log/run={r}/batch_id={b}" for r, b in folders]
+    return spark.read.schema("userId int, " + RATING).parquet(*paths), folders[-1]
+
+
+def state_before(spark: SparkSession, root: str, history: DataFrame | None) -> DataFrame | None:
+    """What a new checkpoint's state starts from: the log of earlier runs and
+    the Rating table's products."""
+    log, _ = stream_log(spark, root)
+    parts = [] if log is None else [log.withColumn("logged", F.lit(True))]
+    if history is not None:
+        parts.append(history.select("userId", "productId", F.lit(None).cast("double").alias("score"),
+                                    F.lit(None).cast("bigint").alias("ts"), F.lit(False).alias("logged")).distinct())
+    return parts[0].union(parts[1]) if len(parts) == 2 else parts[0] if parts else None
 
 
 def stream_run(spark: SparkSession, checkpoint: str, root: str) -> int:
@@ -216,10 +291,8 @@ def stream_run(spark: SparkSession, checkpoint: str, root: str) -> int:
         return spark.read.schema("run int").parquet(mark).first()[0]
     except AnalysisException:
         pass
-    try:
-        last = spark.read.parquet(f"{root.rstrip('/')}/recs").agg(F.max("run")).first()[0] or 0
-    except AnalysisException:
-        last = 0
+    runs = [r for r, _ in _batches(spark, f"{root.rstrip('/')}/recs")]
+    last = max([0, *runs, *(_mark(versions.manifest(spark, f"{root.rstrip('/')}/base")) or ())[:1]])
     spark.createDataFrame([(last + 1,)], "run int").write.parquet(mark)
     return last + 1
 
@@ -232,19 +305,71 @@ def hydrate_delta(recs: DataFrame, serve_info: DataFrame) -> DataFrame:
                             info.select("productId", F.col("score").alias("avg")))
 
 
-def read_stream_recs(spark: SparkSession, root: str, user_id: int | None = None) -> DataFrame:
-    """Current StreamRecs: per user the newest batch's rows (tombstones drop).
+def _batches(spark: SparkSession, folder: str, after: tuple[int, int] | None = None) -> list[tuple[int, int]]:
+    """(run, batch) of the finished batch folders after a mark, in order; after
+    compaction there are few."""
+    found = []
+    for run in versions.names(spark, folder):
+        for batch in versions.names(spark, f"{folder}/{run}"):
+            at = (int(run.split("=")[1]), int(batch.split("=")[1])) if "=" in run and "=" in batch else None
+            if at and (after is None or at > after) and "_SUCCESS" in versions.names(spark, f"{folder}/{run}/{batch}"):
+                found.append(at)
+    return sorted(found)
 
-    The newest batch per user is a window over that user's deltas (a user's
-    deltas are at most one list per batch until compaction); a ``user_id``
-    filter is pushed to the scan, so a request reads one user's rows.
-    """
-    from pyspark.sql import Window
-    d = spark.read.parquet(os.path.join(root, "recs"))
-    if user_id is not None:
-        d = d.where(F.col("userId") == user_id)
+
+def _deltas(spark: SparkSession, root: str, folders: list[tuple[int, int]]) -> DataFrame:
+    """Rows of delta folders under one schema, whatever each of them holds."""
+    return (spark.read.schema(STORED + ", run int, batch_id int").option("basePath", f"{root}/recs")
+            .parquet(*[f"{root}/recs/run={r}/batch_id={b}" for r, b in folders]))
+
+
+def _mark(found: dict | None) -> tuple[int, int] | None:
+    return tuple(found["notes"]["mark"]) if found else None
+
+
+def _newest(deltas: DataFrame) -> DataFrame:
     batch = F.struct("run", "batch_id")
-    last = F.max(batch).over(Window.partitionBy("userId"))
-    cols = [c for c in d.columns if c not in ("run", "batch_id")]
-    return (d.withColumn("_last", last).where(batch == F.col("_last"))
-             .where(F.col("rank").isNotNull()).select(*cols))
+    return (deltas.withColumn("_last", F.max(batch).over(Window.partitionBy("userId")))
+            .where(batch == F.col("_last")).drop("_last", "run", "batch_id"))
+
+
+def read_stream_recs(spark: SparkSession, root: str, user_id: int | None = None, details: bool = False) -> DataFrame:
+    """Current StreamRecs (userId, rank, productId, score): the folded lists, and
+    in their place those of users with newer deltas (the newest one's; a
+    tombstone drops).  With ``user_id`` that user's bucket is read, and the filter
+    is pushed to the deltas' scan.  ``details`` gives the columns of STORED."""
+    base = f"{root}/base"
+    found = versions.manifest(spark, base)
+    folders = _batches(spark, f"{root}/recs", _mark(found))
+    now = versions.read(spark, base, user_id) if found else spark.createDataFrame([], STORED)
+    if folders:
+        deltas = _deltas(spark, root, folders)
+        new = _newest(deltas if user_id is None else deltas.where(F.col("userId") == user_id))
+        now = now.join(new.select("userId").distinct(), "userId", "left_anti").select(*COLUMNS).unionByName(
+            new.where(F.col("rank").isNotNull()))
+    return now if details else now.select("userId", "rank", "productId", F.col("recScore").alias("score"))
+
+
+def compact_stream_recs(spark: SparkSession, root: str, n_buckets: int = versions.N_BUCKETS) -> dict | None:
+    """Fold the deltas into the versioned table: only buckets of users with new
+    lists are written, and table and mark switch together.  Deltas folded by the
+    compaction before go; those folded now stay for readers that hold them."""
+    base = f"{root}/base"
+    found = versions.manifest(spark, base)
+    before = _mark(found)
+    folders = _batches(spark, f"{root}/recs", before)
+    if not folders:
+        return found
+    new = _newest(_deltas(spark, root, folders)).select(*COLUMNS)
+    notes = {"mark": list(folders[-1])}
+    if found is None:
+        found = versions.create(new.where(F.col("rank").isNotNull()), base, "userId", n_buckets, notes)
+    else:
+        checkpoint_dir(spark)
+        new = new.checkpoint()
+        found = versions.update(spark, base, new, lambda old, new: replace_by_key(
+            old, new.where(F.col("rank").isNotNull()), "userId", keys=new), notes)
+    for r, b in _batches(spark, f"{root}/recs"):
+        if before is not None and (r, b) <= before:
+            versions.delete(spark, f"{root}/recs/run={r}/batch_id={b}")
+    return found

@@ -15,7 +15,6 @@ from recspark.operators import similarity as SIM
 from recspark.operators import users as U
 from recspark.plans import jobs as J
 from recspark.sources import files as IO
-from recspark.streaming import online as STR
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 RATING = "userId int, productId int, score double, ts bigint"
@@ -110,22 +109,3 @@ def test_ratings_and_users_reach_the_warehouse(spark):
     J.users_job(spark, wh, spark.createDataFrame([("abc", 1)], "username string, timestamp bigint"))
     J.users_job(spark, wh, preferences=spark.createDataFrame([(96354, False, ["x"])], "userId int, first boolean, prefGenres array<string>"))
     assert [tuple(r) for r in J.read(spark, wh, "User").collect()] == [(96354, "abc", False, 1, ["x"])]
-
-
-def test_seed_survives_streams_and_history_is_excluded(spark):
-    d = tempfile.mkdtemp(prefix="recspark-run-")
-    sims = spark.createDataFrame([(1, 2, 0.9), (1, 3, 0.8), (2, 1, 0.9), (3, 1, 0.8)], "productId int, simProductId int, sim double")
-    root = f"{d}/recs-root"
-    seed = spark.createDataFrame([(7, 1, 2, 1.0)], "userId int, rank int, productId int, score double")
-    seed.write.parquet(f"{root}/recs/run=0/batch_id=0")
-    history = spark.createDataFrame([(8, 2)], "userId int, productId int")
-    batch = spark.createDataFrame([(8, 1, 5.0, 10)], RATING)
-    run = STR.stream_run(spark, f"{d}/ck1", root)
-    assert run == 1 == STR.stream_run(spark, f"{d}/ck1", root)
-    STR.StreamRecsWriter(root, sims, min_sim=0.1, history=history, run=run)(batch, 0)
-    got = STR.read_stream_recs(spark, root)
-    assert rows(got.select("userId", "productId")) == [(7, 2), (8, 3)]  # 2 is rated already
-    again = STR.stream_run(spark, f"{d}/ck2", root)
-    assert again == 2
-    STR.StreamRecsWriter(root, sims, min_sim=0.1, run=again)(batch, 0)
-    assert rows(STR.read_stream_recs(spark, root).where("userId = 8").select("productId")) == [(2,), (3,)]

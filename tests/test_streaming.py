@@ -27,8 +27,8 @@ def test_recent_queue_survives_restart(spark):
 
     def run():
         lines = STR.rating_stream_source(spark, fmt="text", path=f"{src}/*", maxFilesPerTrigger=1)
-        q = STR.start(STR.stream_recent_state(STR.stream_rating_parse(lines), queue_size=10),
-                      "parquet", out, ck, trigger={"availableNow": True})
+        q = STR.start(STR.stream_recent_state(STR.stream_rating_parse(lines), queue_size=10), None, None, ck,
+                      {"availableNow": True}, "update", STR.RecentQueues(out))
         q.awaitTermination()
 
     run()
@@ -37,6 +37,7 @@ def test_recent_queue_survives_restart(spark):
     _write_lines(spark, f"{src}/d", data[3::4])
     run()
     run()  # nothing new: no duplicate output, same state
-    got = STR.latest_queue(spark.read.parquet(out), read_n=10)
+    got = STR.read_recent_queues(spark, out, 10)
     exp = R.recent_ratings(spark.createDataFrame(data, SCHEMA), n=10, queue_size=10)
     assert rows(got) == rows(exp)
+    assert rows(STR.read_recent_queues(spark, out, 10, user_id=3)) == [r for r in rows(exp) if r[0] == 3]
