@@ -1,21 +1,26 @@
 """Quality rules combined by weak supervision.
 
 Rules look at cheap features of a text and vote good (1), bad (0) or abstain.
-Instead of asking that all rules pass, a generative model weighs them: each
-rule has an unknown accuracy among its votes (and votes independently given
-the class), and expectation-maximisation finds the accuracies and the share of
-good documents that best explain the votes and abstentions of the whole corpus.  A document
-is kept if its posterior probability of being good reaches ``KEEP``.
+They are deliberately touchy (a rule alone is often wrong on clean documents) and
+overlap, so that most junk draws several bad votes.  Instead of asking that all
+rules pass, a generative model weighs them: each rule votes bad with one unknown
+probability on bad documents and with another on good ones, independently given
+the class, and expectation-maximisation finds these and the share of good
+documents that best explain the votes of the whole corpus.  An abstention is a
+missing vote and says nothing.  A document is kept if its posterior probability
+of being good reaches ``KEEP``; a bad vote of a rule that the corpus shows to be
+unreliable is outweighed by the others.
 
 Spark computes the votes of every text and counts each combination of votes;
 there are at most 3 ** rules combinations, whatever the corpus, so EM runs on
-these counts and the posteriors go back as a table of that size.
+these counts (as it would on the documents one by one) and the posteriors go
+back as a table of that size.
 
 Features (words are runs of non-blank characters): n_words, word_chars,
 n_symbols (of ``SYMBOLS``), n_dup_lines (lines with a word that equal an
 earlier line), n_repeat_words (words in three-word windows that occur twice or
 more), n_caps (words of two letters or more in capitals), n_bars (words
-without a letter or digit).
+without a letter or digit), n_odd (ASCII capitals, digits and punctuation).
 
 The base rule stays a hard one: fewer than 50 words, or more than half of the
 words in repeated windows, fails at once; such rows vote too, so that the
@@ -28,6 +33,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import string
 from collections import Counter
 
 import numpy as np
@@ -38,14 +44,16 @@ from pyspark.sql import functions as F
 from recspark.llm.common import cut, small_batches, texts
 
 SYMBOLS = "#*$%&|<>"
-KEEP = 0.7
-ROUNDS = 100
-FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_caps", "n_bars", "n_lines")
+KEEP = 0.5
+ROUNDS = 500
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_caps", "n_bars", "n_lines", "n_odd")
+_ODD = (string.ascii_uppercase + string.digits + string.punctuation).encode()
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
 def features(text: str) -> tuple[int, ...]:
-    words = text.encode("utf-8", "replace").split()
+    raw = text.encode("utf-8", "replace")
+    words = raw.split()
     n = len(words)
     dup = lines = 0
     if "\n" in text:
@@ -68,7 +76,8 @@ def features(text: str) -> tuple[int, ...]:
                 end = i + 3
     caps = sum(w.isupper() and len(w) > 1 for w in words)
     bars = sum(len(w) == 1 and not w.isalnum() and w < b"\x80" for w in words)
-    return (n, len(text) - sum(map(text.count, _BLANKS)), sum(map(text.count, SYMBOLS)), dup, repeat, caps, bars, lines)
+    return (n, len(text) - sum(map(text.count, _BLANKS)), sum(map(text.count, SYMBOLS)), dup, repeat, caps, bars, lines,
+            len(raw) - len(raw.translate(None, _ODD)))
 
 
 def _features(batches):
@@ -86,49 +95,39 @@ def rules() -> dict[str, F.Column]:
     """Name -> vote (null: abstains).  Integer arithmetic throughout."""
     n, c = F.col("n_words"), F.col
     return {
-        "length": _vote(n < 50, n >= 100),
-        "word_length": _vote((c("word_chars") < 3 * n) | (c("word_chars") > 10 * n), (n >= 20) & (c("word_chars") <= 8 * n)),
-        "symbols": _vote(10 * c("n_symbols") > 3 * n, (n >= 20) & (50 * c("n_symbols") < n)),
+        "length": _vote(n < 100, n >= 200),
+        "word_length": _vote((10 * c("word_chars") < 46 * n) | (10 * c("word_chars") > 56 * n),
+                             (n >= 20) & (10 * c("word_chars") >= 47 * n) & (10 * c("word_chars") <= 55 * n)),
+        "symbols": _vote(10 * c("n_symbols") > n, (n >= 20) & (50 * c("n_symbols") < n)),
         "dup_lines": _vote(2 * c("n_dup_lines") > c("n_lines"), (c("n_lines") >= 2) & (c("n_dup_lines") == 0)),
         "repeats": _vote(10 * c("n_repeat_words") > 3 * n, (n >= 20) & (20 * c("n_repeat_words") < n)),
-        "capitals": _vote(10 * c("n_caps") > 3 * n, (n >= 20) & (20 * c("n_caps") < n)),
-        "bars": _vote(10 * c("n_bars") > n, (n >= 20) & (50 * c("n_bars") < n)),
+        "capitals": _vote(10 * c("n_caps") > n, (n >= 20) & (50 * c("n_caps") < n)),
+        "bars": _vote(50 * c("n_bars") > n, (n >= 20) & (200 * c("n_bars") < n)),
+        "odd": _vote(100 * c("n_odd") > 12 * c("word_chars"), (n >= 20) & (100 * c("n_odd") <= 8 * c("word_chars"))),
     }
 
 
-# prior of P(bad vote | bad document) and P(bad vote | good document): junk is
-# mostly of one kind, so it passes most rules; the other votes follow the
-# rule's own shares in the corpus.  The prior weighs PRIOR_WEIGHT corpora.
-PRIOR = (0.15, 0.001)
-GOOD = 0.85         # prior share of good documents
-PRIOR_WEIGHT = 1.0
-MOST_FALSE = 0.01   # bad votes of a rule on good documents: rules are taken to be this precise
+# weak priors, in votes and documents: they only say which class is which
+PRIOR_VOTES = ((2.0, 2.0), (0.4, 3.6))  # bad and good votes of each rule on bad documents, on good ones
+PRIOR_DOCS = (2.0, 2.0)                 # bad and good documents
 
 
 def em(votes: np.ndarray, count: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, float]:
     """Posterior of each vote combination (rows: 0 bad, 1 good, 2 abstain),
-    P(vote | class) as [class, rule, vote] and the share of good documents.
-
-    Votes and abstentions are independent given the class.  The prior says
-    which class is which and that a bad vote on a good document is rare; it
-    weighs as much as ``PRIOR_WEIGHT`` of the corpus, at any size.
-    """
-    n_rules, total = votes.shape[1], count.sum()
-    cast = votes[:, :, None] == np.arange(3)                    # [combination, rule, vote]
-    other = np.einsum("c,crv->rv", count, cast)[:, 1:] + 1
-    other = other / other.sum(1, keepdims=True)
-    prior = np.stack([np.concatenate([np.full((n_rules, 1), q), (1 - q) * other], axis=1) for q in PRIOR])
-    rate = prior
-    share, p, weight = GOOD, np.full(len(votes), GOOD), PRIOR_WEIGHT * total + 1
+    P(bad vote | class, vote cast) as [class, rule] and the share of good
+    documents; starts from the share of good votes of each combination."""
+    bad, good = (votes == 0).astype(float), (votes == 1).astype(float)
+    p = (good.sum(1) + 1) / (good.sum(1) + bad.sum(1) + 2)
+    rate, share = np.zeros((2, votes.shape[1])), 0.5
     for _ in range(rounds):
-        log = [(cast * np.log(rate[k])).sum((1, 2)) for k in (0, 1)]
+        share = float((count @ p + PRIOR_DOCS[1]) / (count.sum() + sum(PRIOR_DOCS)))
+        rate = np.stack([(w @ bad + b) / (w @ (bad + good) + b + g)
+                         for w, (b, g) in zip((count * (1 - p), count * p), PRIOR_VOTES)])
+        log = [bad @ np.log(r) + good @ np.log(1 - r) for r in rate]
         odds = log[1] - log[0] + np.log(share / (1 - share))
-        p = 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
-        share = float((count @ p + weight * GOOD) / (total + weight))
-        rate = np.stack([(np.einsum("c,crv->rv", count * w, cast) + weight * prior[k])
-                         / ((count * w).sum() + weight) for k, w in ((0, 1 - p), (1, p))])
-        false = np.minimum(rate[1, :, :1], MOST_FALSE)
-        rate[1] = np.concatenate([false, rate[1, :, 1:] * (1 - false) / (1 - rate[1, :, :1])], axis=1)
+        old, p = p, 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
+        if np.abs(p - old).max() < 1e-9:
+            break
     return p, rate, share
 
 

@@ -117,6 +117,65 @@ def test_quality_base_and_verdict(spark, odd, none):
     assert kept == set(range(300))
 
 
+def planted_votes(n, seed, rates=(0.9, 0.85, 0.8, 0.75, 0.7, 0.65, 0.6)):
+    """Classes of n documents and votes of rules of these accuracies, a fifth abstained."""
+    rng = np.random.default_rng(seed)
+    good = rng.random(n) < 0.6
+    right = rng.random((n, len(rates))) < np.array(rates)
+    votes = np.where(right, good[:, None], ~good[:, None]).astype(int)
+    votes[rng.random(votes.shape) < 0.2] = 2
+    return good, votes, np.array(rates)
+
+
+def test_em_finds_planted_accuracies():
+    good, votes, rates = planted_votes(50_000, 1)
+    kinds, which, count = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    p, rate, share = quality.em(kinds, count.astype(float))
+    assert abs(rate[1] - (1 - rates)).max() < 0.05 and abs(rate[0] - rates).max() < 0.05 and abs(share - 0.6) < 0.05
+    score = (votes == 1).sum(1) - (votes == 0).sum(1)
+    assert ((p[which] >= 0.5) == good).mean() >= ((score >= 0) == good).mean()
+
+
+def test_em_over_combinations_equals_em_over_documents():
+    """Document by document, with plain loops, as many rounds."""
+    _, votes, _ = planted_votes(300, 2, (0.9, 0.8, 0.7))
+    votes = votes.tolist()
+    p = [(v.count(1) + 1) / (v.count(1) + v.count(0) + 2) for v in votes]
+    for _ in range(5):
+        share = (sum(p) + quality.PRIOR_DOCS[1]) / (len(p) + sum(quality.PRIOR_DOCS))
+        rate = []
+        for k, (b, g) in enumerate(quality.PRIOR_VOTES):
+            row = []
+            for r in range(3):
+                cast = [(x if k else 1 - x, v[r]) for x, v in zip(p, votes) if v[r] != 2]
+                row.append((sum(w for w, v in cast if v == 0) + b) / (sum(w for w, _ in cast) + b + g))
+            rate.append(row)
+        new = []
+        for v in votes:
+            like = [1 - share, share]
+            for k in (0, 1):
+                for r in range(3):
+                    like[k] *= 1 if v[r] == 2 else rate[k][r] if v[r] == 0 else 1 - rate[k][r]
+            new.append(like[1] / sum(like))
+        p = new
+    kinds, which, count = np.unique(np.array(votes), axis=0, return_inverse=True, return_counts=True)
+    got, *_ = quality.em(kinds, count.astype(float), rounds=5)
+    assert np.abs(got[which] - np.array(p)).max() < 1e-9
+
+
+def test_verdict_beats_all_must_pass(spark):
+    """On labelled documents, those that the base rule passes."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    named = F.concat(*[F.coalesce(v.cast("string"), F.lit("-")) for v in quality.rules().values()])
+    rows = (quality.quality(docs).withColumn("votes", named).where("not base_failed")
+            .join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id")
+            .select("kept", "votes", "quality").collect())
+    right = sum(r.kept == bool(r.quality) for r in rows) / len(rows)
+    strict = sum(("0" not in r.votes) == bool(r.quality) for r in rows) / len(rows)
+    assert right > 0.99 > 0.95 > strict
+
+
 def test_licenses(spark, odd, none):
     rows = {r.doc_id: r for r in licenses.license_scan(odd).collect()}
     r = rows[4]
