@@ -1,18 +1,22 @@
 """License scan: exact set-similarity join of text blocks with templates.
 
-Blocks are the lines of a text, templates are license sentences.  A block
-matches a template T when it holds at least ``PERCENT`` of T's distinct words
+Templates are license sentences.  The blocks of a text for a template T are its
+windows of ``|T| / 0.8`` consecutive words (rounded up; the whole text, if it is
+shorter), one at every word and across line breaks, so that a sentence is found
+however it is wrapped, and words scattered over a page are not a sentence.  A
+block matches when it holds at least ``PERCENT`` of T's distinct words
 (containment).  The join is exact and filtered:
 
-* Global frequency order: one pass counts, over all blocks of the corpus, how
-  many hold each template word; a template's words are sorted from rare to
-  frequent.  (The vocabulary counted is that of the templates, so these counts
-  are bounded.)
-* Prefix filter: a match misses at most ``|T| - need`` words, so it holds one
-  of T's ``|T| - need + 1`` rarest words; an index from those words to
-  templates yields the candidates of a block.
-* Length filter: a block with fewer than ``need`` distinct words is out.
-* Positional filter: reading T's words in order, a candidate is given up as
+* Global frequency order: one pass counts how many texts of the corpus hold each
+  template word; a template's words are sorted from rare to frequent.  (The
+  vocabulary counted is that of the templates, so these counts are bounded.)
+* Prefix filter: a match misses at most ``size - need`` words, so it holds one
+  of T's ``size - need + 1`` rarest words; an index from those words to
+  templates yields the candidates of a text, and only windows around a prefix
+  word are looked at.
+* Length filter: a text with fewer than ``need`` distinct words is out, and so is
+  a stretch around a prefix word with fewer than ``need`` of T's words.
+* Positional filter: T's words are read in order of rarity; a text is given up as
   soon as the words that are left can't reach ``need``.
 
 Base labels: phrases whose words stand consecutively anywhere in a text (line
@@ -26,6 +30,8 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,12 +61,12 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
                for c in range(256))
 
 
-def _block_words(block: bytes) -> list[bytes]:
-    return block.translate(_TABLE).split()
+def _words(text: bytes) -> list[bytes]:
+    return text.translate(_TABLE).split()
 
 
 def word_frequencies(docs: DataFrame, templates: dict[str, str]) -> dict[bytes, int]:
-    """Blocks of the corpus that hold each template word."""
+    """Texts of the corpus that hold each template word."""
     vocabulary = sorted({w for t in templates for w in t.encode().split()})
     at = {w: i for i, w in enumerate(vocabulary)}
     known = set(vocabulary)
@@ -69,15 +75,19 @@ def word_frequencies(docs: DataFrame, templates: dict[str, str]) -> dict[bytes,
         count = np.zeros(len(vocabulary), np.int64)
         for b in small_batches(batches):
             for t in texts(b):
-                for block in t.encode("utf-8", "replace").split(b"\n"):
-                    for w in known.intersection(_block_words(block)):
-                        count[at[w]] += 1
+                for w in known.intersection(_words(t.encode("utf-8", "replace"))):
+                    count[at[w]] += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(count))), pa.array(count)], names=["w", "n"])
 
     rows = docs.select("text").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()
     return {w: 0 for w in vocabulary} | {vocabulary[r["w"]]: r["n"] for r in rows}
 
 
+def window(template: str, percent: int = PERCENT) -> int:
+    """Words of a block for a template."""
+    return -(-100 * len(template.split()) // percent)
+
+
 class Index:
     """Templates by the words of their prefixes."""
 
@@ -86,35 +96,70 @@ class Index:
         for t, label in templates.items():
             words = sorted(set(t.encode().split()), key=lambda w: (frequency[w], w))
             need = -(-percent * len(words) // 100)
-            self.rows.append((words, need, label))
-            for w in words[:len(words) - need + 1]:
+            prefix = words[:len(words) - need + 1]
+            self.rows.append((words, frozenset(prefix), need, window(t, percent), label))
+            for w in prefix:
                 self.by_word.setdefault(w, []).append(len(self.rows) - 1)
         self.prefixes = set(self.by_word)
-        self.shortest = min(need for _, need, _ in self.rows)
+        self.shortest = min(need for _, _, need, _, _ in self.rows)
 
-    def match(self, words: set[bytes]) -> list[tuple[str, int, int]]:
-        """(label, words held, words of the template) of each match."""
-        out = []
-        if len(words) < self.shortest:
+    def match(self, words: list[bytes]) -> list[tuple[str, int, int]]:
+        """(label, most words held by a block, words of the template) of each
+        template that a text matches."""
+        out, held = [], set(words)
+        if len(held) < self.shortest:
             return out
-        for i in {i for w in self.prefixes.intersection(words) for i in self.by_word[w]}:
-            template, need, label = self.rows[i]
-            if len(words) < need:
-                continue
-            held = 0
+        for i in {i for w in self.prefixes.intersection(held) for i in self.by_word[w]}:
+            template, prefix, need, size, label = self.rows[i]
+            some = 0
             for at, w in enumerate(template):
-                held += w in words
-                if held + len(template) - at - 1 < need:
+                some += w in held
+                if some + len(template) - at - 1 < need:
                     break
             else:
-                out.append((label, held, len(template)))
+                own = frozenset(template)
+                hits = [(at, w) for at, w in enumerate(words) if w in own]
+                best = max((_densest(x, size) for x in _stretches(hits, prefix, size) if len(x) >= need), default=0)
+                if best >= need:
+                    out.append((label, best, len(template)))
         return out
 
 
+def _stretches(hits: list[tuple[int, bytes]], prefix: frozenset, size: int):
+    """The runs of a template's words within a window of a prefix word."""
+    near, run, end = [at for at, w in hits if w in prefix], [], -1
+    k = 0
+    for at, w in hits:
+        while k < len(near) and near[k] <= at - size:
+            k += 1
+        if k < len(near) and near[k] < at + size:
+            if run and at >= run[-1][0] + size:  # no window holds both
+                yield run
+                run = []
+            run.append((at, w))
+    if run:
+        yield run
+
+
+def _densest(hits: list[tuple[int, bytes]], size: int) -> int:
+    """The most distinct words that a window of ``size`` places holds."""
+    held, lo, best = Counter(), 0, 0
+    for at, w in hits:
+        held[w] += 1
+        while hits[lo][0] <= at - size:
+            old = hits[lo][1]
+            held[old] -= 1
+            if not held[old]:
+                del held[old]
+            lo += 1
+        best = max(best, len(held))
+    return best
+
+
 def scan(text: str, index: Index) -> tuple:
     """Words, base places with their first and last word, labels and score."""
     raw = text.encode("utf-8", "replace")
-    words = _block_words(raw)
+    words = _words(raw)
     joined = b" " + b" ".join(words) + b" "
     places, base = [], set()
     for phrase, label in PHRASES.items():
@@ -125,10 +170,9 @@ def scan(text: str, index: Index) -> tuple:
             base.add(label)
             at = joined.find(p, at + 1)
     labels, score = set(base), 0.0
-    for block in raw.split(b"\n"):
-        for label, held, size in index.match(set(_block_words(block))):
-            labels.add(label)
-            score = max(score, held / size)
+    for label, held, size in index.match(words):
+        labels.add(label)
+        score = max(score, held / size)
     return (len(words), len(places), min(places, default=None), max(places, default=None),
             ",".join(sorted(base)), ",".join(sorted(labels)), 1.0 if base else score)
 
@@ -152,20 +196,21 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent
 
 
 def sql(templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> str:
-    """The same by plain containment over all blocks and templates."""
-    t = ", ".join(f"('{k}', '{v}')" for k, v in templates.items())
+    """The same by plain containment over all windows and templates."""
+    t = ", ".join(f"('{k}', '{v}', {window(k, percent)})" for k, v in templates.items())
     p = ", ".join(f"('{k}', '{v}')" for k, v in PHRASES.items())
     words = (r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
              r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {words.format("coalesce(text, '')")} AS w FROM documents),
-t(s, label) AS (VALUES {t}), p(s, label) AS (VALUES {p}),
-tw AS (SELECT list_distinct(string_split(s, ' ')) AS tw, label FROM t),
-b AS (SELECT doc_id, list_distinct({words.format("line")}) AS bw
-      FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
-m AS (SELECT doc_id, label, len(list_intersect(bw, tw)) AS held, len(tw) AS size FROM b, tw),
-mm AS (SELECT doc_id, label, held / size AS score FROM m WHERE 100 * held >= {percent} * size),
+t(s, label, size) AS (VALUES {t}), p(s, label) AS (VALUES {p}),
+tw AS (SELECT list_distinct(string_split(s, ' ')) AS tw, label, size AS block, s FROM t),
 i AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d),
+x AS (SELECT s, unnest(tw) AS word, label, block, len(tw) AS size FROM tw),
+m AS (SELECT doc_id, label, size, count(DISTINCT word) OVER (
+        PARTITION BY doc_id, s ORDER BY i.i RANGE BETWEEN CURRENT ROW AND (block - 1) FOLLOWING) AS held
+      FROM i JOIN x ON x.word = i.w[i.i + 1]),
+mm AS (SELECT doc_id, label, held / size AS score FROM m WHERE 100 * held >= {percent} * size),
 h AS (SELECT i.doc_id, i.i, p.label FROM i JOIN p ON array_to_string(w[i.i + 1:i.i + len(string_split(p.s, ' '))], ' ') = p.s),
 hb AS (SELECT doc_id, count(*) AS n, min(i) AS f, max(i) AS l, string_agg(DISTINCT label, ',' ORDER BY label) AS bl FROM h GROUP BY 1),
 a AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS al FROM

@@ -191,18 +191,31 @@ def test_licenses(spark, odd, none):
             del w[rnd.randrange(len(w))]
             rnd.shuffle(w)
             blocks.append(" ".join(w[rnd.randint(0, 2):]))
+    blocks += [" ".join([*b.split(), *["x"] * rnd.randint(0, 9), *c.split()]) for b, c in zip(blocks, blocks[1:])]
     df = spark.createDataFrame([(i, b) for i, b in enumerate(blocks)], "doc_id long, text string")
     for r in licenses.license_scan(df).collect():
-        held, best = set(r.base_labels.split(",")) - {""}, 0.0
+        held, best, words = set(r.base_labels.split(",")) - {""}, 0.0, blocks[r.doc_id].split()
         for t, label in licenses.TEMPLATES.items():
-            t = set(t.split())
-            n = len(t & set(blocks[r.doc_id].split()))
+            size, t = -(-5 * len(t.split()) // 4), set(t.split())
+            n = max(len(t & set(words[i:i + size])) for i in range(max(1, len(words))))
             if 100 * n >= 80 * len(t):
                 held.add(label)
                 best = max(best, n / len(t))
         assert set(r.labels.split(",")) - {""} == held and (r.n_base or abs(r.score - best) < 1e-12)
 
 
+def test_licenses_across_line_breaks(spark):
+    texts = {
+        "bsd": "Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided",
+        "gpl-3": "// This program is free software: you can\n// redistribute it and/or\n// modify it under",
+        "mit": "Permission is hereby\ngranted, free of charge,\nto any person obtaining\na copy of this\nsoftware and",
+        "": "all " + "word " * 200 + "rights " + "word " * 200 + "reserved",
+    }
+    df = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.license_scan(df).collect()}
+    assert [got[i][0] for i in range(4)] == list(texts) and got[3][1] == 0 and got[0][1] == 1
+
+
 def test_packing(spark, odd, none):
     got = packing.pack(odd).collect()
     by_doc, by_seq = defaultdict(list), defaultdict(list)
