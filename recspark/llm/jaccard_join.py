@@ -22,7 +22,8 @@ with d <= 0.2 are linked.
    result).  After ``ROUNDS`` pivots what is left is joined on the region,
    without pairs with |d(x, p) - d(y, p)| > 0.2 for one of its pivots p, which
    the triangle inequality rules out, and without pairs whose folded sketches
-   differ too much (see 5).  Every link between different components is
+   differ too much (see 5); a pair that meets in many regions is taken in the
+   first.  Every link between different components is
    therefore found.
 5. A candidate pair is dropped if its parity sketches differ in more bits
    than the symmetric difference of linked sets can have (a lower bound of it,
@@ -59,6 +60,7 @@ ROUNDS = 1
 LEVELS = 1 << 20
 HOT = 8             # classes in a region from which on its shingle counts as frequent
 SAMPLED = 4         # of a class's first regions, the share (1 in ..) that the rarity count looks at
+HEADS = 8           # regions by which a pair's first common one is known
 BITS = 2048         # of a parity sketch
 FOLD = 8            # 64-bit words of its folded form
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -191,6 +193,14 @@ def _near(a: str, b: str):
     return (100 + PERCENT) * bits <= (100 - PERCENT) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
 
+def _heads(large: DataFrame) -> DataFrame:
+    """Each class's first ``HEADS`` regions of those left.  If two classes share
+    one of these, their first common region is among them: the pair is taken
+    there, where its windows are tightest, and needn't be taken again."""
+    first = F.slice(F.array_sort(F.collect_list(F.struct("pos", "s"))), 1, HEADS)
+    return large.groupBy("cid").agg(F.transform(first, lambda p: p["s"]).alias("heads"))
+
+
 def _measure(members: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, inter, uni) of the candidate pairs whose sketches differ in no
     more bits than linked sets can; exact, on whole texts."""
@@ -262,13 +272,16 @@ def jaccard_components(documents: DataFrame, row: str | None = None) -> DataFram
                     .where(_fits("x", "p")).select(*_pair("x", "p")))
             pairs = star if pairs is None else pairs.union(star)
         else:
-            folded = large.join(members.select("cid", *_folded()), "cid")
+            folded = large.join(members.select("cid", *_folded()), "cid").join(_heads(large), "cid")
             x, y = folded.alias("x"), folded.alias("y")
+            # a pair meets in many regions: it is taken in the first one, where that is known
+            both = F.array_intersect("x.heads", "y.heads")
+            once = (F.size(both) == 0) | (F.get(both, 0) == F.col("x.s"))
             window = F.lit(True)
             for t in range(1, turn + 1):
                 gap = F.abs(F.col(f"x.d{t}") - F.col(f"y.d{t}"))
                 window &= F.coalesce(gap <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
-            pairs = (x.join(y, "s").where("x.cid < y.cid and x.root <> y.root").where(_fits("x", "y") & window & _near("x", "y"))
+            pairs = (x.join(y, "s").where("x.cid < y.cid and x.root <> y.root").where(_fits("x", "y") & window & _near("x", "y") & once)
                      .select(*_pair("x", "y")))
         pairs = pairs.distinct()
         if seen is not None:
