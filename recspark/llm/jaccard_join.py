@@ -57,6 +57,7 @@ WORDS = 5
 PERCENT = 80
 SMALL = 8
 ROUNDS = 1
+CROWD, SPREAD = 64, 6  # classes in a region from which on its group of copies draws so many pivots a round
 LEVELS = 1 << 20
 HOT = 8             # classes in a region from which on its shingle counts as frequent
 SAMPLED = 4         # of a class's first regions, the share (1 in ..) that the rarity count looks at
@@ -139,10 +140,17 @@ def _prefixes(levels, counts_only: bool):
     return run
 
 
+def _distinct_sets(b: pa.RecordBatch, column: str) -> list[np.ndarray]:
+    """Shingle sets of a column's texts; a pivot's text, in many pairs, is cut once."""
+    coded = b.column(b.schema.get_field_index(column)).dictionary_encode()
+    sets = shingle_sets(pa.RecordBatch.from_arrays([coded.dictionary], names=["text"]))
+    return [sets[i] for i in coded.indices.to_pylist()]
+
+
 def _verify(batches):
     """Sizes of intersection and union of the shingle sets of two texts."""
     for b in small_batches(small_batches(batches, "ta", 4 << 20), "tb", 4 << 20):
-        x, y = (shingle_sets(b.select([c]).rename_columns(["text"])) for c in ("ta", "tb"))
+        x, y = (_distinct_sets(b, c) for c in ("ta", "tb"))
         inter = [len(np.intersect1d(i, j, assume_unique=True)) for i, j in zip(x, y)]
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array(inter, pa.int64()),
@@ -264,7 +272,9 @@ def jaccard_components(documents: DataFrame, row: str | None = None) -> DataFram
                 break
             pairs = None
         if turn < ROUNDS:
-            order = F.struct(F.xxhash64("cid", F.lit(turn)), "cid", "n", "pos")
+            # a crowded group of copies draws several pivots in one round
+            drawn = F.when(F.col("size") > CROWD, F.pmod("s", F.lit(SPREAD))).otherwise(0)
+            order = F.struct(F.xxhash64("cid", F.lit(turn), drawn), "cid", "n", "pos")
             pivots = large.groupBy(F.col("s").alias("ps")).agg(F.min(order).alias("p")).select(
                 "ps", F.col("p.cid").alias("pcid"), F.struct(F.col("p.cid").alias("cid"), F.col("p.n").alias("n"), F.col("p.pos").alias("pos")).alias("p"))
             pivots = cut(pivots)

@@ -73,6 +73,7 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch, small, rounds):
     monkeypatch.setattr(jaccard_join, "SMALL", small)  # more recursion, same result
     monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
     monkeypatch.setattr(jaccard_join, "HOT", 3)
+    monkeypatch.setattr(jaccard_join, "CROWD", 4 * small)
     rows = corpus()
     sets = [shingles(r[1]) for r in rows]
     root = groups_by_brute_force(sets)
@@ -280,3 +281,20 @@ def test_pipeline_stages(spark):
     per_doc = {r.doc_id: r["n"] for r in pieces.groupBy("doc_id").agg(F.countDistinct("start").alias("n")).collect()}
     assert set(per_doc) == {r.doc_id for r in now.collect()} and before > len(per_doc)
     assert corpus_pipeline.run(spark, sf).count() == pieces.count()
+
+
+def test_one_large_group_of_near_copies(spark):
+    """Thousands of candidate pairs around the threshold in one region."""
+    rnd = random.Random(9)
+    base = words(rnd, 150, 5000)
+    texts = [" ".join(near(rnd, base, rnd.randint(0, 4))) for _ in range(400)]
+    find, join = union(len(texts))
+    sets = [shingles(t) for t in texts]
+    for i in range(len(sets)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                join(i, j)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(df).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
