@@ -1,29 +1,30 @@
 """Fuzzy line deduplication, one line kept per group of near-equal lines.
 
-DataFrame functions only:
-
 1. Texts are split at line feeds.  A line with a word takes part; blank lines
    stay where they are.
 2. A line's shingles are its ``CHARS``-character windows, one at every
-   character (found in one pass of a look-ahead pattern, so a line's cost
-   follows its length); a shorter line is one shingle.
-3. Signatures: ``BANDS`` x ``ROWS`` minima of their 32-bit hashes under different
-   xor masks (each mask gives another random order of the hashes); a band's
-   key is the hash of its minima.  At similarity 0.8 a pair shares a band with
-   probability 1 - (1 - 0.8 ** 2) ** 6 = 0.998.
-4. Links to the first line: every line of a band bucket is compared with the
-   bucket's first line; a distributed union-find joins what is linked.
-5. All other pairs: lines of a bucket that still holds several groups are
-   joined with each other exactly.  A pair at ``PERCENT`` shares a shingle among
-   the rarest ``100 - PERCENT`` percent of either line's (whatever the order), so
-   lines meet at those shingles, if their groups differ and their sizes allow
-   the similarity; a shingle of many lines is dealt over salts.  Nothing is
-   capped: a pair that shares a bucket is compared or is already in one group.
-   Exact Jaccard similarity of the shingle sets decides in both steps, and
-   equal lines are one line from the start.
+   character; a shorter line is one shingle.  All windows of a batch are hashed
+   together by doubling (1, 2, 4, 8, 12 characters).
+3. Signatures: ``BANDS`` x ``ROWS`` minima of the windows' hashes under different
+   affine orders; a band's key is the hash of its minima.  At similarity 0.8 a
+   pair shares a band with probability 1 - (1 - 0.8 ** 4) ** 9 = 0.991 (the test
+   measures it); four rows keep lines that merely share a passage apart.
+4. Links to a head: every line of a band bucket is compared with one line of it,
+   drawn by hash, so the bands of a group draw different heads; a distributed
+   union-find joins what is linked.  Buckets that still hold several groups do
+   this ``ROUNDS`` times with new heads.
+5. All other pairs: lines of a bucket that holds several groups even then are
+   compared with each other, if their groups differ; a crowded bucket is dealt
+   over salts.  Nothing is capped: a pair that shares a bucket is compared or is
+   already in one group.  Exact Jaccard similarity of the shingle sets decides
+   in both steps, and equal lines are one line from the start.
 6. Of each group the first occurrence in (doc_id, row, position) order stays,
    every other occurrence is taken out of its text.
 
+Signatures and comparisons run in numpy on Arrow batches: in DataFrame functions
+alone the windows and the sets of each pair cost several times the budget (the
+README has the figures).  Lines and windows are known by 64-bit hashes.
+
 Edge cases: null texts stay null; empty texts and texts without words stay as
 they are; a document that had words and has no line left is dropped by
 ``dedup_lines`` (``kept_lines`` 0 in ``line_groups``); a null doc_id comes
@@ -34,96 +35,144 @@ are carried along, whatever their names; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recspark.llm.common import cut, fresh, numbered, written
+from recspark.llm.common import cut, fresh, mix64, numbered, small_batches, texts, written
 from recspark.llm.components import components
 
 CHARS = 12
-BANDS = 6
-ROWS = 2
+BANDS = 9
+ROWS = 4
+ROUNDS = 2
 PERCENT = 80
-PIECE = 64           # characters from which windows are cut at a time
-LEVELS = 1 << 20     # of shingles, for their rarity
-SALT = 256           # lines of a shingle that one salt takes
-# a line in pieces that overlap by a window less one character, so that cutting
-# windows out of a piece costs the same anywhere in a line
-_PIECES = r"(?s)(?=(.{1,%d})).{1,%d}" % (PIECE + CHARS - 1, PIECE)
+SALT = 256           # lines of a bucket that one salt takes
+BATCH = 1 << 20      # bytes of text whose windows are hashed together
+SEEN = 1 << 19       # lines that a task remembers having signed
 _HAS_WORD = r"[^\x20\x09-\x0D]"
+_BLANKS = " \t\n\x0b\x0c\r"
+_P = np.uint64(0x9E3779B97F4A7C15)
+# affine orders of 32-bit hashes: odd factors and shifts
+_ORDERS = mix64(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * _P).astype(np.uint32).reshape(2, -1)
+
+
+def line_key(line: bytes) -> int:
+    """A line's key, as Spark's xxhash64 gives it."""
+    key = xxhash.xxh64_intdigest(line, seed=42)
+    return key - (1 << 64) if key >> 63 else key
+
+
+def window_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the windows of all lines, and where each line's begin;
+    a line shorter than a window has one, of the whole of it."""
+    size = np.array([len(x) for x in lines], np.int64)
+    code = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    code = np.concatenate([code, np.zeros(CHARS, np.uint64)])
+    spans, width, power = {1: code}, 1, _P
+    while 2 * width <= CHARS:
+        before = spans[width]
+        spans[2 * width] = before[:-width] + before[width:] * power
+        power, width = power * power, 2 * width
+    whole, left = spans[width], CHARS - width  # 8 and 4 characters more
+    whole = whole[:-left] + spans[left][width:][:len(whole) - left] * power if left else whole
+    at = np.cumsum(size) - size
+    n = np.maximum(size - CHARS + 1, 1)
+    begin = np.cumsum(n) - n
+    out = whole[np.repeat(at - begin, n) + np.arange(n.sum())]
+    short = np.flatnonzero(size < CHARS)
+    out[begin[short]] = [xxhash.xxh64_intdigest(lines[i].encode("utf-8", "surrogatepass"), seed=1) for i in short]
+    return mix64(out), begin
+
+
+def bands(lines: list[str]) -> np.ndarray:
+    """The keys of each line's bands."""
+    hashes, begin = window_hashes(lines)
+    low = (hashes >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((len(lines), BANDS), np.int64)
+    for band in range(BANDS):
+        key = np.full(len(lines), band + 1, np.uint64)
+        for i in range(band * ROWS, (band + 1) * ROWS):
+            least = np.minimum.reduceat(low * (_ORDERS[0, i] | np.uint32(1)) + _ORDERS[1, i], begin)
+            key = mix64((key ^ least) * _P)
+        out[:, band] = key.view(np.int64)
+    return out
+
+
+def _sign(batches):
+    """(key, band) of the lines with a word; a line that the task has signed
+    is left out, as long as it is remembered."""
+    seen: set[int] = set()
+    for b in small_batches(batches, limit=BATCH):
+        new = {}
+        for text in texts(b):
+            for line in text.split("\n"):
+                if line.strip(_BLANKS):
+                    key = line_key(line.encode("utf-8", "surrogatepass"))
+                    if key not in seen:
+                        new[key] = line
+        if len(seen) + len(new) > SEEN:
+            seen.clear()
+        seen.update(new)
+        if new:
+            found = bands(list(new.values()))
+            keys = np.fromiter(new, np.int64, len(new))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys, BANDS)), pa.array(found.ravel())], names=["key", "band"])
+
+
+def signatures(rows: DataFrame) -> DataFrame:
+    """(key, band) for every line of the texts; lines may occur repeatedly."""
+    return rows.select("text").mapInArrow(_sign, "key long, band long")
+
+
+def _compare(batches):
+    """The pairs whose lines are near-equal."""
+    for b in small_batches(small_batches(batches, "la", BATCH), "lb", BATCH):
+        sides = []
+        for c in ("la", "lb"):
+            coded = b.column(b.schema.get_field_index(c)).dictionary_encode()  # a head is in many pairs
+            hashes, begin = window_hashes(coded.dictionary.to_pylist())
+            sets = [np.unique(x) for x in np.split(hashes, begin[1:])]
+            sides.append([sets[i] for i in coded.indices.to_pylist()])
+        near = [(100 + PERCENT) * len(np.intersect1d(x, y, assume_unique=True)) >= PERCENT * (len(x) + len(y))
+                for x, y in zip(*sides)]
+        yield b.select(["a", "b"]).filter(pa.array(near))
 
 
-def _mask(i: int) -> int:
-    """The i-th xor mask, a well-mixed signed 32-bit integer."""
-    v = (i + 1) * 0x9E3779B1 & 0xFFFFFFFF
-    v = (v ^ v >> 15) * 0x85EBCA77 & 0xFFFFFFFF
-    v ^= v >> 13
-    return v - (1 << 32) if v >> 31 else v
-
-
-def _pieces(line) -> "F.Column":
-    """Pieces that hold each window of a line once; a line shorter than a
-    window is a piece of its own."""
-    return F.when(F.length(line) < CHARS, F.array(line)).otherwise(F.filter(
-        F.regexp_extract_all(line, F.lit(_PIECES), F.lit(1)), lambda p: F.length(p) >= CHARS))
-
-
-def _starts(piece) -> "F.Column":
-    return F.sequence(F.lit(1), F.greatest(F.length(piece) - (CHARS - 1), F.lit(1)))
+def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose lines are near-equal."""
+    both = (pairs.join(lines.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
+            .join(lines.select(F.col("key").alias("a"), F.col("line").alias("la")), "a"))
+    return both.select("a", "b", "la", "lb").mapInArrow(_compare, "a long, b long")
 
 
-def shingles(line) -> "F.Column":
-    """Distinct hashes of a line's windows."""
-    return F.array_distinct(F.flatten(F.transform(_pieces(line), lambda p: F.transform(
-        _starts(p), lambda i: F.xxhash64(F.substring(p, i, F.lit(CHARS)))))))
+def _rest_pairs(crowd: DataFrame) -> DataFrame:
+    """(a, b) of different groups that share a bucket, for (band, key, root)."""
+    salts = crowd.groupBy("band").agg(F.ceil(F.count("*") / SALT).cast("int").alias("salts"))
+    met = crowd.join(salts, "band")
+    left = met.select("band", F.pmod(F.hash("key"), F.col("salts")).alias("salt"), F.col("key").alias("a"), F.col("root").alias("ra"))
+    right = met.select("band", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                       F.col("key").alias("b"), F.col("root").alias("rb"))
+    return left.join(right, ["band", "salt"]).where("ra < rb").select("a", "b").distinct()
 
 
-def signatures(lines: DataFrame) -> DataFrame:
-    """key, band for (key, line): the windows are exploded and their minima
-    taken by one aggregation, so lines of one key share a signature.  A band's
-    number is part of its key."""
-    pieces = lines.select("key", F.explode(_pieces(F.col("line"))).alias("p"))
-    hashes = (pieces.select("key", "p", F.explode(_starts(F.col("p"))).alias("i"))
-              .select("key", F.hash(F.substring("p", F.col("i"), F.lit(CHARS))).alias("h")))
-    minima = hashes.groupBy("key").agg(
-        *[F.min(F.col("h").bitwiseXOR(F.lit(_mask(i)))).alias(f"m{i}") for i in range(BANDS * ROWS)])
-    bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    return minima.select("key", F.explode(F.array(*bands)).alias("band"))
+def _star(crowd: DataFrame, turn: int) -> DataFrame:
+    """(a, b): the lines of each bucket with its head of this round."""
+    head = F.min_by("key", F.xxhash64("key", "band", F.lit(turn))).over(W.partitionBy("band"))
+    return (crowd.withColumn("head", head).where("key <> head")
+            .select(F.col("key").alias("a"), F.col("head").alias("b")).distinct())
 
 
-def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose lines are near-equal.  The texts travel, not the
-    larger shingle sets."""
-    both = (pairs.join(lines.select(F.col("key").alias("b"), F.col("line").alias("lb")), "b")
-            .join(lines.select(F.col("key").alias("a"), F.col("line").alias("la")), "a"))
-    sets = F.array(F.struct(shingles(F.col("la")).alias("a"), shingles(F.col("lb")).alias("b")))  # made once a pair
-    near = F.transform(sets, lambda s: (100 + PERCENT) * F.size(F.array_intersect(s["a"], s["b"]))
-                       >= PERCENT * (F.size(s["a"]) + F.size(s["b"])))
-    return both.where(near[0]).select("a", "b")
-
-
-def _rest_pairs(rest: DataFrame) -> DataFrame:
-    """(a, b) of different groups that may be near-equal, for (key, root, line)."""
-    sets = rest.repartition("key").select("key", "root", shingles(F.col("line")).alias("set"))
-    tokens = sets.select("key", "root", F.size("set").alias("n"), F.explode("set").alias("s"))
-    level = F.pmod("s", F.lit(LEVELS)).cast("int")
-    held = tokens.groupBy(level.alias("level")).agg(F.count("*").alias("c"))
-    ranked = (tokens.withColumn("level", level).join(F.broadcast(held), "level")
-              .groupBy("key").agg(F.first("root").alias("root"), F.first("n").alias("n"),
-                                  F.sort_array(F.collect_list(F.struct("c", "s"))).alias("set")))
-    prefix = F.slice("set", F.lit(1), (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))
-    posts = written(ranked.select("key", "root", "n", F.explode(F.transform(prefix, lambda x: x["s"])).alias("s")),
-                    "line-prefixes")
-    mixed = (posts.groupBy("s").agg(F.count("*").alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .where("lo <> hi").select("s", F.ceil(F.col("c") / SALT).cast("int").alias("salts")))
-    met = posts.join(mixed, "s")
-    left = met.select("s", F.pmod(F.hash("key"), F.col("salts")).alias("salt"),
-                      F.col("key").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-    right = met.select("s", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                       F.col("key").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-    fits = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-    return left.join(right, ["s", "salt"]).where((F.col("ra") < F.col("rb")) & fits).select("a", "b").distinct()
+def _several(crowd: DataFrame, roots: DataFrame) -> DataFrame:
+    """(band, key, root): the lines of buckets that hold several groups."""
+    named = (crowd.select("band", "key").join(roots.withColumnRenamed("id", "key"), "key", "left")
+             .withColumn("root", F.coalesce("root", "key")))
+    bucket = W.partitionBy("band")
+    return written(named.withColumn("lo", F.min("root").over(bucket)).withColumn("hi", F.max("root").over(bucket))
+                   .where("lo <> hi").drop("lo", "hi"), "line-crowd")
 
 
 def _lines(rows: DataFrame, row: str) -> DataFrame:
@@ -137,27 +186,25 @@ def line_groups(rows: DataFrame, row: str = "_row") -> DataFrame:
     ``numbered`` rows (``row`` names their place): equal and near-equal lines share a group."""
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "pos").alias("place")
     seen = written(_lines(rows, row).select("doc_id", "_row", "pos", "key"), "line-places")
-    bands = written(signatures(_lines(rows, row).select("key", "line")), "line-bands")
-    heads = bands.groupBy("band").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1")
-    star = written(bands.join(heads, "band").where("key <> head")
-                   .select(F.col("key").alias("a"), F.col("head").alias("b")).distinct(), "line-pairs")
-    wanted = star.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    bucket = W.partitionBy("band")
+    crowd = written(signatures(rows).repartition("band").groupBy("band", "key").agg(F.lit(1).alias("one"))
+                    .withColumn("n", F.count("*").over(bucket)).where("n > 1").select("band", "key"), "line-bands")
+    wanted = crowd.select("key").distinct()
     lines = written(_lines(rows, row).select("key", "line").join(wanted, "key", "left_semi")
                     .groupBy("key").agg(F.first("line").alias("line")), "line-texts")
-    roots = cut(components(_links(star, lines))).withColumnRenamed("id", "key")
-    crowd = written(bands.join(heads.where("n > 2").select("band"), "band").join(roots, "key", "left")
-                    .select("band", "key", F.coalesce("root", "key").alias("root")), "line-crowd")
-    mixed = crowd.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    rest = crowd.join(mixed.select("band"), "band", "left_semi").select("key", "root").distinct()
-    rest = written(rest.join(lines, "key"), "line-rest")
-    more = _links(written(_rest_pairs(rest), "line-rest-pairs"), lines)
-    named = rest.select("key", "root")
-    merged = cut(components(more.join(named.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a")
-                            .join(named.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b")
-                            .select(F.col("ra").alias("a"), F.col("rb").alias("b"))))
+    links = roots = None
+    for turn in range(1 + ROUNDS):
+        found = cut(_links(_star(crowd, turn), lines))
+        links = found if links is None else links.union(found)
+        roots = cut(components(links))
+        crowd = _several(crowd, roots)
+        if crowd.isEmpty():
+            break
+    else:
+        roots = cut(components(links.union(cut(_links(written(_rest_pairs(crowd), "line-rest-pairs"), lines)))))
+    roots = roots.withColumnRenamed("id", "key")
     firsts = seen.groupBy("key").agg(F.min(place).alias("place"))
-    named = (firsts.join(roots, "key", "left").withColumn("id", F.coalesce("root", "key")).drop("root")
-             .join(merged, "id", "left").withColumn("group", F.coalesce("root", "id")))
+    named = firsts.join(roots, "key", "left").withColumn("group", F.coalesce("root", "key"))
     best = named.groupBy("group").agg(F.min("place").alias("best"))
     return (seen.join(named.select("key", "group"), "key").join(best, "group")
             .select("doc_id", "_row", "pos", "key", "group",

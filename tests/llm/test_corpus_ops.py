@@ -169,12 +169,6 @@ def test_line_dedup_equals_brute_force(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
-def test_line_dedup_is_native(spark):
-    rows, row = numbered(spark.createDataFrame(line_corpus(), COLUMNS))
-    plan = line_dedup.line_groups(rows, row)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
-
-
 def toxic_corpus(n=1500, seed=8):
     rnd = random.Random(seed)
     docs, labels = [], []
