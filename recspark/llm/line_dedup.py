@@ -14,8 +14,10 @@
    union-find joins what is linked.  Buckets that still hold several groups do
    this ``ROUNDS`` times with new heads.
 5. All other pairs: lines of a bucket that holds several groups even then are
-   compared with each other, if their groups differ; a crowded bucket is dealt
-   over salts.  Nothing is capped: a pair that shares a bucket is compared or is
+   compared with each other, if their groups differ, their sizes allow the
+   similarity, and their parity sketches differ in no more bits than near-equal
+   sets can (a lower bound of the difference, so no link is lost); a crowded
+   bucket is dealt over salts.  Nothing is capped: a pair that shares a bucket is compared or is
    already in one group.  Exact Jaccard similarity of the shingle sets decides
    in both steps, and equal lines are one line from the start.
 6. Of each group the first occurrence in (doc_id, row, position) order stays,
@@ -48,9 +50,10 @@ from recspark.llm.components import components
 CHARS = 12
 BANDS = 9
 ROWS = 4
-ROUNDS = 2
+ROUNDS = 1
 PERCENT = 80
 SALT = 256           # lines of a bucket that one salt takes
+SKETCH = 512         # bits of a line's parity sketch
 BATCH = 1 << 20      # bytes of text whose windows are hashed together
 SEEN = 1 << 19       # lines that a task remembers having signed
 _HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -149,14 +152,33 @@ def _links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return both.select("a", "b", "la", "lb").mapInArrow(_compare, "a long, b long")
 
 
-def _rest_pairs(crowd: DataFrame) -> DataFrame:
-    """(a, b) of different groups that share a bucket, for (band, key, root)."""
+def _sketch(batches):
+    """Set size and, for each of ``SKETCH`` buckets, whether an odd number of
+    shingles falls into it; sketches differ in at most |x ^ y| bits."""
+    for b in small_batches(batches, "line", BATCH):
+        hashes, begin = window_hashes(texts(b, "line"))
+        sets = [np.unique(x) for x in np.split(hashes, begin[1:])]
+        odd = [np.bincount((x >> np.uint64(55)).astype(np.int64), minlength=SKETCH) & 1 for x in sets]
+        words = np.packbits(np.array(odd, np.uint8), axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), *map(pa.array, words.T)],
+                                         names=["key", "n", *(f"f{j}" for j in range(SKETCH // 64))])
+
+
+def _rest_pairs(crowd: DataFrame, lines: DataFrame) -> DataFrame:
+    """(a, b) of different groups that share a bucket and may be near-equal, for
+    (band, key, root)."""
+    own = lines.join(crowd.select("key").distinct(), "key", "left_semi").select("key", "line")
+    sketch = [f"f{j}" for j in range(SKETCH // 64)]
+    crowd = crowd.join(own.mapInArrow(_sketch, ", ".join(f"{c} long" for c in ["key", "n", *sketch])), "key")
+    bits = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in sketch), F.lit(0))
+    fits = ((100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
+            & ((100 + PERCENT) * bits <= (100 - PERCENT) * (F.col("x.n") + F.col("y.n"))))
     salts = crowd.groupBy("band").agg(F.ceil(F.count("*") / SALT).cast("int").alias("salts"))
     met = crowd.join(salts, "band")
-    left = met.select("band", F.pmod(F.hash("key"), F.col("salts")).alias("salt"), F.col("key").alias("a"), F.col("root").alias("ra"))
-    right = met.select("band", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                       F.col("key").alias("b"), F.col("root").alias("rb"))
-    return left.join(right, ["band", "salt"]).where("ra < rb").select("a", "b").distinct()
+    left = met.select("*", F.pmod(F.hash("key"), F.col("salts")).alias("salt")).alias("x")
+    right = met.select("*", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).alias("y")
+    return (left.join(right, ["band", "salt"]).where("x.root < y.root").where(fits)
+            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
 
 
 def _star(crowd: DataFrame, turn: int) -> DataFrame:
@@ -201,7 +223,7 @@ def line_groups(rows: DataFrame, row: str = "_row") -> DataFrame:
         if crowd.isEmpty():
             break
     else:
-        roots = cut(components(links.union(cut(_links(written(_rest_pairs(crowd), "line-rest-pairs"), lines)))))
+        roots = cut(components(links.union(cut(_links(written(_rest_pairs(crowd, lines), "line-rest-pairs"), lines)))))
     roots = roots.withColumnRenamed("id", "key")
     firsts = seen.groupBy("key").agg(F.min(place).alias("place"))
     named = firsts.join(roots, "key", "left").withColumn("group", F.coalesce("root", "key"))
