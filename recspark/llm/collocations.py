@@ -61,6 +61,9 @@ _SHARDS = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("tokens", pa
 # a shard's phrases of m words in one bucket, or its text in global ids: local ids from 1, and the global ones in order
 _BLOCKS = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("bucket", pa.int64()), ("m", pa.int32()),
                      ("words", pa.binary()), ("n", pa.binary()), ("tokens", pa.binary()), ("known", pa.binary())])
+# a frequent word and its number in the partition, or a shard's ids of such words
+_NUMBERS = pa.schema([("lang", pa.string()), ("word", pa.string()), ("f", pa.int64()), ("number", pa.int64()),
+                      ("shard", pa.int64()), ("ids", pa.binary()), ("numbers", pa.binary())])
 # a frequent phrase, or the pairs of a shard that are
 _SUMS = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.int64())), ("a", pa.int64()),
                    ("shard", pa.int64()), ("pairs", pa.binary())])
@@ -162,7 +165,8 @@ def _pairs(buckets: int):
         if not shard.num_rows or not vocabulary.num_rows:
             return _BLOCKS.empty_table()
         tokens, lang = _unpack(shard.column("tokens")[0].as_py()), shard.column("lang")[0].as_py()
-        local, known = vocabulary.column("id").to_numpy(), vocabulary.column("w").to_numpy()
+        local = np.concatenate([_unpack(x.as_py()) for x in vocabulary.column("ids")])
+        known = np.concatenate([_unpack(x.as_py()) + b.as_py() for x, b in zip(vocabulary.column("numbers"), vocabulary.column("before"))])
         by = np.argsort(known)
         local, known = local[by], known[by]
         dense = np.zeros(int(max(tokens.max(), local.max())) + 1, np.int64)
@@ -260,30 +264,55 @@ def _types(schema: pa.Schema) -> str:
 
 
 def _counted(batches):
-    """Numbers the words of a partition that is sorted by word, from 1."""
-    last = 0
-    for b in batches:
-        number = last + np.cumsum(b.column(b.schema.get_field_index("is_first")).to_numpy(zero_copy_only=False))
-        last = int(number[-1]) if len(number) else last
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(number, pa.int64())], names=[*b.schema.names, "number"])
+    """Numbers the words of a partition that is sorted by word, from 1: a row
+    for each word, and the ids of each shard's words with their numbers, packed."""
+    last, held, rows = 0, {}, 0
 
+    def packed():
+        for shard, parts in held.items():
+            ids, number = (np.concatenate(x) for x in zip(*parts))
+            yield {"shard": shard, "ids": _pack(ids), "numbers": _pack(number)}
 
-def _frequent(vocabulary: DataFrame, least: int) -> DataFrame:
-    """The vocabularies' rows of frequent words, with the word's count over all
-    shards (``f``), its dense global id (``w``) and whether the row is its first.
-    One shuffle by word; words are numbered in each partition, after those of the
-    partitions before (one row for each)."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        first, shard, ids = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("is_first", "shard", "id"))
+        number = last + np.cumsum(first)
+        last = int(number[-1])
+        words = b.filter(pa.array(first)).select(["lang", "word", "f"])
+        empty = pa.nulls(words.num_rows)
+        yield pa.RecordBatch.from_arrays(
+            [*words.columns, pa.array(number[first]), empty.cast(pa.int64()), empty.cast(pa.binary()), empty.cast(pa.binary())],
+            schema=_NUMBERS)
+        order = np.argsort(shard, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(shard[order]) != 0]))
+        for part in np.split(order, starts[1:]):
+            held.setdefault(int(shard[part[0]]), []).append((ids[part], number[part]))
+        rows += b.num_rows
+        if rows > SHARD:
+            yield pa.RecordBatch.from_pylist(list(packed()), schema=_NUMBERS)
+            held, rows = {}, 0
+    if held:
+        yield pa.RecordBatch.from_pylist(list(packed()), schema=_NUMBERS)
+
+
+def _frequent(vocabulary: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """The frequent words (lang, word, n, w) with their counts over all shards
+    and dense global ids, and the shards' own ids of them: packed rows whose
+    numbers follow ``before``.  One shuffle by word; words are numbered in each
+    partition, after those of the partitions before (one row for each)."""
     same = W.partitionBy("lang", "word")
     rows = (vocabulary.repartition("lang", "word").sortWithinPartitions("lang", "word")
             .withColumn("at", F.monotonically_increasing_id()).withColumn("f", F.sum("n").over(same))
             .where(F.col("f") >= least)
             .select("shard", "id", "lang", "word", "f", (F.col("at") == F.min("at").over(same)).alias("is_first")))
-    fields = "shard long, id int, lang string, word string, f long, is_first boolean, number long"
-    known = written(rows.mapInArrow(_counted, fields).withColumn("part", F.spark_partition_id()), "frequent-words")
+    known = written(rows.mapInArrow(_counted, _types(_NUMBERS)).withColumn("part", F.spark_partition_id()), "frequent-words")
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     parts = known.groupBy("part").agg(F.max("number").alias("k")).select(
         "part", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("before"))
-    return known.join(parts, "part").withColumn("w", F.col("before") + F.col("number")).drop("part", "before", "number")
+    every = known.join(parts, "part")
+    words = every.where("word IS NOT NULL").select("lang", "word", F.col("f").alias("n"), (F.col("before") + F.col("number")).alias("w"))
+    return words, every.where("ids IS NOT NULL").select("shard", "ids", "numbers", "before")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, cover: int = COVER,
@@ -297,9 +326,7 @@ def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, cover:
     vocabulary = shards.where("word IS NOT NULL").select("shard", "lang", "word", "id", "n")
     total = written(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     buckets = 1 + (total.agg(F.sum("n")).first()[0] or 0) // BUCKET
-    frequent = _frequent(vocabulary, least)
-    held = frequent.select("shard", "id", "w")
-    words = frequent.where("is_first").select("w", "word", F.col("f").alias("n"))
+    words, held = _frequent(vocabulary, least)
     pairs = written(tokens.groupBy("shard").cogroup(held.groupBy("shard")).applyInArrow(_pairs(buckets), _types(_BLOCKS)), "pairs")
     found = written(pairs.where("words IS NOT NULL").groupBy("bucket").applyInArrow(_sum(least, depth > 2), _types(_SUMS)),
                     "frequent-pairs")
