@@ -116,15 +116,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clean_scratch(spark: SparkSession) -> int:
-    """Delete every scratch folder this application has made so far, through
-    the file system that holds it; DataFrames that still read one become
-    unreadable, so call it once their results are written."""
+def scratch_count(spark: SparkSession) -> int:
+    """Scratch folders named so far: a mark for ``clean_scratch``."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def clean_scratch(spark: SparkSession, since: int = 0, keep: str | None = None) -> int:
+    """Delete the scratch folders this application has made since a mark, but
+    those whose name starts with ``keep``, through the file system that holds
+    them; DataFrames that still read one become unreadable, so call it once
+    their results are written."""
     sc = spark.sparkContext
+    own = _SCRATCH.get(sc.applicationId, [])
+    old = [p for p in own[since:] if not (keep and p.rsplit("/", 1)[1].startswith(keep))]
     gone = 0
-    for p in _SCRATCH.pop(sc.applicationId, []):
+    for p in old:
         path = sc._jvm.org.apache.hadoop.fs.Path(p)
         gone += bool(path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True))
+    _SCRATCH[sc.applicationId] = own[:since] + [p for p in own[since:] if p not in old]
     return gone
 
 
