@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from recspark.llm import jaccard_join, line_dedup, mixing, packing, toxicity
 from recspark.llm.common import documents, fresh, numbered, written
+from recspark.session import clean_scratch, scratch_count
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what a stage has written besides its output goes
+    once that is written."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
+        mark = scratch_count(spark)
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        clean_scratch(spark, mark, keep="stage-")
     return docs
