@@ -101,6 +101,7 @@ class UserState(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.queue = handle.getListState("queue", RATING)
         self.rated = handle.getMapState("rated", "productId int", "seen boolean")
+        self.before = handle.getListState("before", "productId int")  # rated before the stream, written once
         self.seen = handle.getValueState("seen", "n bigint")
 
     def _fold(self, chunks: Iterator[pd.DataFrame]) -> tuple[list, int, list]:
@@ -127,9 +128,11 @@ class UserState(StatefulProcessor):
         """Ratings from before the stream: those of an earlier run's log are
         queued, those of the Rating table are only rated."""
         logged = initialState[initialState["logged"].astype(bool)]
-        newest, n, _ = self._fold(iter([logged.astype({"ts": "int64"})]))
-        for product in set(initialState["productId"].tolist()) - set(logged["productId"].tolist()) if self.whole else ():
-            self.rated.updateValue((product,), (True,))
+        logged = logged.astype({"ts": "int64"})
+        newest = heapq.nlargest(self.size, zip(logged["ts"].tolist(), logged["productId"].tolist(), logged["score"].tolist()))
+        n = len(logged)
+        if self.whole:
+            self.before.put([(p,) for p in sorted(set(initialState["productId"].tolist()))])
         self._keep(newest, n)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -137,7 +140,8 @@ class UserState(StatefulProcessor):
         newest, n = self._keep(newest, n)
         out = [("recent", i, p, s, ts) for i, (ts, p, s) in enumerate(newest, 1)]
         if self.whole:
-            out += [("rated", None, p, None, None) for (p,) in self.rated.keys()]
+            rated = {p for (p,) in self.rated.keys()} | ({p for (p,) in self.before.get()} if self.before.exists() else set())
+            out += [("rated", None, p, None, None) for p in rated]
             out += [("rating", None, p, s, ts) for ts, p, s in batch]
         yield pd.DataFrame([(key[0], n, *r) for r in out], columns=["userId", "version", "kind", "rank", "productId", "score", "ts"]
                            ).astype({"rank": "Int32", "productId": "Int32", "ts": "Int64"})
