@@ -47,20 +47,31 @@ def _cut(path: str | None, window: int, unit: int, end: int):
         part, seen = TaskContext.get().partitionId(), {}
         closing = np.array([end], dtype="<u4").tobytes()
         for b in small_batches(batches, limit=4 << 20):
-            rows = []
             ids_of = encoder(path).encode(texts(b))
-            for doc, ids in zip(b.column(0).to_pylist(), ids_of):
-                ids += closing
-                n, at = len(ids) // 4, 0
-                while at < n:
-                    left = n - at
-                    size = window if left >= window else left // unit * unit or left
-                    rank = seen[size] = seen.get(size, -1) + 1
-                    rows.append((doc, at, size, ids[4 * at:4 * (at + size)], n, part, rank))
-                    at += size
+            n = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4 + 1
+            # whole windows, then (for what is left) whole units, then the tail
+            whole, left = np.divmod(n, window)
+            main = left // unit * unit
+            pieces = whole + (main > 0) + (left > main)
+            row = np.repeat(np.arange(len(n)), pieces)
+            k = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            is_main = (k == whole[row]) & (main[row] > 0)
+            size = np.where(k < whole[row], window, np.where(is_main, main[row], (left - main)[row]))
+            start = np.where(k <= whole[row], k * window, whole[row] * window + main[row])
+            rank = np.empty(len(row), np.int64)
+            for s in np.unique(size).tolist():
+                at = np.flatnonzero(size == s)
+                rank[at] = seen.get(s, 0) + np.arange(len(at))
+                seen[s] = seen.get(s, 0) + len(at)
+            # the pieces lie in order, so their ids are one buffer with offsets
+            edges = np.concatenate([[0], np.cumsum(4 * size)])
+            ids = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(row),
+                [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(closing.join([*ids_of, b""]))])
+            doc = b.column(0).take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (
-                    pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64()))],
+                [doc, pa.array(start), pa.array(size, pa.int32()), ids.cast(pa.binary()), pa.array(n[row]),
+                 pa.array(np.full(len(row), part), pa.int32()), pa.array(rank)],
                 names=[c.split()[0] for c in PIECES.split(", ")])
     return run
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -55,31 +56,33 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        found = [None if _PLAIN.search(t) else _PIECES.findall(t) for t in texts]
-        new = list(set().union(*filter(None, found)).difference(self.kept))
-        if len(new) > CACHE // 8 and len(self.kept) == CACHE:
-            self.kept, new = {}, list(set().union(*filter(None, found)))  # other texts than before
-        fresh = dict(zip(new, self._pieces(new)))
-        room = CACHE - len(self.kept)
-        if len(fresh) <= room:
-            self.kept.update(fresh)
-            ids = self.kept
-        else:  # full: what is in it came early, so it is what is frequent
-            self.kept.update(list(fresh.items())[:room])
-            ids = _Both(self.kept, fresh)
-        other = iter(self._library([t for t, ps in zip(texts, found) if ps is None]))
-        return [next(other) if ps is None else b"".join([ids[p] for p in ps]) for ps in found]
-
-
-class _Both(dict):
-    """A batch's new pieces, then the kept ones."""
-
-    def __init__(self, kept: dict, fresh: dict):
-        super().__init__(fresh)
-        self.kept = kept
-
-    def __missing__(self, piece):
-        return self.kept[piece]
+        out: list[bytes | None] = [None] * len(texts)
+        rare, other, kept = {}, [], self.kept.get
+        for i, t in enumerate(texts):
+            if _PLAIN.search(t):
+                other.append(i)
+                continue
+            pieces = _PIECES.findall(t)
+            try:
+                out[i] = b"".join(map(kept, pieces))
+            except TypeError:  # None: a piece not seen before
+                rare[i] = pieces
+        if rare:
+            new = list(set().union(*(set(ps).difference(self.kept) for ps in rare.values())))
+            fresh = dict(zip(new, self._pieces(new)))
+            for i, ps in rare.items():
+                out[i] = b"".join(map(kept, ps, map(fresh.get, ps)))
+            self._keep(fresh)
+        for i, ids in zip(other, self._library([texts[i] for i in other])):
+            out[i] = ids
+        return out
+
+    def _keep(self, fresh: dict[str, bytes]) -> None:
+        """What comes early is what is frequent, so a full cache stays, unless
+        the texts have become other ones."""
+        if len(fresh) > CACHE // 8 and len(self.kept) == CACHE:
+            self.kept = {}
+        self.kept.update(islice(fresh.items(), CACHE - len(self.kept)))
 
 
 def encoder(path: str | None = None) -> Encoder:
