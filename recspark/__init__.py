@@ -14,6 +14,7 @@ _EXPORTS = {
                                 "normalize_ts", "parse_rating_events", "rating_month",
                                 "split_tags", "user_id_from_name"],
     "recspark.operators.als": ["als_fit", "als_product_recs", "als_user_recs", "blocked_top_k"],
+    "recspark.operators.mips": ["norm_top_k"],
     "recspark.operators.online": ["candidate_products", "online_recs", "sim_lookup",
                                   "stream_scores"],
     "recspark.operators.ratings": ["apply_ratings", "recent_ratings"],

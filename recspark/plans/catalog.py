@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark import schemas
-from recspark.constants import MAX_SIM_PRODUCTS
+from recspark.constants import MAX_SIM_PRODUCTS, USER_MAX_RECOMMENDATION
 from recspark.functions import expr as X
 from recspark.operators import als as A
 from recspark.operators import online as O
@@ -25,6 +25,7 @@ from recspark.operators import serving as SV
 from recspark.operators import similarity as SIM
 from recspark.operators import stats as ST
 from recspark.operators import users as U
+from recspark.operators.mips import norm_top_k
 from recspark.plans import sql as S
 from recspark.session import checkpoint_dir, scratch_path
 from recspark.sources import driver_tables as DT
@@ -527,6 +528,30 @@ def q_als_user_recs(spark, d):
     return A.als_user_recs(_model(spark, d))
 
 
+# the same search on fixed vectors: a user's is that of the newest product they
+# rated; whole numbers, so that every engine sums them alike
+@query("user_recs_by_vector", f"""
+    WITH v AS (SELECT productId, [floor(64 * x) FOR x IN vector] AS f FROM ({S.VECTORS})),
+    u AS (SELECT userId, f FROM (SELECT r.userId, v.f, row_number() OVER (
+              PARTITION BY r.userId ORDER BY r.ts DESC, r.productId DESC) AS n
+          FROM ({S.RATINGS}) r JOIN v USING (productId)) WHERE n = 1),
+    s AS (SELECT userId, productId, list_inner_product(u.f, v.f) AS score FROM u, v)
+    SELECT userId, CAST(rank AS INTEGER) AS rank, productId, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, productId) AS rank
+        FROM s WHERE score > 0) WHERE rank <= {USER_MAX_RECOMMENDATION}""")
+def q_user_recs_by_vector(spark, d):
+    items = DT.vectors(spark, d).select(
+        F.col("productId").alias("id"),
+        F.transform("vector", lambda x: F.floor(64 * x).cast("double")).alias("f"))
+    newest = (DT.ratings(spark, d).select("userId", "productId", "ts")
+              .join(items.select(F.col("id").alias("productId")), "productId", "left_semi")
+              .groupBy("userId").agg(F.max(F.struct("ts", "productId")).alias("last")))
+    users = (newest.select("userId", F.col("last.productId").alias("id")).join(items, "id")
+             .select(F.col("userId").alias("id"), "f"))
+    recs = norm_top_k(users, items, USER_MAX_RECOMMENDATION)
+    return recs.select(F.col("a").alias("userId"), "rank", F.col("b").alias("productId"), "score")
+
+
 @query("als_product_recs")
 def q_als_product_recs(spark, d):
     return A.als_product_recs(_model(spark, d))
