@@ -19,10 +19,10 @@ which is what its language and topic add to each of them, and a factor of
 ALIKE is taken for noise.  A logistic curve turns it into a probability.
 
 Spark counts the bigrams of every labelled training document and sums them
-per word.  What a task needs to score text is bounded by a parameter, not by
-the corpus: words are kept from the top of a class-balanced count histogram
-up to ``max_words`` (the rest backs off, as an unseen word does), in a
-direct-mapped table of ``SLOTS`` entries.
+per word.  A word whose counts the discounts use up in both classes has the
+backoff model's probability in both, as an unseen word has: its log ratio is 0.
+What a task needs to score text is every other word, sorted by its hash, at 12
+bytes a word; no word is dropped for want of room.
 
 Folds: crc32(doc_id as text) mod 5.  Fold 0 is held out; folds 1-3 give the
 counts; fold 4 gives the logistic curve, fitted on a fixed-size histogram of
@@ -52,8 +52,7 @@ from recspark.llm.common import small_batches, texts, written
 DISCOUNT = 4.0           # contexts taken off each word of the toxic class
 ALIKE = 4.0              # words at most so many times likelier in a class say nothing
 SHIFT = 2.0              # at most this factor is put down to a document's language and topic
-MAX_WORDS = 1 << 18
-SLOTS = 1 << 20          # of the direct-mapped table of words
+UNSEEN = 1 << 20         # contexts that the backoff model adds for words never seen
 BINS = 4001              # of the calibration histogram, over ratios -2..2
 SPAN = 2.0
 FOLDS = 5
@@ -92,17 +91,20 @@ def _count(batches):
 
 @dataclass
 class Model:
-    """Log ratio of each kept word by slot, and the logistic curve."""
+    """Log ratio of each word that has one, and the logistic curve."""
 
-    word: np.ndarray          # hash in each slot (0: empty)
-    log_ratio: np.ndarray     # of that word
+    word: np.ndarray          # hashes, ascending
+    log_ratio: np.ndarray     # of each
     unseen: float             # of any other word
     slope: float = 25.0
     offset: float = -1.0
 
     def ratio(self, h: np.ndarray) -> np.ndarray:
-        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
-        return np.where(self.word[slot] == h, self.log_ratio[slot], self.unseen)
+        if not len(self.word):
+            return np.full(len(h), self.unseen)
+        own, at = np.unique(h.astype(np.uint32), return_inverse=True)  # each word is looked up once
+        place = np.minimum(np.searchsorted(self.word, own), len(self.word) - 1)
+        return np.where(self.word[place] == own, self.log_ratio[place], self.unseen)[at]
 
 
 def _ratios(model: Model, batch: pa.RecordBatch) -> np.ndarray:
@@ -139,18 +141,6 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
             .join(marked(labels).hint("merge"), "doc_id"))  # labels grow with the documents
 
 
-def _top(df: DataFrame, weight: F.Column, most: int):
-    """The rows of largest weight, at most ``most``: a threshold is read off a
-    histogram of 1/8 powers of two, so no sort and no ranking is needed."""
-    level = F.floor(8 * F.log2(weight)).cast("int")
-    left, least = most, None
-    for r in df.groupBy(level.alias("l")).count().orderBy(F.desc("l")).collect():
-        if r["count"] > left:
-            break
-        left, least = left - r["count"], r["l"]
-    return df.where(level >= least).toPandas() if least is not None else df.limit(0).toPandas()
-
-
 def _freed(words: DataFrame, c: str):
     """Function of a discount: the mass it frees of a column, read off the
     words by value in steps of 1/8 powers of two; and the largest value."""
@@ -160,7 +150,7 @@ def _freed(words: DataFrame, c: str):
     return (lambda d: sum(min(r["s"], d * r["n"]) for r in rows)), max((r["s"] / r["n"] for r in rows), default=0.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_words: int = MAX_WORDS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit both models and the logistic curve (see the module's notes)."""
     spark = docs.sparkSession
     train = labelled(docs, labels).select("doc_id", "text", "toxic")
@@ -175,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_words: int = MAX_WORDS) -> Model
             F.sum(1 - F.pow(F.lit(1 - 1 / ratio), F.col("o").cast("double"))).alias("o"),
             F.count("*").cast("double").alias("both")), "toxic-words")
     total = words.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in ("t", "o", "both")]).first()
-    model = Model(np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.float32), 0.0)
+    model = Model(np.zeros(0, np.uint32), np.zeros(0, np.float32), 0.0)
     if total[0] < 1 or total[1] <= 0:
         return model
     share = _freed(words, "t")[0](DISCOUNT) / total[0]
@@ -184,13 +174,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_words: int = MAX_WORDS) -> Model
     for _ in range(60):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if freed(mid) < aim else (lo, mid)
-    kept = _top(words, 1 + F.col("t") + F.col("o"), max_words).sort_values(["t", "o", "key"])
-    shared = share * (kept["both"].to_numpy() + 1) / (total[2] + SLOTS)
+    kept = words.where((F.col("t") > DISCOUNT) | (F.col("o") > hi)).toPandas().sort_values("key")
+    shared = share * (kept["both"].to_numpy() + 1) / (total[2] + UNSEEN)
     logs = [np.log(np.maximum(kept[c].to_numpy() - d, 0) / n + shared)
             for c, d, n in (("t", DISCOUNT, total[0]), ("o", hi, total[1]))]
-    slot = (kept["key"].to_numpy() & (SLOTS - 1)).astype(np.int64)
-    model.word[slot] = kept["key"].to_numpy().astype(np.uint64)   # on a shared slot
-    model.log_ratio[slot] = logs[0] - logs[1]                     # the frequent word stays
+    model.word = kept["key"].to_numpy().astype(np.uint32)
+    model.log_ratio = (logs[0] - logs[1]).astype(np.float32)
     shared = spark.sparkContext.broadcast(model)
 
     def bins(batches):
