@@ -1,28 +1,34 @@
-"""Toxicity by class-conditional Kneser-Ney models.
-
-Each class (toxic, ordinary) has an absolutely discounted model of its
-continuation counts: in how many different contexts (the word before) the
-class uses a word, so that a text copied a thousand times counts once.  The
-mass that the discount frees goes to one backoff model that both classes
-share, the pooled continuation counts.  Continuation counts don't grow in
-proportion to the text, so those of the ordinary class, which is larger, are
-rarefied to the size of the toxic one: a context seen ``n`` times counts
-``1 - (1 - 1 / ratio) ** n``, the chance that a sample of that size has it.
-Its discount is the one that frees the same mass.  An expression that is rare
-in both classes is thus judged alike by both, and only what they really use
-differently moves the ratio.  A document's ratio is
-
-    mean over its words of  max(0, log P_toxic(w) - log P_ordinary(w) - m - log ALIKE)
-
-(length-normalised), where m is the median of its words (bounded by SHIFT),
-which is what its language and topic add to each of them, and a factor of
-ALIKE is taken for noise.  A logistic curve turns it into a probability.
-
-Spark counts the bigrams of every labelled training document and sums them
-per word.  A word whose counts the discounts use up in both classes has the
-backoff model's probability in both, as an unseen word has: its log ratio is 0.
-What a task needs to score text is every other word, sorted by its hash, at 12
-bytes a word; no word is dropped for want of room.
+"""Toxicity by class-conditional Kneser-Ney bigram models.
+
+Each class c (toxic, ordinary) has an absolutely discounted, interpolated model
+
+    P_c(w | v) = kept_c(v w) / n_c(v)  +  freed_c(v) * P_c(w)
+    P_c(w)     = kept_c(w) / n_c       +  freed_c * P(w)
+
+of counts of contexts: a word counts once for each different word before it, a
+bigram once for each different word before it, so that a text copied a thousand
+times counts once.  P(w) is the backoff that both classes share, the pooled
+continuation counts.  Contexts don't grow in proportion to the text, so those of
+the larger class are rarefied to the size of the smaller one: a context seen
+``n`` times counts ``1 - (1 - 1 / ratio) ** n``, the chance that a sample of
+that size has it.  What a count loses to its discount is DISCOUNT contexts (of
+a bigram PAIR_DISCOUNT) and ALIKE times what the other class has of the same:
+what both classes use alike, or what is too rare to tell, is left to the next
+level and in the end to the shared backoff, which judges it alike.  The same
+holds for both classes, so there is evidence either way.  A document's ratio is
+
+    mean over its words of  log P_toxic(w | v) - log P_ordinary(w | v)
+
+the difference of the two length-normalised log-likelihoods, less the constant
+log(freed_toxic / freed_ordinary) that every word has (so a word that neither
+class kept has 0).  A logistic curve turns it into a probability.
+
+Spark counts the trigrams of every labelled training document, from these the
+contexts of each bigram, and from these the contexts of each word.  A task that
+scores text needs the log ratios of the kept words and bigrams, and for words
+before a kept bigram log(freed_toxic(v) / freed_ordinary(v)); all else is 0.
+They travel sorted by hash, at 8 or 12 bytes each; none is dropped for want of
+room.
 
 Folds: crc32(doc_id as text) mod 5.  Fold 0 is held out; folds 1-3 give the
 counts; fold 4 gives the logistic curve, fitted on a fixed-size histogram of
@@ -39,7 +45,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +55,14 @@ from pyspark.sql import types as T
 
 from recspark.llm.common import small_batches, texts, written
 
-DISCOUNT = 4.0           # contexts taken off each word of the toxic class
-ALIKE = 4.0              # words at most so many times likelier in a class say nothing
-SHIFT = 2.0              # at most this factor is put down to a document's language and topic
+DISCOUNT = 4.0           # contexts taken off each word of a class
+PAIR_DISCOUNT = 8.0      # and off each bigram, of which there are many more
+ALIKE = 4.0              # contexts taken off for each that the other class has
 UNSEEN = 1 << 20         # contexts that the backoff model adds for words never seen
 BINS = 4001              # of the calibration histogram, over ratios -2..2
 SPAN = 2.0
 FOLDS = 5
+FILTER = 24              # bits of a document's hash in the filter of labelled ones
 
 # ASCII letters and digits in lower case, every other ASCII character a blank
 _TABLE = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
@@ -65,61 +72,80 @@ def fold(doc_id) -> F.Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(FOLDS))
 
 
-def _hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: 32-bit hash, hash of the word before (0: none), row."""
+def _hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per word: 32-bit hash, hashes of the word before and of the one before
+    that (0: none), row."""
     words = [t.lower().encode("utf-8", "replace").translate(_TABLE).split() for t in texts(batch)]
     n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     h = np.fromiter((zlib.crc32(w) for ws in words for w in ws), dtype=np.uint64, count=int(n.sum()))
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
     starts = (np.cumsum(n) - n)[n > 0]
-    before[starts] = 0
-    return h, before, np.repeat(np.arange(len(words)), n)
+
+    def before(x):
+        out = np.empty_like(x)
+        out[1:] = x[:-1]
+        out[starts] = 0
+        return out
+    v = before(h)
+    return h, v, before(v), np.repeat(np.arange(len(words)), n)
 
 
 def _count(batches):
-    """Distinct bigrams of a batch with their toxic and ordinary counts."""
+    """Distinct trigrams of a batch in each class and their number: the bigram
+    in ``k``, the word before it and the class in ``u`` (hash * 2 + toxic)."""
     for b in small_batches(batches):
-        h, v, row = _hashes(b)
-        toxic = np.asarray(b.column(b.schema.get_field_index("toxic")), dtype=np.int64)[row]
-        key, at = np.unique((v << np.uint64(32)) | h, return_inverse=True)
-        t = np.bincount(at, weights=toxic, minlength=len(key)).astype(np.int64)
-        every = np.bincount(at, minlength=len(key)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(t), pa.array(every - t)], names=["k", "t", "o"])
+        h, v, u, row = _hashes(b)
+        if not len(h):
+            continue
+        toxic = np.asarray(b.column(b.schema.get_field_index("toxic")), dtype=np.uint64)[row]
+        k, u = (v << np.uint64(32)) | h, u * np.uint64(2) + toxic
+        order = np.lexsort((u, k))
+        k, u = k[order], u[order]
+        first = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (u[1:] != u[:-1])))
+        n = np.diff(np.append(first, len(k)))
+        yield pa.RecordBatch.from_arrays([pa.array(k[first].view(np.int64)), pa.array(u[first].view(np.int64)),
+                                          pa.array(n)], names=["k", "u", "n"])
+
+
+def _none(dtype):
+    return field(default_factory=lambda: np.zeros(0, dtype))
+
+
+def _found(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, otherwise: np.ndarray | float) -> np.ndarray:
+    """``values`` of the ascending ``keys`` for what is asked, else ``otherwise``."""
+    if not len(keys):
+        return np.full(len(asked), otherwise) if np.isscalar(otherwise) else otherwise
+    own, at = np.unique(asked, return_inverse=True)  # each is looked up once
+    place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+    return np.where((keys[place] == own)[at], values[place][at], otherwise)
 
 
 @dataclass
 class Model:
-    """Log ratio of each word that has one, and the logistic curve."""
-
-    word: np.ndarray          # hashes, ascending
-    log_ratio: np.ndarray     # of each
-    unseen: float             # of any other word
+    """Log ratios of the words, contexts and bigrams that have one (hashes
+    ascending), and the logistic curve."""
+
+    word: np.ndarray = _none(np.uint32)
+    log_ratio: np.ndarray = _none(np.float32)          # of each word, in contexts without kept bigrams
+    context: np.ndarray = _none(np.uint32)
+    freed_ratio: np.ndarray = _none(np.float32)        # added to a word's after this context
+    pair: np.ndarray = _none(np.uint64)                # context << 32 | word
+    pair_ratio: np.ndarray = _none(np.float32)         # of the word in this context
     slope: float = 25.0
     offset: float = -1.0
 
-    def ratio(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.word):
-            return np.full(len(h), self.unseen)
-        own, at = np.unique(h.astype(np.uint32), return_inverse=True)  # each word is looked up once
-        place = np.minimum(np.searchsorted(self.word, own), len(self.word) - 1)
-        return np.where(self.word[place] == own, self.log_ratio[place], self.unseen)[at]
+    def ratio(self, h: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+        """Log ratios of words by hash, alone or after the words ``before``."""
+        alone = _found(self.word, self.log_ratio, h.astype(np.uint32), 0.0)
+        if before is None or not len(self.pair):
+            return alone
+        backed = alone + _found(self.context, self.freed_ratio, before.astype(np.uint32), 0.0)
+        return _found(self.pair, self.pair_ratio, (before.astype(np.uint64) << np.uint64(32)) | h, backed)
 
 
 def _ratios(model: Model, batch: pa.RecordBatch) -> np.ndarray:
-    h, _, row = _hashes(batch)
+    h, v, _, row = _hashes(batch)
     n = np.bincount(row, minlength=batch.num_rows)
-    per_word = model.ratio(h)
-    by_value = per_word[np.lexsort((per_word, row))]
-    middle = np.zeros(batch.num_rows)
-    some = n > 0
-    middle[some] = by_value[(np.cumsum(n) - n + n // 2)[some]]
-    # a language or topic shifts words a little; a text of toxic words only keeps its ratio
-    per_word = per_word - np.clip(middle, -math.log(SHIFT), math.log(SHIFT))[row]
-    # a factor below ALIKE is noise; words that only clean text uses excuse nothing
-    per_word = np.maximum(per_word - math.log(ALIKE), 0)
-    return np.bincount(row, weights=per_word, minlength=batch.num_rows) / np.maximum(n, 1)
+    return np.bincount(row, weights=model.ratio(h, v), minlength=batch.num_rows) / np.maximum(n, 1)
 
 
 def marked(labels: DataFrame) -> DataFrame:
@@ -136,50 +162,109 @@ def class_sizes(labels: DataFrame) -> dict[bool, int]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training documents (fold not 0) with their label."""
-    return (docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (fold("doc_id") != 0))
-            .join(marked(labels).hint("merge"), "doc_id"))  # labels grow with the documents
-
-
-def _freed(words: DataFrame, c: str):
-    """Function of a discount: the mass it frees of a column, read off the
-    words by value in steps of 1/8 powers of two; and the largest value."""
-    level = F.floor(8 * F.log2(F.col(c))).cast("int")
-    rows = words.where(F.col(c) > 0).groupBy(level.alias("l")).agg(
-        F.sum(c).alias("s"), F.count("*").alias("n")).collect()
-    return (lambda d: sum(min(r["s"], d * r["n"]) for r in rows)), max((r["s"] / r["n"] for r in rows), default=0.0)
+    """Training documents (fold not 0) with their label.  A filter of fixed
+    size keeps most texts without a label out of the shuffle; the join decides."""
+    known = marked(labels)
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << FILTER))
+    word = F.shiftright(place, 6).alias("_word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    filled = known.groupBy(word).agg(F.bit_or(bit).alias("_bits"))
+    train = (docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (fold("doc_id") != 0))
+             .withColumn("_word", word).join(F.broadcast(filled), "_word")
+             .where(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits"))
+    return train.join(known.hint("merge"), "doc_id")  # labels grow with the documents
+
+
+def rarefied(n: F.Column, ratio: float) -> F.Column:
+    """Chance that a sample of one in ``ratio`` has what occurs ``n`` times."""
+    return F.when(n > 0, 1 - F.pow(F.lit(1 - 1 / ratio), n.cast("double"))).otherwise(0.0)
+
+
+def _kept(own, other, discount: float):
+    """What is left of a class's count: works on numpy arrays."""
+    return np.maximum(own - discount - ALIKE * other, 0)
+
+
+def _counts(train: DataFrame, size: dict[bool, int]) -> DataFrame:
+    """(kind, key, t, o, both, nt, no).  Of a word (kind 0): its contexts in each
+    class, in both pooled, and those of all bigrams after it in each class.  Of
+    a bigram that a class keeps (kind 1): its contexts in each class."""
+    by = {"t": max(1.0, size[True] / max(1, size[False])), "o": max(1.0, size[False] / max(1, size[True]))}
+    trigrams = (train.select("text", "toxic").mapInArrow(_count, "k long, u long, n long")
+                .repartition("k").groupBy("k", "u").agg(F.sum("n").alias("n")))
+    own = {"t": F.when(F.col("u") % 2 == 1, F.col("n")).otherwise(0),
+           "o": F.when(F.col("u") % 2 == 0, F.col("n")).otherwise(0)}
+    bigrams = trigrams.groupBy("k").agg(*[x for c in "to" for x in (
+        F.sum(own[c]).alias(f"n{c}"), F.sum(rarefied(own[c], by[c])).alias(c))])
+    least = [F.col(a) > PAIR_DISCOUNT + ALIKE * F.col(b) for a, b in ("to", "ot")]
+    zero = F.lit(0.0)
+
+    def row(kind, key, *counts):
+        return F.struct(F.lit(kind).alias("kind"), key.cast("long").alias("key"),
+                        *[c.alias(n) for c, n in zip(counts, ("t", "o", "both", "nt", "no"))])
+    rows = F.array(
+        row(0, F.expr("k & 4294967295L"), *[rarefied(F.col(f"n{c}"), by[c]) for c in "to"], F.lit(1.0), zero, zero),
+        row(0, F.shiftrightunsigned("k", 32), zero, zero, zero, F.col("t"), F.col("o")),
+        F.when(least[0] | least[1], row(1, F.col("k"), F.col("t"), F.col("o"), zero, zero, zero)))
+    return (bigrams.select(F.explode(rows).alias("r")).where("r is not null").select("r.*")
+            .groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in ("t", "o", "both", "nt", "no")]))
+
+
+def _set_ratios(model: Model, counts: DataFrame) -> bool:
+    """The log ratios of a model from its counts; False if a class has no words."""
+    words = counts.where("kind = 0 and both > 0")
+    total = words.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in ("t", "o", "both")]).first()
+    if min(total[0], total[1]) <= 0:
+        return False
+    kept = words.where(" or ".join(f"{a} > {DISCOUNT} + {ALIKE} * {b}" for a, b in ("to", "ot")))
+    word = kept.select("key", "t", "o", "both").toPandas().sort_values("key")
+    pair = counts.where("kind = 1").select("key", "t", "o").toPandas()
+    key = pair["key"].to_numpy().view(np.uint64)
+    left, right = (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+    def of(keys):
+        """Rows of these words only, in the order asked."""
+        asked = counts.sparkSession.createDataFrame([(int(k),) for k in np.unique(keys)], "key long")
+        return counts.where("kind = 0").join(F.broadcast(asked), "key").toPandas().set_index("key").loc[keys]
+    free, probability = {}, {}
+    for c, other, n in (("t", "o", total[0]), ("o", "t", total[1])):
+        mass = _kept(word[c].to_numpy(), word[other].to_numpy(), DISCOUNT) / n
+        free[c] = 1 - mass.sum()
+
+        def p(rows, c=c, other=other, n=n):
+            shared = (rows["both"].to_numpy() + 1) / (total[2] + UNSEEN)
+            return _kept(rows[c].to_numpy(), rows[other].to_numpy(), DISCOUNT) / n + free[c] * shared
+        probability[c] = p
+    base = math.log(free["t"] / free["o"])
+    model.word = word["key"].to_numpy().astype(np.uint32)
+    model.log_ratio = (np.log(probability["t"](word)) - np.log(probability["o"](word)) - base).astype(np.float32)
+    if not len(key):
+        return True
+    context, at = np.unique(left, return_inverse=True)
+    every, own = of(context), of(right)
+    freed, logs = {}, {}
+    for c, other in ("to", "ot"):
+        n = every[f"n{c}"].to_numpy()
+        mass = _kept(pair[c].to_numpy(), pair[other].to_numpy(), PAIR_DISCOUNT)
+        mass = np.divide(mass, n[at], out=np.zeros(len(at)), where=n[at] > 0)
+        freed[c] = 1 - np.bincount(at, weights=mass, minlength=len(context))
+        logs[c] = np.log(mass + freed[c][at] * probability[c](own))
+    model.context = context.astype(np.uint32)
+    model.freed_ratio = (np.log(freed["t"]) - np.log(freed["o"])).astype(np.float32)
+    order = np.argsort(key)
+    model.pair = key[order]
+    model.pair_ratio = (logs["t"] - logs["o"] - base)[order].astype(np.float32)
+    return True
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit both models and the logistic curve (see the module's notes)."""
     spark = docs.sparkSession
     train = labelled(docs, labels).select("doc_id", "text", "toxic")
-    bigrams = (train.where(fold("doc_id") < FOLDS - 1).select("text", "toxic")
-               .mapInArrow(_count, "k long, t long, o long")
-               .groupBy("k").agg(F.sum("t").alias("t"), F.sum("o").alias("o")))
-    size = class_sizes(labels)
-    ratio = max(1.0, size[False] / max(1, size[True]))
-    words = written(
-        bigrams.groupBy(F.expr("k & 4294967295L").alias("key")).agg(
-            F.sum(F.when(F.col("t") > 0, 1.0).otherwise(0.0)).alias("t"),
-            F.sum(1 - F.pow(F.lit(1 - 1 / ratio), F.col("o").cast("double"))).alias("o"),
-            F.count("*").cast("double").alias("both")), "toxic-words")
-    total = words.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in ("t", "o", "both")]).first()
-    model = Model(np.zeros(0, np.uint32), np.zeros(0, np.float32), 0.0)
-    if total[0] < 1 or total[1] <= 0:
+    model = Model()
+    counts = _counts(train.where(fold("doc_id") < FOLDS - 1), class_sizes(labels))
+    if not _set_ratios(model, written(counts, "toxic-counts")):
         return model
-    share = _freed(words, "t")[0](DISCOUNT) / total[0]
-    freed, hi = _freed(words, "o")
-    lo, aim = 0.0, share * total[1]
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if freed(mid) < aim else (lo, mid)
-    kept = words.where((F.col("t") > DISCOUNT) | (F.col("o") > hi)).toPandas().sort_values("key")
-    shared = share * (kept["both"].to_numpy() + 1) / (total[2] + UNSEEN)
-    logs = [np.log(np.maximum(kept[c].to_numpy() - d, 0) / n + shared)
-            for c, d, n in (("t", DISCOUNT, total[0]), ("o", hi, total[1]))]
-    model.word = kept["key"].to_numpy().astype(np.uint32)
-    model.log_ratio = (logs[0] - logs[1]).astype(np.float32)
     shared = spark.sparkContext.broadcast(model)
 
     def bins(batches):
@@ -208,7 +293,7 @@ def logistic(points: list[tuple[float, int, int]], steps: int = 60) -> tuple[flo
     x, y, n = (np.array(c, dtype=float) for c in zip(*points))
     scale = max(float(np.sqrt((n * x * x).sum() / n.sum())), 1e-9)
     z = np.stack([x / scale, np.ones_like(x)], 1)
-    beta, ridge = np.zeros(2), np.diag([1e-3, 1e-6]) * n.sum()
+    beta, ridge = np.zeros(2), np.diag([1e-6, 1e-6]) * n.sum()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
         grad = z.T @ (n * (y - p)) - ridge @ beta
