@@ -64,6 +64,7 @@ SAMPLED = 4         # of a class's first regions, the share (1 in ..) that the r
 HEADS = 8           # regions by which a pair's first common one is known
 BITS = 2048         # of a parity sketch
 FOLD = 8            # 64-bit words of its folded form
+FILTER = 24         # bits of a document's hash in the filter of those whose texts are compared
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -209,21 +210,34 @@ def _heads(large: DataFrame) -> DataFrame:
     return large.groupBy("cid").agg(F.transform(first, lambda p: p["s"]).alias("heads"))
 
 
-def _measure(members: DataFrame, pairs: DataFrame) -> DataFrame:
+def _measure(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, inter, uni) of the candidate pairs whose sketches differ in no
-    more bits than linked sets can; exact, on whole texts."""
+    more bits than linked sets can; exact, on whole texts, which are read again
+    for these pairs alone."""
     side = lambda c: members.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
     differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     near = (pairs.join(side("a"), "a").join(side("b"), "b")
             .where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b"))
     near = cut(near)
     wanted = near.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    needed = written(members.select("cid", "text").join(wanted, "cid", "left_semi"), "candidates")
+    wanted = cut(members.select("cid", "k", "th").join(wanted, "cid", "left_semi"))
+    needed = written(_maybe(docs.withColumn("k", _key()), wanted).join(wanted, ["k", "th"]).dropDuplicates(["k", "th"])
+                     .select("cid", "text"), "candidates")
     text = lambda c: needed.select(F.col("cid").alias(c), F.col("text").alias(f"t{c}"))
     return (near.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
             .mapInArrow(_verify, "a long, b long, inter long, uni long"))
 
 
+def _maybe(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Without most of the documents that are not ``wanted``, so that their
+    texts needn't be shuffled: a filter of 2 ** FILTER bits, which is broadcast."""
+    place = F.pmod(F.xxhash64("k", "th"), F.lit(1 << FILTER))
+    word, bit = (place / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    filled = wanted.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    return (docs.withColumn("_word", word).join(F.broadcast(filled), "_word")
+            .where(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits"))
+
+
 def _key():
     return F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
 
@@ -247,10 +261,9 @@ def jaccard_components(documents: DataFrame, row: str | None = None) -> DataFram
         .repartition("s").groupBy("s", "cid").agg(F.first("n").alias("n"), F.min("pos").alias("pos"))
         .withColumn("size", F.count("*").over(by_shingle)).where("size > 1"), "regions")
 
-    # text and sketch of one document of each class that meets another
-    met = reps.join(regions.select("cid").distinct(), "cid", "left_semi").select("cid", "r.k", "r.th", "n", "sketch")
-    members = written(docs.withColumn("k", _key()).join(met, ["k", "th"]).dropDuplicates(["k", "th"])
-                      .select("cid", "n", "sketch", "text"), "members")
+    # one document of each class that meets another, and the sketch
+    members = written(reps.join(regions.select("cid").distinct(), "cid", "left_semi")
+                      .select("cid", "r.k", "r.th", "n", "sketch"), "members")
     small, large = regions.where(F.col("size") <= SMALL), regions.where(F.col("size") > SMALL)
     pairs = (small.alias("x").join(small.alias("y"), "s").where("x.cid < y.cid").where(_fits("x", "y"))
              .select(*_pair("x", "y")))
@@ -296,7 +309,7 @@ def jaccard_components(documents: DataFrame, row: str | None = None) -> DataFram
         pairs = pairs.distinct()
         if seen is not None:
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
-        measured = cut(_measure(members, cut(pairs)))
+        measured = cut(_measure(docs, members, cut(pairs)))
         seen = measured if seen is None else seen.union(measured)
         found = measured.where(linked()).select("a", "b")
         links = found if links is None else links.union(found)
