@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recspark.llm.common import cut, fresh, mix64, numbered, small_batches, texts, written
+from recspark.llm.common import cut, fresh, maybe, mix64, numbered, small_batches, texts, written
 from recspark.llm.components import components
 
 CHARS = 12
@@ -54,7 +54,7 @@ ROUNDS = 1
 PERCENT = 80
 SALT = 256           # lines of a bucket that one salt takes
 SKETCH = 512         # bits of a line's parity sketch
-BATCH = 1 << 20      # bytes of text whose windows are hashed together
+BATCH = 1 << 17      # bytes of text whose windows are hashed together: what a core's cache holds
 SEEN = 1 << 19       # lines that a task remembers having signed
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -91,6 +91,24 @@ def window_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix64(out), begin
 
 
+def window_sets(lines: list[str]) -> list[np.ndarray]:
+    """Each line's distinct window hashes, sorted."""
+    hashes, begin = window_hashes(lines)
+    for own in np.split(hashes, begin[1:]):
+        own.sort()
+    new = np.ones(len(hashes), bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[begin] = True
+    return np.split(hashes[new], np.cumsum(np.add.reduceat(new, begin, dtype=np.int64))[:-1])
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sets."""
+    both = np.concatenate([x, y])
+    both.sort()
+    return np.count_nonzero(both[1:] == both[:-1])
+
+
 def bands(lines: list[str]) -> np.ndarray:
     """The keys of each line's bands."""
     hashes, begin = window_hashes(lines)
@@ -137,10 +155,9 @@ def _compare(batches):
         sides = []
         for c in ("la", "lb"):
             coded = b.column(b.schema.get_field_index(c)).dictionary_encode()  # a head is in many pairs
-            hashes, begin = window_hashes(coded.dictionary.to_pylist())
-            sets = [np.unique(x) for x in np.split(hashes, begin[1:])]
+            sets = window_sets(coded.dictionary.to_pylist())
             sides.append([sets[i] for i in coded.indices.to_pylist()])
-        near = [(100 + PERCENT) * len(np.intersect1d(x, y, assume_unique=True)) >= PERCENT * (len(x) + len(y))
+        near = [(100 + PERCENT) * _shared(x, y) >= PERCENT * (len(x) + len(y))
                 for x, y in zip(*sides)]
         yield b.select(["a", "b"]).filter(pa.array(near))
 
@@ -156,8 +173,7 @@ def _sketch(batches):
     """Set size and, for each of ``SKETCH`` buckets, whether an odd number of
     shingles falls into it; sketches differ in at most |x ^ y| bits."""
     for b in small_batches(batches, "line", BATCH):
-        hashes, begin = window_hashes(texts(b, "line"))
-        sets = [np.unique(x) for x in np.split(hashes, begin[1:])]
+        sets = window_sets(texts(b, "line"))
         odd = [np.bincount((x >> np.uint64(55)).astype(np.int64), minlength=SKETCH) & 1 for x in sets]
         words = np.packbits(np.array(odd, np.uint8), axis=1).view(np.int64)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), *map(pa.array, words.T)],
@@ -169,7 +185,8 @@ def _rest_pairs(crowd: DataFrame, lines: DataFrame) -> DataFrame:
     (band, key, root)."""
     own = lines.join(crowd.select("key").distinct(), "key", "left_semi").select("key", "line")
     sketch = [f"f{j}" for j in range(SKETCH // 64)]
-    crowd = crowd.join(own.mapInArrow(_sketch, ", ".join(f"{c} long" for c in ["key", "n", *sketch])), "key")
+    sketched = cut(own.mapInArrow(_sketch, ", ".join(f"{c} long" for c in ["key", "n", *sketch])))
+    crowd = crowd.join(sketched, "key")
     bits = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in sketch), F.lit(0))
     fits = ((100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
             & ((100 + PERCENT) * bits <= (100 - PERCENT) * (F.col("x.n") + F.col("y.n"))))
@@ -182,10 +199,11 @@ def _rest_pairs(crowd: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _star(crowd: DataFrame, turn: int) -> DataFrame:
-    """(a, b): the lines of each bucket with its head of this round."""
-    head = F.min_by("key", F.xxhash64("key", "band", F.lit(turn))).over(W.partitionBy("band"))
-    return (crowd.withColumn("head", head).where("key <> head")
-            .select(F.col("key").alias("a"), F.col("head").alias("b")).distinct())
+    """(a, b): the lines of each bucket with its head of this round, for (band,
+    key, root); lines that are in the head's group already are left out."""
+    head = F.min_by(F.struct("key", "root"), F.xxhash64("key", "band", F.lit(turn))).over(W.partitionBy("band"))
+    return (crowd.withColumn("head", head).where("root <> head.root")
+            .select(F.col("key").alias("a"), F.col("head.key").alias("b")).distinct())
 
 
 def _several(crowd: DataFrame, roots: DataFrame) -> DataFrame:
@@ -209,14 +227,14 @@ def line_groups(rows: DataFrame, row: str = "_row") -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "pos").alias("place")
     seen = written(_lines(rows, row).select("doc_id", "_row", "pos", "key"), "line-places")
     bucket = W.partitionBy("band")
-    crowd = written(signatures(rows).repartition("band").groupBy("band", "key").agg(F.lit(1).alias("one"))
-                    .withColumn("n", F.count("*").over(bucket)).where("n > 1").select("band", "key"), "line-bands")
-    wanted = crowd.select("key").distinct()
-    lines = written(_lines(rows, row).select("key", "line").join(wanted, "key", "left_semi")
+    crowd = written(signatures(rows).withColumn("lo", F.min("key").over(bucket)).withColumn("hi", F.max("key").over(bucket))
+                    .where("lo <> hi").select("band", "key").distinct(), "line-bands")
+    wanted = cut(crowd.select("key").distinct())
+    lines = written(maybe(_lines(rows, row).select("key", "line"), wanted, "key").join(wanted, "key")
                     .groupBy("key").agg(F.first("line").alias("line")), "line-texts")
     links = roots = None
     for turn in range(1 + ROUNDS):
-        found = cut(_links(_star(crowd, turn), lines))
+        found = cut(_links(_star(crowd if turn else crowd.withColumn("root", F.col("key")), turn), lines))
         links = found if links is None else links.union(found)
         roots = cut(components(links))
         crowd = _several(crowd, roots)
