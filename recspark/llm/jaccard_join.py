@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from recspark.llm.common import cut, mix64, numbered, small_batches, texts, written
+from recspark.llm.common import cut, maybe, mix64, numbered, small_batches, texts, written
 from recspark.llm.components import components
 
 WORDS = 5
@@ -61,10 +61,10 @@ CROWD, SPREAD = 64, 6  # classes in a region from which on its group of copies d
 LEVELS = 1 << 20
 HOT = 8             # classes in a region from which on its shingle counts as frequent
 SAMPLED = 4         # of a class's first regions, the share (1 in ..) that the rarity count looks at
+FILTER = 24         # log2 of the least bits of the filter of documents whose texts are compared
 HEADS = 8           # regions by which a pair's first common one is known
-BITS = 2048         # of a parity sketch
+BITS = 2048         # of a parity sketch, at least
 FOLD = 8            # 64-bit words of its folded form
-FILTER = 24         # bits of a document's hash in the filter of those whose texts are compared
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -97,8 +97,12 @@ def _class(s: np.ndarray) -> int | None:
 
 def _sketch(s: np.ndarray) -> np.ndarray:
     """For each of BITS buckets, whether an odd number of shingles fall into
-    it.  The bits in which two sketches differ number at most |x ^ y|."""
-    odd = np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=BITS) & 1
+    it; for a larger set, as many times twice the buckets as it takes to have one
+    a shingle.  The bits in which two sketches differ number at most |x ^ y|, and
+    the two halves of one, taken bit by bit for parity, are the one of half the size."""
+    bits = max(BITS, 1 << (len(s) - 1).bit_length())
+    place = (s >> np.uint64(53)) | ((s >> np.uint64(20)) & np.uint64(bits // BITS - 1)) << np.uint64(11)
+    odd = np.bincount(place.astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -186,14 +190,19 @@ def _pair(a: str, b: str) -> list:
 
 def _folded() -> list:
     """A member's sketch folded to FOLD words (parities of parities)."""
-    words = [F.element_at("sketch", i + 1) for i in range(BITS // 64)]
-    out = []
-    for j in range(FOLD):
-        x = words[j]
-        for w in words[j + FOLD::FOLD]:
-            x = x.bitwiseXOR(w)
-        out.append(x.alias(f"f{j}"))
-    return out
+    word = lambda j: F.aggregate(F.sequence(F.lit(j), F.size("sketch") - 1, F.lit(FOLD)), F.lit(0).cast("long"),
+                                 lambda t, i: t.bitwiseXOR(F.get("sketch", i)))
+    return [word(j).alias(f"f{j}") for j in range(FOLD)]
+
+
+def _differ(x: str, y: str):
+    """The bits in which two sketches differ; linked sets' sketches are as long
+    or one is twice as long, which is folded then."""
+    def other(a, b):
+        half = (F.size(a) / 2).cast("int")
+        return F.when(F.size(a) > F.size(b), F.zip_with(F.slice(a, F.lit(1), half), F.slice(a, half + 1, half),
+                                                        lambda u, v: u.bitwiseXOR(v))).otherwise(F.col(a))
+    return F.aggregate(F.zip_with(other(x, y), other(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda t, n: t + n)
 
 
 def _near(a: str, b: str):
@@ -215,9 +224,8 @@ def _measure(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame
     more bits than linked sets can; exact, on whole texts, which are read again
     for these pairs alone."""
     side = lambda c: members.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
-    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     near = (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b"))
+            .where((100 + PERCENT) * _differ("sa", "sb") <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b"))
     near = cut(near)
     wanted = near.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     wanted = cut(members.select("cid", "k", "th").join(wanted, "cid", "left_semi"))
@@ -230,12 +238,8 @@ def _measure(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame
 
 def _maybe(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Without most of the documents that are not ``wanted``, so that their
-    texts needn't be shuffled: a filter of 2 ** FILTER bits, which is broadcast."""
-    place = F.pmod(F.xxhash64("k", "th"), F.lit(1 << FILTER))
-    word, bit = (place / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
-    filled = wanted.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
-    return (docs.withColumn("_word", word).join(F.broadcast(filled), "_word")
-            .where(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits"))
+    texts needn't be shuffled."""
+    return maybe(docs, wanted, "k", "th", least=FILTER)
 
 
 def _key():
