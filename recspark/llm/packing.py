@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from recspark.llm.common import small_batches, texts, written
-from recspark.llm.tokens import encoder
+from recspark.llm.tokens import KIND, encoder
 
 WINDOW = 2048
 UNIT = 32
@@ -46,7 +46,7 @@ def _cut(path: str | None, window: int, unit: int, end: int):
     def run(batches):
         part, seen = TaskContext.get().partitionId(), {}
         closing = np.array([end], dtype="<u4").tobytes()
-        for b in small_batches(batches, limit=4 << 20):
+        for b in small_batches(batches, limit=1 << 20, held=KIND):
             ids_of = encoder(path).encode(texts(b))
             n = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4 + 1
             # whole windows, then (for what is left) whole units, then the tail

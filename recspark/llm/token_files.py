@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from recspark.llm import rangecoder
 from recspark.llm.common import small_batches, texts
-from recspark.llm.tokens import encoder
+from recspark.llm.tokens import KIND, encoder
 from recspark.session import scratch_path
 
 END = 2
@@ -71,7 +71,7 @@ def _write(path: str | None, end: int, frame_ids: int):
             frame, start, rows, held = frame + 1, start + n, [], 0
             return out
 
-        for b in small_batches(batches, limit=2 << 20):
+        for b in small_batches(batches, limit=2 << 20, held=KIND):
             for d, ids in zip(b.column(0).to_pylist(), encoder(path).encode(texts(b))):
                 rows.append((d, ids + closing))
                 held += len(ids) // 4 + 1

@@ -18,6 +18,9 @@ from itertools import islice
 import numpy as np
 import public_tokenizers
 
+from recspark.llm.common import HELD
+
+KIND = "tokens"
 TOKENIZER = "byte_bpe_50k.json"
 CACHE = 500_000
 _PLAIN = re.compile("[^\t\n\x0b\x0c\r -~\xa1-ɏ]")
@@ -143,8 +146,9 @@ def _gather(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarr
 
 
 def encoder(path: str | None = None) -> Encoder:
-    """This worker's encoder of a tokenizer file."""
+    """This worker's encoder of a tokenizer file, held between tasks of ``KIND``."""
     path = path or public_tokenizers.path(TOKENIZER)
+    HELD[KIND] = _LOADED
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
     return _LOADED[path]
