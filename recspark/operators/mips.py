@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recspark.session import scratch_path
+from recspark.session import written as _written
 
 BLOCK = 2048
 WAVE_BYTES = 64 << 20
@@ -165,12 +165,6 @@ def _search_wave(shared, k: int, min_score: float, after: float):
     return run
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _waves(blocks: DataFrame, wave_bytes: int) -> list[list]:
     """Places, sizes and norms of the blocks, in runs of at most ``wave_bytes``."""
     rows = blocks.select("part", "seq", "top", (F.octet_length("ids") + F.octet_length("f")).alias("size")).collect()
